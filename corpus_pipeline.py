@@ -1,13 +1,69 @@
-"""The corpus pipeline: toxicity, line dedup, n-gram Jaccard join, decontamination, packing."""
+"""The corpus pipeline: toxicity, line dedup, n-gram Jaccard join, decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return the columns
+of documents. Stages of a caller are written as Parquet in between; run() does so itself.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarrymill.llm import decontamination, jaccard_join, line_dedup, packing, toxicity
+from quarrymill.llm.common import id_remainder, materialize
+from quarrymill.llm.components import sized_join
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: documents scored 0.5 or more go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, id_remainder("doc_id", 5) != 0)
+    return toxicity.score_texts(docs, model, docs.columns).where("score < 0.5").drop("score")
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: one line of each component stays; documents whose lines all went go."""
+    out = line_dedup.dedup_lines(docs).where("n_dropped = 0 or n_dropped < n_lines")
+    return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: the document with the least id of each component stays; without words or id, all stay."""
+    found = jaccard_join.jaccard_components(docs)
+    gone = found.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
+    kept = sized_join(docs, materialize(gone, "gone"), "doc_id", "left_anti", 16)
+    repeated = found.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    if repeated.limit(1).count():  # rows that repeat an id and a set: one of them stays
+        rest = kept.join(repeated.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+        kept = rest.unionByName(kept.join(repeated.select("doc_id"), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    return kept.select(docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: documents that hold a benchmark item, or one with other numbers and names, go."""
+    leaks = decontamination.benchmark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontamination.leaking_rows(docs, leaks).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: sequences of 1024 tokens."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("jaccard_join", dedup_documents),
+    ("decontamination", drop_leaks),
+    ("packing", pack),
+]
+
+# The first stage is a fitted model, which SQL can't express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

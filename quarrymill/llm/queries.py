@@ -5,28 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, secrets, topk, toxicity, url_reputation
+from . import decontamination, jaccard_join, line_dedup, packing, quality, secrets, surrogates, topk, toxicity, url_reputation
 from .common import id_remainder
 
 # Fixed rules of the url query.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
+#: The registered query's key; a caller passes a secret of its own.
+SURROGATE_KEY = "quarrymill-demo-key"
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.benchmark_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     scored = quality.quality_scores(docs, labels, id_remainder("doc_id", 3) != 1)
     return scored.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_read(spark, sf_dir, "documents"))
+
+
 def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages")
     return url_reputation.url_verdicts(pages, URL_RULES, url_reputation.page_outcome(F.col("html")))
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.replace_entities(_read(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return found.select("doc_id", "text", "n_entities", "kinds")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"))
 
@@ -48,8 +68,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_url_reputation": op4_url_reputation,
+    "op5_surrogates": op5_surrogates,
+    "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
     "op8_secrets": op8_secrets,
     "op9_topk": op9_topk,
