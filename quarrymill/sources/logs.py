@@ -25,8 +25,8 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     parsed = lines.withColumn("__r", F.from_json("value", StructType.fromDDL(schema + ", __corrupt string"), {"columnNameOfCorruptRecord": "__corrupt"}))
     last = parsed.groupBy("__file").agg(F.max("__at").alias("__last"))
     bad = F.col("__r.__corrupt").isNotNull()
-    rows = parsed.join(last, "__file").where(~(bad & (F.col("__at") == F.col("__last"))))
-    rows = rows.where(F.when(bad, F.raise_error(F.concat(F.lit("broken line in "), F.col("__file")))).otherwise(F.lit(True)).cast("boolean"))
+    broken = F.raise_error(F.concat(F.lit("broken line in "), F.col("__file"))).cast("boolean")
+    rows = parsed.join(last, "__file").where(F.when(bad & (F.col("__at") == F.col("__last")), False).when(bad, broken).otherwise(True))
     return rows.select(*[F.col(f"__r.{f}") for f in StructType.fromDDL(schema).names])
 
 
