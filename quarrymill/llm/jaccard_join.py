@@ -9,10 +9,12 @@ the product's first pass (rare n-grams first, by a bounded count sketch; any ord
 1. The sketch and each document's identity (one pass over the texts).
 2. Leading entries, sorted by n-gram. A column with one row is dropped. In the others the row with the earliest
    place is the hub.
-3. Every row is multiplied with its hubs: exact overlaps, pairs under the bound dropped; the rest are links.
+3. Every row is paired with its hubs. Pairs whose shared leading entries leave too little for the bound are dropped;
+   for the others the whole rows are read again and the overlap is exact.
 4. Distributed union-find. Columns whose rows now lie in one component are done. In the others, rows outside the
-   hub's component are multiplied with all rows of the column that lie in other components: no pair that could
-   join two components is left out, and pairs inside a component aren't needed.
+   hub's component are paired with all rows of the column that lie in other components, and the pairs' overlaps
+   are accumulated over the columns; those under the bound are dropped, the others verified as in 3. No pair that
+   could join two components is left out, and pairs inside a component aren't needed.
 
 Thus a group of thousands of near copies costs its size, not its square, and the components are exact. Identities
 and n-grams are 64-bit hashes.
@@ -32,7 +34,7 @@ from .common import materialize
 from .components import connected_components, sized_join
 from .shingles import blocks_of, fingerprint, shingle_sets
 
-SLOTS, CHUNK = 1 << 20, 4096
+SLOTS, CHUNK = 1 << 23, 1 << 15
 TIMES, UNION = 100, 75  # link when 100 * overlap >= 75 * union
 
 
@@ -48,7 +50,7 @@ def identities(docs: DataFrame, key: str, text: str) -> DataFrame:
     def work(batches):
         import pyarrow as pa
 
-        total = np.zeros(SLOTS, dtype="uint32")
+        total = np.zeros(SLOTS, dtype="uint16")
         names = [key, "fp", "n", "chunk", "counts"]
         kind = None
         for batch in batches:
@@ -57,26 +59,27 @@ def identities(docs: DataFrame, key: str, text: str) -> DataFrame:
                 for found in shingle_sets(texts):
                     fps.append(fingerprint(found) if len(found) else None)
                     sizes.append(len(found))
-                    np.add.at(total, (found & np.uint64(SLOTS - 1)).astype("int64"), 1)
+                    slots = (found & np.uint64(SLOTS - 1)).astype("int64")
+                    total[slots] += total[slots] < 255  # a text counts once for a slot
             none = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names)
         if kind is not None and total.any():
             n = SLOTS // CHUNK
-            parts = [total[i * CHUNK : (i + 1) * CHUNK].tobytes() for i in range(n)]
+            parts = [total[i * CHUNK : (i + 1) * CHUNK].astype("uint8").tobytes() for i in range(n)]
             yield pa.RecordBatch.from_arrays([pa.nulls(n, kind), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(parts, pa.binary())], names)
 
     return materialize(docs.select(key, text).mapInArrow(work, f"`{key}` {kind}, fp long, n long, chunk int, counts binary"), "ids")
 
 
 def sketch(rows: DataFrame) -> np.ndarray:
-    """How many rows each slot's n-grams have; SLOTS numbers, whatever the corpus."""
+    """About how many rows each slot's n-grams have (a task counts to 255); SLOTS numbers, whatever the corpus."""
 
     def add(table):
         import pyarrow as pa
 
         total = np.zeros(CHUNK, dtype="uint64")
         for x in table["counts"]:
-            total += np.frombuffer(x.as_py(), dtype="uint32")
+            total += np.frombuffer(x.as_py(), dtype="uint8")
         return pa.table({"chunk": table["chunk"][:1], "counts": pa.array([np.minimum(total, 2**32 - 1).astype("uint32").tobytes()], pa.binary())})
 
     got = rows.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "chunk int, counts binary").toArrow()
@@ -157,8 +160,7 @@ def shared_columns(entries: DataFrame, partitions: int) -> DataFrame:
 
 def fits(n, m, i, j):
     """The size bounds, and room for enough shared entries from places i and j on (Columns)."""
-    least = F.ceil(F.lit(UNION) * (n + m) / F.lit(float(TIMES + UNION)) - 1e-9)
-    return (F.lit(TIMES) * F.least(n, m) >= F.lit(UNION) * F.greatest(n, m)) & (F.least(n - i, m - j) >= least)
+    return (F.lit(TIMES) * F.least(n, m) >= F.lit(UNION) * F.greatest(n, m)) & (F.least(n - i, m - j) >= least_overlap(n, m))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -169,6 +171,40 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(TIMES * overlap >= UNION * union).select("a", "b")
 
 
+def least_overlap(n, m):
+    """need() of two Columns."""
+    return F.ceil(F.lit(UNION) * (n + m) / F.lit(float(TIMES + UNION)) - 1e-9)
+
+
+def others(n):
+    """How many entries of a row of n aren't leading (a Column)."""
+    return F.ceil(F.lit(UNION) * n / F.lit(float(TIMES)) - 1e-9) - 1
+
+
+def worth_a_product(pairs: DataFrame, lead: DataFrame) -> DataFrame:
+    """The pairs whose overlap can still reach the bound, by what their leading entries share.
+
+    Of the row whose leading entries end first, shared entries are either leading in both or among the
+    ceil(t * n) - 1 others, so the overlap is at most the shared leading ones and the larger of those numbers.
+    """
+    a = lead.select(F.col("fp").alias("a"), F.col("n").alias("an"), F.col("grams").alias("x"))
+    b = lead.select(F.col("fp").alias("b"), F.col("n").alias("bn"), F.col("grams").alias("y"))
+    most = F.size(F.array_intersect("x", "y")) + others(F.greatest("an", "bn"))
+    return pairs.join(a, "a").join(b, "b").where(most >= least_overlap(F.col("an"), F.col("bn"))).select("a", "b")
+
+
+def pair_sets(docs: DataFrame, ids: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
+    """fp, grams of every set in pairs, read again from one document each."""
+    wanted = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
+    # a null id counts as the empty text, so documents without ids aren't lost
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    named = ids.where("fp is not null").groupBy("fp").agg(F.min(name).alias("__name")).join(wanted, "fp")
+    named = materialize(named.select("fp", "__name"), "named")
+    texts = sized_join(docs.select(name.alias("__name"), text), named.select("__name").distinct(), "__name", "left_semi", 32)
+    sets = member_sets(texts, key, text).join(named.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
+    return materialize(sets, "sets")
+
+
 def member_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
     """fp, grams array<long> of each row of docs."""
 
@@ -199,28 +235,25 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     shared = materialize(shared_columns(leading(docs, text, counts), partitions), "columns")
 
     hubs = shared.where("fp <> hub").where(fits(F.col("n"), F.col("hub_n"), F.col("place"), F.col("hub_place")))
-    first = materialize(hubs.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    # one document for each set that shares a leading n-gram
-    wanted = shared.select("fp").distinct()
-    named = ids.where("fp is not null").groupBy("fp").agg(F.min(key).alias(key)).join(wanted, "fp", "left_semi").where(F.col(key).isNotNull()).select(key, "fp")
-    named = materialize(named, "named")
-    texts = sized_join(docs.select(key, text), named.select(key), key, "left_semi", 24)
-    sets = member_sets(texts, key, text).join(named.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
-    sets = materialize(sets, "sets")
-    links = materialize(verified(first, sets), "links")
+    lead = materialize(shared.groupBy("fp").agg(F.max("n").alias("n"), F.min("place").alias("start"), F.collect_set("gram").alias("grams")), "lead")
+    first = hubs.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
+    first = materialize(worth_a_product(first, lead), "pairs")
+    links = materialize(verified(first, pair_sets(docs, ids, first, key, text)), "links")
     joined = connected_components(links, "a", "b")
 
     # columns that still meet several components
     comp = materialize(joined, "comp")
     of = lambda df, name, out: df.join(comp.select(F.col("node").alias(name), F.col("root").alias(out)), name, "left").withColumn(out, F.coalesce(out, name))
-    placed = of(of(shared, "fp", "comp"), "hub", "hub_comp").select("gram", "fp", "n", "place", "comp", "hub_comp")
+    placed = of(of(shared.join(lead.select("fp", "start"), "fp"), "fp", "comp"), "hub", "hub_comp").select("gram", "fp", "n", "start", "comp", "hub_comp")
     placed = materialize(placed, "placed")
-    strays = placed.where("comp <> hub_comp")
-    left = strays.select("gram", F.col("fp").alias("a"), F.col("n").alias("an"), F.col("place").alias("ai"), F.col("comp").alias("ac"))
-    right = placed.select("gram", F.col("fp").alias("b"), F.col("n").alias("bn"), F.col("place").alias("bi"), F.col("comp").alias("bc"))
-    crossed = left.join(right, "gram").where("ac <> bc").where(fits(F.col("an"), F.col("bn"), F.col("ai"), F.col("bi")))
-    second = crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = materialize(verified(second, sets), "links")
+    left = placed.where("comp <> hub_comp").select("gram", F.col("fp").alias("a"), F.col("n").alias("an"), F.col("start").alias("ai"), F.col("comp").alias("ac"), "hub_comp")
+    right = placed.select("gram", F.col("fp").alias("b"), F.col("n").alias("bn"), F.col("start").alias("bi"), F.col("comp").alias("bc"))
+    # each unordered pair once a column, so that the count is the overlap of the leading entries
+    crossed = left.join(right, "gram").where("ac <> bc and (bc = hub_comp or a < b)").where(fits(F.col("an"), F.col("bn"), F.col("ai"), F.col("bi")))
+    counted = crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.greatest("an", "bn").alias("n"), least_overlap(F.col("an"), F.col("bn")).alias("least"))
+    counted = counted.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max("least").alias("least"))
+    second = materialize(counted.where(F.col("c") + others(F.col("n")) >= F.col("least")).select("a", "b"), "pairs")
+    more = materialize(verified(second, pair_sets(docs, ids, second, key, text)), "links")
     if more.count():
         comp = materialize(connected_components(links.unionByName(more), "a", "b"), "comp")
 

@@ -171,3 +171,44 @@ def excerpts(lines: DataFrame, group: str, at: str, line: str, kinds: list[tuple
         return pd.DataFrame({group: [pdf[group].iloc[0]], "excerpt": ["\n".join(shown)], "used": [used]})
 
     return lines.select(group, at, line, "kind").groupBy(group).applyInPandas(fill, out)
+
+# Fixed: function names too common to stand for a wrapper.
+COMMON_NAMES = ("apply", "build", "check", "clean", "close", "count", "create", "fetch", "forward", "items", "parse", "print", "process", "reset", "start", "update", "write")
+
+
+def line_kinds(files: DataFrame, key: str, text: str, module: str) -> DataFrame:
+    """key, at, line, kind of the lines that show a library in use: direct, wrapper, mention.
+
+    Import and comment lines are never calls. A wrapper is the innermost function around a direct call, if its name
+    has five letters or more and isn't common; lines that call it are of kind wrapper.
+    """
+    lines = files.select(key, F.posexplode(F.split(text, "\n")).alias("at", "line")).withColumn("indent", F.length("line") - F.length(F.ltrim("line")))
+    plain = ~F.col("line").rlike(r"^\s*(?:(?:from|import)\b|#)")
+    lines = lines.withColumn("direct", plain & F.col("line").rlike(rf"\b{module}(?:\.\w+)+\s*\("))
+    defs = lines.select(key, F.regexp_extract("line", r"^\s*(?:async\s+)?def\s+(\w+)", 1).alias("def"), F.col("at").alias("def_at"), F.col("indent").alias("def_indent")).where("def <> ''")
+    hits = lines.where("direct").select(key, "at", "indent")
+    inner = hits.join(defs, key).where("def_at < at and def_indent < indent").groupBy(key, "at").agg(F.max_by("def", "def_at").alias("def"))
+    wrappers = inner.where((F.length("def") >= 5) & ~F.lower("def").isin(*COMMON_NAMES)).select(key, F.col("def").alias("called")).distinct()
+    heads = lines.where(plain & ~F.col("line").rlike(r"^\s*(?:async\s+)?def\b")).select(key, "at", F.explode(F.regexp_extract_all("line", F.lit(r"(\w+)\s*\("), F.lit(1))).alias("called"))
+    used = heads.join(wrappers, [key, "called"], "left_semi").select(key, "at").distinct().withColumn("wrapped", F.lit(True))
+    marked = lines.join(used, [key, "at"], "left")
+    kind = F.when(F.col("direct"), "direct").when(F.col("wrapped"), "wrapper").when(plain & F.col("line").rlike(rf"\b{module}\b"), "mention")
+    return marked.select(key, "at", "line", kind.alias("kind")).where("kind is not null")
+
+
+def balanced_calls(texts: DataFrame, key: str, text: str, names: str) -> DataFrame:
+    """key, position, name, arguments, literals (map) of calls in text that doesn't parse: brackets balanced three deep.
+
+    literals holds the top-level keywords whose value is a string, a number or a word.
+    """
+    inner = r"(?:[^()]++|\((?:[^()]++|\([^()]*+\))*+\))*+"
+    pattern = F.lit(rf"\b({names})\s*\(({inner})\)")
+    found = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(1)).alias("name"), F.regexp_extract_all(text, pattern, F.lit(2)).alias("arguments"))
+    calls = texts.select(key, F.posexplode(found).alias("position", "x")).select(key, "position", "x.name", "x.arguments")
+    # what stands in inner brackets isn't top level
+    top = F.regexp_replace("arguments", r"\((?:[^()]++|\([^()]*+\))*+\)", "()")
+    word = F.lit(r"(?:^|,)\s*(\w+)\s*=\s*(\"[^\"]*\"|'[^']*'|[-\w.]+)\s*(?=,|$)")
+    pairs = F.arrays_zip(F.regexp_extract_all(top, word, F.lit(1)).alias("k"), F.regexp_extract_all(top, word, F.lit(2)).alias("v"))
+    entries = F.transform(pairs, lambda p: F.struct(p["k"], p["v"]))
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["k"] == e["k"]))
+    return calls.withColumn("literals", F.map_from_entries(last))

@@ -135,3 +135,42 @@ def test_halving(spark):
     df = spark.createDataFrame([(i, "bad" if i == 3 else "x") for i in range(9)], "k int, v string")
     got = {r["k"]: (r["status"], r["result"], r["error"]) for r in map_batches(df, "k", "v", fn, 4).collect()}
     assert got[3] == ("error", None, "ValueError: no") and all(v == ("ok", "X", None) for k, v in got.items() if k != 3)
+
+
+def test_balanced_calls(spark):
+    text = 'x = fit(a=1, b="t", c=g(d=2, e=h(f=3)), a=2) and fit(n) fit(((deep)))'
+    got = code.balanced_calls(spark.createDataFrame([(1, text), (2, None), (3, "fit(")], "k int, t string"), "k", "t", "fit").collect()
+    assert [(r["k"], r["position"], r["arguments"]) for r in got] == [(1, 0, 'a=1, b="t", c=g(d=2, e=h(f=3)), a=2'), (1, 1, "n"), (1, 2, "((deep))")]
+    assert got[0]["literals"] == {"a": "2", "b": '"t"'} and got[1]["literals"] == {}
+
+
+def test_line_kinds(spark):
+    text = "import m\ndef outer_fn(x):\n    def run():\n        return m.go(x)\n    return run()\nouter_fn(1)\n# m.go()\nm"
+    got = code.line_kinds(spark.createDataFrame([(1, text), (2, None)], "k int, t string"), "k", "t", "m").orderBy("at").collect()
+    assert [(r["at"], r["kind"]) for r in got] == [(3, "direct"), (7, "mention")]
+    text = text.replace("def run", "def inner_fn").replace("return run", "return inner_fn")
+    got = code.line_kinds(spark.createDataFrame([(1, text)], "k int, t string"), "k", "t", "m").orderBy("at").collect()
+    assert [(r["at"], r["kind"]) for r in got] == [(3, "direct"), (4, "wrapper"), (7, "mention")]
+
+
+def test_manifest_paths(spark):
+    df = spark.createDataFrame([(1, '{"a": {"b": [1, "x"]}, "c": true}'), (2, "not json"), (3, None)], "k int, j string")
+    got = {(r["path"], r["value"]) for r in deps.key_paths(df, "k", "j").collect()}
+    assert got == {("$.a.b[0]", "1"), ("$.a.b[1]", "x"), ("$.c", "true")}
+
+
+def test_expectations(spark):
+    df = spark.createDataFrame([(1, 5.0), (1, -1.0), (None, None)], "k int, v double")
+    assert relational.expect(df, unique=["k"], not_null=["k"], minimum={"v": 0}).first().asDict() == {"n_rows": 3, "null_k": 1, "small_v": 1, "repeated_k": 1}
+
+
+def test_resume(spark, tmp_path):
+    from quarrymill.streaming import ingest
+
+    source, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(2):
+        spark.range(i * 10, i * 10 + 10).selectExpr("id", "id % 3 as k").write.mode("append").parquet(source)
+        ingest.ingest(ingest.open_stream(spark, source), sink, str(tmp_path / "c1"))
+        ingest.upsert_latest(ingest.open_stream(spark, source), ["k"], ["id"], str(tmp_path / "state"), str(tmp_path / "c2"))
+    assert spark.read.parquet(sink).count() == 20
+    assert sorted(r["id"] for r in ingest.state(spark, str(tmp_path / "state")).collect()) == [17, 18, 19]
