@@ -17,6 +17,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 #: Suffixes of two labels that count as one; a parameter, as the full public list isn't needed here.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.nz", "co.za")
 
@@ -81,6 +83,7 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     hosts = outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
     )
+    hosts = materialize(hosts, "hosts")  # the pages are read and judged once
     hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
