@@ -72,7 +72,7 @@ def identities(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def sketch(rows: DataFrame) -> np.ndarray:
-    """About how many rows each slot's n-grams have (a task counts to 255); SLOTS numbers, whatever the corpus."""
+    """A number from 0 to 255 that grows with the rows each slot's n-grams have (12 steps for each doubling); SLOTS bytes."""
 
     def add(table):
         import pyarrow as pa
@@ -80,18 +80,17 @@ def sketch(rows: DataFrame) -> np.ndarray:
         total = np.zeros(CHUNK, dtype="uint64")
         for x in table["counts"]:
             total += np.frombuffer(x.as_py(), dtype="uint8")
-        return pa.table({"chunk": table["chunk"][:1], "counts": pa.array([np.minimum(total, 2**32 - 1).astype("uint32").tobytes()], pa.binary())})
+        return pa.table({"chunk": table["chunk"][:1], "counts": pa.array([np.minimum(np.log2(1.0 + total) * 12, 255).astype("uint8").tobytes()], pa.binary())})
 
     got = rows.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "chunk int, counts binary").toArrow()
-    out = np.zeros(SLOTS, dtype="uint32")
+    out = np.zeros(SLOTS, dtype="uint8")
     for chunk, counts in zip(got["chunk"].to_pylist(), got["counts"], strict=True):
-        out[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(counts.as_py(), dtype="uint32")
+        out[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(counts.as_py(), dtype="uint8")
     return out
 
 
-def leading(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
-    """gram, fp, n, place of each row's leading entries, rare n-grams first."""
-    held = docs.sparkSession.sparkContext.broadcast(counts)  # SLOTS numbers
+def leading(docs: DataFrame, text: str, held) -> DataFrame:
+    """gram, fp, n, place of each row's leading entries, rare n-grams first; held is the broadcast sketch."""
 
     def work(batches):
         import pyarrow as pa
@@ -222,6 +221,63 @@ def member_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(work, "fp long, grams array<long>")
 
 
+def feasible(n, m, i, j, k, l):
+    """fits() for the first shared places, and whether the shared leading entries k and l can suffice (Columns)."""
+    return fits(n, m, i, j) & (F.least(k, l) + others(F.greatest(n, m)) >= least_overlap(n, m))
+
+
+def crossing_pairs(placed: DataFrame, block_rows: int = 512, part_rows: int = 8192) -> DataFrame:
+    """Pairs (a, b) of different components that share columns enough: the blocked product.
+
+    Rows that lie outside the component of some column's hub are dealt to blocks by their fullest column, a full column
+    to several. Each block gets the rows of its columns that could pair with one of its own, in parts by hash; a task
+    multiplies one block with one part, accumulates the overlaps and keeps the pairs that reach the bound.
+    """
+    full = placed.groupBy("gram").agg(F.count("*").alias("m"))
+    strays = placed.where("comp <> hub_comp").select("fp").distinct()
+    rows = placed.join(strays, "fp", "left_semi").drop("hub_comp")
+    home = rows.select("fp", "gram").join(full, "gram").groupBy("fp").agg(F.max(F.struct("m", "gram")).alias("h"))
+    home = materialize(home.select("fp", "h.m", "h.gram"), "home")
+    size = home.agg(F.count("*").alias("n"), F.coalesce(F.max("m"), F.lit(0)).alias("m")).first()
+    blocks, parts = max(24, -(-size["n"] // block_rows)), max(1, -(-size["m"] // part_rows))
+    salt = F.pmod(F.xxhash64("fp"), F.ceil(F.col("m") / block_rows))
+    home = home.select("fp", F.pmod(F.xxhash64("gram", salt), F.lit(blocks)).cast("int").alias("block"))
+    left = materialize(rows.join(home, "fp"), "left")
+    asks = left.groupBy("gram", "block").agg(F.collect_list(F.struct("n", "start", "shares", "comp")).alias("asks"))
+    wanted = lambda x: (x["comp"] != F.col("comp")) & feasible(x["n"], F.col("n"), x["start"], F.col("start"), x["shares"], F.col("shares"))
+    right = placed.join(asks, "gram").where(F.exists("asks", wanted)).select(F.col("block").alias("to"), "gram", "fp", "n", "comp", F.pmod(F.xxhash64("fp"), F.lit(parts)).cast("int").alias("piece"))
+    left = left.select("block", "gram", "fp", "n", "comp", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+
+    def product(mine, theirs):
+        import pyarrow as pa
+
+        out = ([], [])
+        if mine.num_rows and theirs.num_rows:
+            g, f, n, c = (np.asarray(theirs[x]) for x in ("gram", "fp", "n", "comp"))
+            rows, at, member = np.unique(f, return_index=True, return_inverse=True)
+            size, comp = n[at].astype("int64"), c[at]
+            order = np.argsort(g, kind="stable")
+            g, member = g[order], member[order]
+            mg, mf, mn, mc = (np.asarray(mine[x]) for x in ("gram", "fp", "n", "comp"))
+            begin, end = np.searchsorted(g, mg), np.searchsorted(g, mg, side="right")
+            by = np.argsort(mf, kind="stable")
+            for own in np.split(by, np.flatnonzero(np.diff(mf[by])) + 1):
+                met = [member[begin[i] : end[i]] for i in own if end[i] > begin[i]]
+                if not met:
+                    continue
+                overlap = np.bincount(np.concatenate(met), minlength=len(rows))
+                k = int(mn[own[0]])
+                rest = -(-UNION * np.maximum(size, k) // TIMES) - 1
+                ok = (overlap > 0) & (comp != mc[own[0]]) & (overlap + rest >= need(size, k)) & (TIMES * np.minimum(size, k) >= UNION * np.maximum(size, k))
+                found = rows[ok]
+                out[0].append(np.minimum(found, mf[own[0]]))
+                out[1].append(np.maximum(found, mf[own[0]]))
+        none = np.zeros(0, dtype="int64")
+        return pa.table({"a": np.concatenate([none, *out[0]]), "b": np.concatenate([none, *out[1]])})
+
+    return left.groupBy("block", "part").cogroup(right.groupBy("to", "piece")).applyInArrow(product, "a long, b long").distinct()
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of docs: key, n_shingles, component_id (the least key of its component), n_links.
 
@@ -229,10 +285,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """
     spark = docs.sparkSession
     rows = identities(docs, key, text)
-    counts = sketch(rows)
+    held = spark.sparkContext.broadcast(sketch(rows))  # SLOTS bytes
     ids = rows.where("chunk is null").select(key, "fp", "n")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = materialize(shared_columns(leading(docs, text, counts), partitions), "columns")
+    shared = materialize(shared_columns(leading(docs, text, held), partitions), "columns")
+    held.destroy()
 
     hubs = shared.where("fp <> hub").where(fits(F.col("n"), F.col("hub_n"), F.col("place"), F.col("hub_place")))
     lead = materialize(shared.groupBy("fp").agg(F.max("n").alias("n"), F.min("place").alias("start"), F.collect_set("gram").alias("grams")), "lead")
@@ -244,18 +301,19 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     # columns that still meet several components
     comp = materialize(joined, "comp")
     of = lambda df, name, out: df.join(comp.select(F.col("node").alias(name), F.col("root").alias(out)), name, "left").withColumn(out, F.coalesce(out, name))
-    placed = of(of(shared.join(lead.select("fp", "start"), "fp"), "fp", "comp"), "hub", "hub_comp").select("gram", "fp", "n", "start", "comp", "hub_comp")
-    placed = materialize(placed, "placed")
-    left = placed.where("comp <> hub_comp").select("gram", F.col("fp").alias("a"), F.col("n").alias("an"), F.col("start").alias("ai"), F.col("comp").alias("ac"), "hub_comp")
-    right = placed.select("gram", F.col("fp").alias("b"), F.col("n").alias("bn"), F.col("start").alias("bi"), F.col("comp").alias("bc"))
-    # each unordered pair once a column, so that the count is the overlap of the leading entries
-    crossed = left.join(right, "gram").where("ac <> bc and (bc = hub_comp or a < b)").where(fits(F.col("an"), F.col("bn"), F.col("ai"), F.col("bi")))
-    counted = crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.greatest("an", "bn").alias("n"), least_overlap(F.col("an"), F.col("bn")).alias("least"))
-    counted = counted.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max("least").alias("least"))
-    second = materialize(counted.where(F.col("c") + others(F.col("n")) >= F.col("least")).select("a", "b"), "pairs")
+    placed = of(of(shared.join(lead.select("fp", "start", F.size("grams").alias("shares")), "fp"), "fp", "comp"), "hub", "hub_comp")
+    placed = materialize(placed.select("gram", "fp", "n", "start", "shares", "comp", "hub_comp"), "placed")
+    second = materialize(crossing_pairs(placed), "pairs")
     more = materialize(verified(second, pair_sets(docs, ids, second, key, text)), "links")
     if more.count():
-        comp = materialize(connected_components(links.unionByName(more), "a", "b"), "comp")
+        # only the components that met are united
+        named = F.coalesce("root", "node")
+        ends = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(comp, "node", "left").select("node", named.alias("root"))
+        ends = materialize(ends, "ends")
+        met = more.join(ends.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(ends.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b")
+        united = connected_components(met, "ra", "rb").select(F.col("node").alias("root"), F.col("root").alias("last"))
+        every = comp.unionByName(ends.join(comp, "node", "left_anti"))
+        comp = materialize(every.join(united, "root", "left").select("node", F.coalesce("last", "root").alias("root")), "comp")
 
     least = ids.where("fp is not null").groupBy("fp").agg(F.min(key).alias("least"))
     by_set = least.join(comp, least["fp"] == comp["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
