@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 WORD = re.compile(r"\w+")
 #: Entries after which a worker forgets the tokens it has met; bounds memory, never results.
-CACHE = 200_000
+CACHE = 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -73,7 +73,7 @@ def fingerprint(found: np.ndarray) -> int:
     return int(mix(total + np.uint64(len(found))).view("int64")[0])
 
 
-def blocks_of(column, most: int = 1 << 20):
+def blocks_of(column, most: int = 1 << 18):
     """(first row, texts as bytes) of an Arrow string column, about most bytes at a time; null counts as empty."""
     import pyarrow as pa
 
