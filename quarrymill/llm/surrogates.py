@@ -42,6 +42,11 @@ CYR_SURNAMES = ["Белов", "Волков", "Громов", "Дубов", "Ж
 DIGITAL = ("card", "ip", "phone", "ssn", "bank")
 
 
+def may_hold(text: Column) -> Column:
+    """A quick test that every text with an entity passes: each pattern needs a digit, an @ or a title."""
+    return F.coalesce(text.rlike("[0-9@]") | text.rlike(r"\b(?:" + TITLES["f"] + "|" + TITLES["m"] + r")\b"), F.lit(False))
+
+
 def kind_of(mention: Column) -> Column:
     whole = lambda p: mention.rlike(f"^(?:{p})$")
     return (
@@ -134,7 +139,7 @@ def rendered(mention: Column, kind: Column, found: Column) -> Column:
 
 def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with surrogates in text, and n_entities (long) and kinds (sorted array of the kinds met)."""
-    pieces = with_pieces(docs, text).where(F.size("__mentions") > 0).select(F.xxhash64(text).alias("__row"), "__mentions", "__between")
+    pieces = with_pieces(docs.where(may_hold(F.col(text))), text).where(F.size("__mentions") > 0).select(F.xxhash64(text).alias("__row"), "__mentions", "__between")
     pieces = materialize(pieces.dropDuplicates(["__row"]), "pieces")
     mentions = pieces.select("__row", F.posexplode("__mentions").alias("__at", "mention")).withColumn("kind", kind_of(F.col("mention")))
     parts = mentions.select("__row", "__at", "mention", "kind", F.posexplode(parts_of(F.col("mention"), F.col("kind"))).alias("part", "p"))
@@ -151,7 +156,10 @@ def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: st
         F.array_join(F.flatten(F.zip_with("__between", F.transform("__new", lambda x: x["new"]), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "").alias("__text"),
     )
     texts = materialize(texts, "texts")
-    size = texts.agg(F.coalesce(F.sum(F.length("__text")), F.lit(0))).first()[0] * 2
-    small = texts if size > 32 << 20 else F.broadcast(texts)
-    rows = docs.withColumn("__row", F.xxhash64(text)).join(small, "__row", "left")
-    return rows.withColumn(text, F.coalesce("__text", text)).withColumn("n_entities", F.coalesce("n_entities", F.lit(0).cast("long"))).withColumn("kinds", F.coalesce("kinds", F.array().cast("array<string>"))).drop("__row", "__text")
+    # documents without entities never move; of the others only the new texts and the other columns do
+    has = may_hold(F.col(text)) & F.coalesce(F.col(text).rlike(ANY), F.lit(False))
+    none = F.array().cast("array<string>")
+    plain = docs.where(~has).withColumn("n_entities", F.lit(0).cast("long")).withColumn("kinds", none)
+    hit = docs.where(has).withColumn("__row", F.xxhash64(text)).drop(text).join(texts, "__row").withColumnRenamed("__text", text)
+    columns = [*docs.columns, "n_entities", "kinds"]
+    return plain.select(columns).unionByName(hit.select(columns))
