@@ -268,3 +268,12 @@ def test_factorization_learns_a_pair(spark):
     m = toxicity.fit(rows, np.array(y), epochs=40)
     raw = lambda f: m.raw(np.array([c for c in m.columns[f] if c >= 0], dtype="int64"), np.array([0, sum(m.columns[f] >= 0)]))[0][0]
     assert raw([1, 2]) > 0 > max(raw([1]), raw([2]), raw([30]))
+
+
+def test_lines_that_differ_late_in_long_words(spark):
+    texts = [(k, x) for k, x in enumerate(["id: 2024000001", "id: 2024000002", "user_12345", "user_12346", "2024-01-01", "2024-01-09", "at 2024-01-01T10:00:00", "at 2024-01-01T11:30:00"])]
+    got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.dedup_lines(docs_of(spark, texts)).collect()}
+    assert got == {k: 0 for k, _ in texts}
+    shared = "the_longest_of_all_words_" + "x" * 60  # over nine characters, all of them count
+    pair = docs_of(spark, [(1, f"{shared} 1"), (2, f"{shared} 2"), (3, f"{shared[:20]} 1")])
+    assert {r["doc_id"]: r["n_dropped"] for r in line_dedup.dedup_lines(pair).collect()} == {1: 0, 2: 1, 3: 0}
