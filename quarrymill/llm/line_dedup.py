@@ -3,8 +3,10 @@
 A line's set holds its character shingles: the SHINGLE characters from every character on, hashed. The signature orders the hashes in a circle; band b is made
 of the ROWS hashes that follow the band's fixed point, so two lines agree in a band with about the chance
 J ** ROWS, and BANDS bands catch J = 0.8 in about 99 of 100 cases, J = 0.9 in all but a few of 100,000.
-Lines that share a band are compared with the band's least and greatest line only; exact Jaccard decides, distributed
-union-find joins the links, and the first line of each component (least id, then position) stays.
+Lines that share a band are compared with the band's least and greatest line first; exact Jaccard decides and distributed
+union-find joins the links. In bands that then still hold several components, all pairs between different components
+are decided too, so every pair that shares a band is decided or already joined. The first line of each component
+(least id, then position) stays.
 
 Lines are compared trimmed and in lower case; blank lines are kept and not counted. A line's identity is a 64-bit
 hash. Texts move only where the rows to keep are too many to broadcast by a checked size.
@@ -16,6 +18,8 @@ columns pass through.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,13 +71,34 @@ def similar_pairs(lines: DataFrame, candidates: DataFrame, threshold: float) ->
     return candidates.join(a, "a").join(b, "b").where(common >= threshold * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def crossing_pairs(members: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of lines that share a band but no component, and whose numbers of shingles allow the threshold.
+
+    members has LID, band, comp, size. Only lines outside a band's largest component start pairs, and lines meet by classes of
+    size, so a band that is one component costs nothing and a hot band is dealt over several keys.
+    """
+    parts = members.groupBy("band", "comp").agg(F.count("*").alias("n"))
+    main = parts.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    main = materialize(main.select("band", "main"), "mains")
+    held = sized_join(members, main, "band", "inner", 24).withColumn("class", F.floor(F.log("size") / max(-math.log(threshold), 0.01)).cast("int"))
+    held = materialize(held, "held")
+    ends = lambda p: [F.col(c).alias(p + c) for c in (LID, "comp", "size")]
+    # sizes that fit differ by one class at most; one more covers rounding
+    near = F.explode(F.sequence(F.col("class") - 2, F.col("class") + 2)).alias("class")
+    minor = held.where("comp <> main").select("band", near, *ends("x"))
+    other = held.select("band", "class", *ends("y"), (F.col("comp") == F.col("main")).alias("is_main"))
+    fits = F.least("xsize", "ysize") >= threshold * F.greatest("xsize", "ysize")
+    met = minor.join(other, ["band", "class"]).where((F.col("xcomp") != F.col("ycomp")) & (F.col("is_main") | (F.col(f"x{LID}") > F.col(f"y{LID}"))) & fits)
+    return met.select(F.greatest(f"x{LID}", f"y{LID}").alias("a"), F.least(f"x{LID}", f"y{LID}").alias("b")).distinct()
+
+
 def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """ROW and drop (array of line numbers) of the documents that lose lines."""
     lines = numbered_lines(docs, key, text)
     occurrences = with_bands(with_hashes(lines, "norm", "h"), "h")
-    occurrences = materialize(occurrences.select(ROW, "__key", LINE_NO, LID, *[f"b{b}" for b in range(BANDS)]), "lines")
-    distinct = materialize(occurrences.groupBy(LID).agg(F.count("*").alias("n"), *[F.min(f"b{b}").alias(f"b{b}") for b in range(BANDS)]), "distinct")
-    bands = distinct.select(LID, F.explode(F.array(*[F.col(f"b{b}") for b in range(BANDS)])).alias("band"))
+    occurrences = materialize(occurrences.select(ROW, "__key", LINE_NO, LID, F.size("h").alias("size"), *[f"b{b}" for b in range(BANDS)]), "lines")
+    distinct = materialize(occurrences.groupBy(LID).agg(F.count("*").alias("n"), F.min("size").alias("size"), *[F.min(f"b{b}").alias(f"b{b}") for b in range(BANDS)]), "distinct")
+    bands = distinct.select(LID, "size", F.explode(F.array(*[F.col(f"b{b}") for b in range(BANDS)])).alias("band"))
     ends = bands.groupBy("band").agg(F.min(LID).alias("lo"), F.max(LID).alias("hi")).where("lo <> hi")
     ends = materialize(ends, "ends")
     met = sized_join(bands, ends, "band", "inner", 40)
@@ -82,6 +107,14 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     links = materialize(similar_pairs(lines, pairs, threshold), "links")
     comp = materialize(connected_components(links, "a", "b"), "comp")
 
+    # what the ends left open
+    root = comp.withColumnRenamed("node", LID)
+    members = met.select(LID, "size", "band").join(root, LID, "left").withColumn("comp", F.coalesce("root", LID)).drop("root")
+    crossing = materialize(crossing_pairs(materialize(members, "members"), threshold).join(pairs, ["a", "b"], "left_anti"), "crossing")
+    more = materialize(similar_pairs(lines, crossing, threshold), "links")
+    if more.count():
+        comp = materialize(connected_components(links.unionByName(more), "a", "b"), "comp")
+
     # the lines that occur again, as themselves or in another form
     again = distinct.select(LID, "n").join(comp.withColumnRenamed("node", LID), LID, "left").where("n > 1 or root is not null")
     again = materialize(again.select(LID, F.coalesce("root", LID).alias("comp")), "again")

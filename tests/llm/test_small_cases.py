@@ -277,3 +277,15 @@ def test_lines_that_differ_late_in_long_words(spark):
     shared = "the_longest_of_all_words_" + "x" * 60  # over nine characters, all of them count
     pair = docs_of(spark, [(1, f"{shared} 1"), (2, f"{shared} 2"), (3, f"{shared[:20]} 1")])
     assert {r["doc_id"]: r["n_dropped"] for r in line_dedup.dedup_lines(pair).collect()} == {1: 0, 2: 1, 3: 0}
+
+
+def test_line_pairs_in_a_hot_band(spark):
+    rng = __import__("random").Random(5)
+    some = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    common = some(172)
+    lines = [f"{common}{own}{end}" for own in (some(27) for _ in range(150)) for end in "01"]
+    sets = [{x[i : i + 9] for i in range(len(x) - 8)} for x in lines]
+    close = {(a, b) for a in range(len(lines)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert close == {(a, a - 1) for a in range(1, len(lines), 2)}
+    got = {r["doc_id"] for r in line_dedup.dedup_lines(docs_of(spark, list(enumerate(lines)))).where("n_dropped > 0").collect()}
+    assert got == {a for a, _ in close}
