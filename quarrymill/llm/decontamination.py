@@ -25,25 +25,26 @@ from .components import sized_join
 WINDOW, LEAST = 8, 5
 # Fixed unit words, after a number.
 UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|ft|in|miles?|meters?|metres?|feet|inch(?:es)?|hours?|hrs?|minutes?|mins?|seconds?|secs?|days?|weeks?|months?|years?|dollars?|euros?|cents?|percent|liters?|litres?|l|ml|mph|kmh|apples?|degrees?"
-NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
+NUMBER, UNIT, NAME, NOTHING = "\u0001", "\u0002", "\u0003", "\u0004"
 
 
-def canonical(text: Column) -> Column:
-    """Text with placeholders, lower-cased, without punctuation; tokens stay apart by white space."""
-    x = F.regexp_replace(text, r"(?<=[^\s.!?:]\s)[\"'(\[]?\p{Lu}[\p{L}'\-]*", NAME)
-    x = F.regexp_replace(x, r"[^\s\p{L}]*\d[\d.,:/]*", f" {NUMBER} ")
-    x = F.regexp_replace(x, NUMBER + r"\s+(?:(?i:" + UNITS + r")\b|[%€$£])", f"{NUMBER} {UNIT} ")
-    return F.lower(F.regexp_replace(x, r"\p{Punct}+", ""))
+def spaced(text: Column) -> Column:
+    """Text with numbers set apart and one blank between tokens; canonical and raw tokens are both read from it."""
+    x = F.regexp_replace(text, r"([^\s\p{L}]*\d[\d.,:/]*)", " $1 ")
+    return F.btrim(F.regexp_replace(x, r"\s+", " "))
 
 
-def raw_tokens(text: Column) -> Column:
-    """Tokens as they stand, split where canonical splits them, without those that hold punctuation only."""
-    x = F.regexp_replace(text, r"([^\s\p{L}]*\d[\d.,:/]*)", " $1 ")
-    return F.filter(F.split(x, r"\s+"), lambda t: F.regexp_replace(t, r"\p{Punct}+", "") != "")
+def canonical(spaced_text: Column) -> Column:
+    """spaced() text with placeholders, lower-cased, without punctuation; each token stays one token, NOTHING if it is empty."""
+    x = F.regexp_replace(spaced_text, r"(?<![^ ])[^ ]*\d[^ ]*", NUMBER)
+    x = F.regexp_replace(x, r"(?<=[^ .!?:] )[\"'(\[]?\p{Lu}[^ ]*", NAME)
+    x = F.regexp_replace(x, f"(?<={NUMBER} )" + r"(?:(?i:" + UNITS + r")|[%€$£])\p{Punct}*(?![^ ])", UNIT)
+    x = F.regexp_replace(x, r"(?<![^ ])\p{Punct}+(?![^ ])", NOTHING)
+    return F.lower(F.regexp_replace(x, r"\p{Punct}+", ""))
 
 
 def with_tokens(df: DataFrame, text: str, out: str) -> DataFrame:
-    return df.withColumn(out, F.filter(F.split(canonical(F.col(text)), r"\s+"), lambda t: t != ""))
+    return df.withColumn(out, F.filter(F.split(canonical(spaced(F.col(text))), " "), lambda t: (t != "") & (t != NOTHING)))
 
 
 def windows(tokens: str, size: int) -> Column:
@@ -64,9 +65,11 @@ def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
 
 def slot_values(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds the raw tokens in the places of the canonical ones, null where a token is no slot."""
-    df = with_tokens(df, text, "__c").withColumn("__r", raw_tokens(F.col(text)))
-    slot = lambda i: F.when(F.element_at("__c", i + 1).isin(NUMBER, UNIT, NAME), F.lower(F.regexp_replace(F.try_element_at("__r", i + 1), r"^\p{Punct}+|\p{Punct}+$", "")))
-    return df.withColumn(out, F.transform(F.sequence(F.lit(0), F.size("__c") - 1), slot)).drop("__c", "__r")
+    df = df.withColumn("__s", spaced(F.col(text)))
+    both = F.zip_with(F.split(canonical(F.col("__s")), " "), F.split("__s", " "), lambda c, r: F.struct(c.alias("c"), r.alias("r")))
+    df = df.withColumn("__p", F.filter(both, lambda p: (p["c"] != "") & (p["c"] != NOTHING)))
+    bare = lambda r: F.when(F.regexp_replace(r, r"\p{Punct}+", "") == "", r).otherwise(F.lower(F.regexp_replace(r, r"^\p{Punct}+|\p{Punct}+$", "")))
+    return df.withColumn(out, F.transform("__p", lambda p: F.when(p["c"].isin(NUMBER, UNIT, NAME), bare(p["r"])))).drop("__s", "__p")
 
 
 def benchmark_leaks(

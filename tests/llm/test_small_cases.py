@@ -289,3 +289,17 @@ def test_line_pairs_in_a_hot_band(spark):
     assert close == {(a, a - 1) for a in range(1, len(lines), 2)}
     got = {r["doc_id"] for r in line_dedup.dedup_lines(docs_of(spark, list(enumerate(lines)))).where("n_dropped > 0").collect()}
     assert got == {a for a, _ in close}
+
+
+def test_leaks_with_joined_tokens(spark):
+    items = [
+        (1, "In class Anna buys 12 pens while Anna sells 12 books to Tom"),
+        (2, "after COVID-19 about 5% of the users of GPT-4 on Windows10 saw Anna and 7 others meet Anna and 7 more in Q3"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of(spark, [(1, f"about 5% of COVID-19 cases. {items[0][1]} and so on"), (2, f"The 3% rule: GPT-4 says: {items[1][1]}."), (3, "In class Anna buys 12 pens while Paul sells 31 books to Tom")])
+    leaks = decontamination.benchmark_leaks(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["kind"], r["consistent"]) for r in leaks} == {(1, 1, "exact", 1.0), (2, 2, "exact", 1.0)}
+    odd = spark.createDataFrame([(x,) for _, x in items] + [("5% - 'Q3' $ 4 $, % -- GPT-4!? ",), ("",), (None,)], "t string")
+    for r in decontamination.slot_values(decontamination.with_tokens(odd, "t", "c"), "t", "v").collect():
+        assert (r["c"] is None and r["v"] is None) or [t in "\x01\x02\x03" for t in r["c"]] == [v is not None for v in r["v"]]
