@@ -1,11 +1,14 @@
 """Operator 1: benchmark decontamination by template canonicalisation. DataFrame functions only.
 
 Both sides are canonicalised: a token with a digit becomes a number placeholder, a unit after a number a unit
-placeholder, a capitalised token inside a sentence a name placeholder; the rest is lower-cased without punctuation. Runs
+placeholder, a capitalised token, or a run of them, a name placeholder (also at the begin of a sentence, where a name can't be told from
+another word); the rest is lower-cased without punctuation. Runs
 of WINDOW canonical tokens are hashed and joined. An item whose windows are covered to a share of least_cover or
 more in a document is a candidate, even if its numbers and names were replaced. Slots are then compared: the raw
-values at placeholders must map one to one, the same benchmark value always to the same value in the document.
-A candidate is a leak if there are no slots, or if the share of consistent slot values reaches least_consistent.
+values at placeholders must map one to one, the same benchmark value always to the same value in the document. That is
+judged for each shift between item and document, over the slots in the windows found at that shift. Shifts count if they
+hold no slots, or if the share of consistent slot values reaches least_consistent; a candidate is a leak if the
+windows of the shifts that count still reach least_cover.
 
 Windows of the benchmark are broadcast only if their counted bytes fit; else both sides are shuffled.
 
@@ -25,19 +28,21 @@ from .components import sized_join
 WINDOW, LEAST = 8, 5
 # Fixed unit words, after a number.
 UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|ft|in|miles?|meters?|metres?|feet|inch(?:es)?|hours?|hrs?|minutes?|mins?|seconds?|secs?|days?|weeks?|months?|years?|dollars?|euros?|cents?|percent|liters?|litres?|l|ml|mph|kmh|apples?|degrees?"
-NUMBER, UNIT, NAME, NOTHING = "\u0001", "\u0002", "\u0003", "\u0004"
+NUMBER, UNIT, NAME, NOTHING, JOINED = "\u0001", "\u0002", "\u0003", "\u0004", "\u0005"
 
 
 def spaced(text: Column) -> Column:
-    """Text with numbers set apart and one blank between tokens; canonical and raw tokens are both read from it."""
+    """Text with numbers set apart, runs of capitalised words joined and one blank between tokens; canonical and raw tokens are both read from it."""
     x = F.regexp_replace(text, r"([^\s\p{L}]*\d[\d.,:/]*)", " $1 ")
-    return F.btrim(F.regexp_replace(x, r"\s+", " "))
+    x = F.btrim(F.regexp_replace(x, r"\s+", " "))
+    # a run of capitalised words is one token: names of one and of several words look alike
+    return F.regexp_replace(x, r"(?<![^ ])([\"'(\[]?\p{Lu}[\p{L}'\-]*) (?=\p{Lu})", "$1" + JOINED)
 
 
 def canonical(spaced_text: Column) -> Column:
     """spaced() text with placeholders, lower-cased, without punctuation; each token stays one token, NOTHING if it is empty."""
     x = F.regexp_replace(spaced_text, r"(?<![^ ])[^ ]*\d[^ ]*", NUMBER)
-    x = F.regexp_replace(x, r"(?<=[^ .!?:] )[\"'(\[]?\p{Lu}[^ ]*", NAME)
+    x = F.regexp_replace(x, r"(?<![^ ])[\"'(\[]?\p{Lu}[^ ]*", NAME)
     x = F.regexp_replace(x, f"(?<={NUMBER} )" + r"(?:(?i:" + UNITS + r")|[%€$£])\p{Punct}*(?![^ ])", UNIT)
     x = F.regexp_replace(x, r"(?<![^ ])\p{Punct}+(?![^ ])", NOTHING)
     return F.lower(F.regexp_replace(x, r"\p{Punct}+", ""))
@@ -89,23 +94,34 @@ def benchmark_leaks(
         hits = found if hits is None else hits.unionByName(found)
     hits = materialize(hits, "hits")
     # An item covers a document along diagonals: the same shift between its windows and the document's.
-    met = hits.join(items, ["hash", "size"]).select("doc", "row", "item", "at", "n_windows", (F.col("doc_at") - F.col("at")).alias("shift"))
+    met = hits.join(items, ["hash", "size"]).select("doc", "row", "item", "at", "n_windows", "size", (F.col("doc_at") - F.col("at")).alias("shift"))
     cover = met.groupBy("doc", "row", "item", "n_windows").agg(F.count_distinct("at").alias("found"))
     candidates = cover.where(F.col("found") >= least_cover * F.col("n_windows")).select("doc", "row", "item", (F.col("found") / F.col("n_windows")).alias("cover"))
     candidates = materialize(candidates.groupBy("doc", "row", "item").agg(F.max("cover").alias("cover")), "candidates")
-    shifts = met.groupBy("doc", "row", "item", "shift").agg(F.count("*").alias("w")).join(candidates, ["doc", "row", "item"])
-    best = shifts.groupBy("doc", "row", "item", "cover").agg(F.max_by("shift", F.struct("w", -F.col("shift"))).alias("shift"))
+    shifts = met.join(candidates.select("row", "item").distinct(), ["row", "item"], "left_semi")
+    shifts = shifts.groupBy("row", "item", "n_windows", "size", "shift").agg(F.collect_set("at").alias("ats"))
 
     chosen = materialize(candidates.select("row").distinct(), "rows")
     wanted = sized_join(docs.select(F.xxhash64(text).alias("row"), F.col(text).alias("t")), chosen, "row", "left_semi", 16, most)
     doc_slots = materialize(slot_values(wanted, "t", "d").select("row", "d").dropDuplicates(["row"]), "docslots")
     item_slots = slot_values(benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("t")).where(F.col("item").isNotNull()), "t", "b")
-    item_slots = item_slots.select("item", F.posexplode("b").alias("i", "b")).where("b is not null")
-    pairs = best.join(item_slots, "item").join(doc_slots, "row").select("doc", "row", "item", "b", F.try_element_at("d", F.col("i") + F.col("shift") + 1).alias("v"))
-    values = pairs.groupBy("doc", "row", "item", "b").agg(F.count_distinct(F.coalesce("v", F.lit(""))).alias("n"), F.bool_and(F.coalesce(F.col("v") == F.col("b"), F.lit(False))).alias("same"))
-    slots = values.groupBy("doc", "row", "item").agg(F.count("*").alias("n_slots"), F.avg((F.col("n") == 1).cast("double")).alias("share"), F.bool_and("same").alias("same"))
-    judged = candidates.join(slots, ["doc", "row", "item"], "left").withColumn("share", F.coalesce("share", F.lit(1.0)))
-    kept = judged.where(F.col("share") >= least_consistent)
+    pairs = shifts.join(item_slots, "item").join(doc_slots, "row")
+    inside = lambda i: F.exists("ats", lambda at: (i >= at) & (i < at + F.col("size")))
+    values = F.transform("b", lambda b, i: F.struct(b.alias("b"), F.coalesce(F.try_element_at("d", i + F.col("shift") + 1), F.lit("")).alias("v"), inside(i).alias("inside")))
+    values = F.array_distinct(F.transform(F.filter(values, lambda x: x["inside"] & x["b"].isNotNull()), lambda x: F.struct(x["b"].alias("b"), x["v"].alias("v"))))
+    pairs = pairs.withColumn("values", values).withColumn("names", F.array_distinct(F.transform("values", lambda x: x["b"])))
+    # values are distinct pairs: a benchmark value is consistent if it stands in one of them only
+    once = F.size(F.filter("names", lambda n: F.size(F.filter("values", lambda x: x["b"] == n)) == 1))
+    pairs = pairs.select(
+        "row", "item", "n_windows", "ats", F.size("names").alias("n_slots"), F.when(F.size("names") == 0, F.lit(1.0)).otherwise(once / F.size("names")).alias("share"),
+        F.forall("values", lambda x: x["b"] == x["v"]).alias("same"),
+    ).where(F.col("share") >= least_consistent)
+    reached = lambda at: F.size(F.array_distinct(F.flatten(F.collect_list(at)))) >= least_cover * F.col("n_windows")
+    judged = pairs.groupBy("row", "item", "n_windows").agg(
+        F.max("n_slots").alias("n_slots"), F.max("share").alias("share"), reached("ats").alias("reached"),
+        reached(F.when(F.col("same"), F.col("ats"))).alias("same"),
+    ).where("reached")
+    kept = candidates.join(judged, ["row", "item"])
     # ids of documents may repeat or be null: one row for each pair
     kept = kept.groupBy("doc", "item").agg(
         F.max("cover").alias("cover"), F.max(F.coalesce("n_slots", F.lit(0))).cast("long").alias("n_slots"), F.max("share").alias("consistent"),

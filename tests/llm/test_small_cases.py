@@ -303,3 +303,12 @@ def test_leaks_with_joined_tokens(spark):
     odd = spark.createDataFrame([(x,) for _, x in items] + [("5% - 'Q3' $ 4 $, % -- GPT-4!? ",), ("",), (None,)], "t string")
     for r in decontamination.slot_values(decontamination.with_tokens(odd, "t", "c"), "t", "v").collect():
         assert (r["c"] is None and r["v"] is None) or [t in "\x01\x02\x03" for t in r["c"]] == [v is not None for v in r["v"]]
+
+
+def test_leaks_with_names_at_sentence_starts(spark):
+    item = "Tom has 5 apples. Tom buys 3 more apples. How many apples does Tom have?"
+    bench = spark.createDataFrame([(1, item), (2, "On Monday Tom gave 5 books to Tom and Anna, then Tom took 5 pens from Anna and left with Bob")], "item_id long, text string")
+    long = "On Monday {0} gave 8 books to {0} and {1}, then {0} took 8 pens from {1} and left with Bob"
+    texts = ["Look. " + item.replace("Tom", "Maria").replace("5", "9"), item.replace("Tom", "Mary Ann") + " Yes.", "so: " + item, long.format("Mary Ann", "Eve"), "Tom has 5 apples. Anna eats 2 pears. Who is glad about it?"]
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontamination.benchmark_leaks(docs_of(spark, list(enumerate(texts))), bench).collect()}
+    assert got == {(0, 1): "reparameterised", (1, 1): "reparameterised", (2, 1): "exact", (3, 2): "reparameterised"}
