@@ -27,22 +27,29 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
+def with_row(docs: DataFrame) -> DataFrame:
+    """Adds __row, never null, which tells rows apart that share an id or have none; null ids sort last, then the text's hash decides."""
+    return docs.withColumn("__row", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash")))
+
+
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: the document with the least id of each component stays; without words or id, all stay."""
-    found = jaccard_join.jaccard_components(docs)
-    gone = found.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
-    kept = sized_join(docs, materialize(gone, "gone"), "doc_id", "left_anti", 16)
-    repeated = found.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    if repeated.limit(1).count():  # rows that repeat an id and a set: one of them stays
-        rest = kept.join(repeated.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-        kept = rest.unionByName(kept.join(repeated.select("doc_id"), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    """Operator 3: one row of each component stays, that with the least id, then text hash; without words, all stay."""
+    rows = with_row(docs)
+    found = materialize(jaccard_join.jaccard_components(rows, key="__row"), "components")
+    gone = found.where("n_shingles > 0 and __row <> component_id").select("__row").distinct()
+    kept = sized_join(rows, materialize(gone, "gone"), "__row", "left_anti", 32)
+    repeated = materialize(found.where("n_shingles > 0 and __row = component_id").groupBy("__row").count().where("count > 1").select("__row"), "repeated")
+    if repeated.limit(1).count():  # rows that repeat an id and a text: one of them stays
+        rest = sized_join(kept, repeated, "__row", "left_anti", 32)
+        kept = rest.unionByName(sized_join(kept, repeated, "__row", "left_semi", 32).dropDuplicates(["__row"]))
     return kept.select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: documents that hold a benchmark item, or one with other numbers and names, go."""
-    leaks = decontamination.benchmark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return decontamination.leaking_rows(docs, leaks).select(docs.columns)
+    """Operator 1: rows that hold a benchmark item, or one with other numbers and names, go."""
+    rows = with_row(docs)
+    leaks = decontamination.benchmark_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="__row")
+    return decontamination.leaking_rows(rows, leaks, key="__row").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

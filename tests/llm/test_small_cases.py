@@ -312,3 +312,17 @@ def test_leaks_with_names_at_sentence_starts(spark):
     texts = ["Look. " + item.replace("Tom", "Maria").replace("5", "9"), item.replace("Tom", "Mary Ann") + " Yes.", "so: " + item, long.format("Mary Ann", "Eve"), "Tom has 5 apples. Anna eats 2 pears. Who is glad about it?"]
     got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontamination.benchmark_leaks(docs_of(spark, list(enumerate(texts))), bench).collect()}
     assert got == {(0, 1): "reparameterised", (1, 1): "reparameterised", (2, 1): "exact", (3, 2): "reparameterised"}
+
+
+def test_stages_go_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    text = lambda name, n=30: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(1, text("a")), (1, text("b")), (1, text("c")), (1, text("c")), (2, text("b")), (2, text("d")), (None, text("e")), (None, text("e") + " more"), (None, text("f")), (None, text("a")), (3, None), (3, ""), (None, None)]
+    got = [(r["doc_id"], (r["text"] or "-")[:1]) for r in corpus_pipeline.dedup_documents(spark, docs_of(spark, rows), "").collect()]
+    assert sorted(got, key=str) == sorted([(1, "a"), (1, "b"), (1, "c"), (2, "d"), (None, "e"), (None, "f"), (3, "-"), (3, "-"), (None, "-")], key=str)
+    spark.createDataFrame([(1, "seven plain words stand here as one")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    leak = "x seven plain words stand here as one y"
+    docs = docs_of(spark, [(1, leak), (1, "clean"), (None, leak), (None, "clean"), (None, None), (2, "clean")])
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(1, "clean"), (None, "clean"), (None, None), (2, "clean")], key=str)
