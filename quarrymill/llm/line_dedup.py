@@ -64,11 +64,12 @@ def similar_pairs(lines: DataFrame, candidates: DataFrame, threshold: float) ->
     """The pairs (a, b) of candidates whose shingle sets have a Jaccard of threshold or more."""
     wanted = materialize(candidates.select(F.col("a").alias(LID)).unionByName(candidates.select(F.col("b").alias(LID))).distinct(), "wanted")
     found = sized_join(lines.select(LID, "norm"), wanted, LID, "left_semi", 16)
-    sets = with_hashes(found, "norm", "s").select(LID, "s").dropDuplicates([LID])
-    sets = materialize(sets, "linesets")
-    a, b = sets.select(F.col(LID).alias("a"), F.col("s").alias("x")), sets.select(F.col(LID).alias("b"), F.col("s").alias("y"))
+    # texts are moved, not their sets, which are eight times as large
+    texts = materialize(found.dropDuplicates([LID]), "linetexts")
+    a, b = texts.select(F.col(LID).alias("a"), F.col("norm").alias("s")), texts.select(F.col(LID).alias("b"), F.col("norm").alias("t"))
+    met = with_hashes(with_hashes(candidates.join(a, "a").join(b, "b"), "s", "x"), "t", "y")
     common = F.size(F.array_intersect("x", "y"))
-    return candidates.join(a, "a").join(b, "b").where(common >= threshold * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return met.withColumn("common", common).where(F.col("common") >= threshold * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
 
 
 def crossing_pairs(members: DataFrame, threshold: float) -> DataFrame:
