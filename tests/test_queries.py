@@ -62,3 +62,12 @@ def test_permutation_changes_nothing(spark):
     want = sorted(map(tuple, rarest(rows, "e", "l", ["a", "b", "c"]).collect()))
     assert want == [(1, "a"), (2, "b"), (3, "c")]
     assert sorted(map(tuple, rarest(rows.repartition(7).orderBy(F.desc("e")), "e", "l", ["a", "b", "c"]).collect())) == want
+
+
+def test_recode_of_many_names(spark, tmp_path):
+    from quarrymill.plans import relational_queries
+
+    rows = [(k, f"{k:04d} segment") for k in range(1500)] + [(1500, None)]
+    spark.createDataFrame(rows, "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {r["c_mktsegment"]: (r["code"], r["n"]) for r in relational_queries.recode(spark, str(tmp_path)).collect()}
+    assert got == {name: (name and name[:3], 1) for _, name in rows}
