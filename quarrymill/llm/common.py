@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 import zlib
 
@@ -17,12 +16,10 @@ CACHE = 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where that is unset."""
-    conf = spark.sparkContext.getConf()
-    found = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder (spark.checkpoint.dir); it has to be set, as no folder of one machine would do."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="quarrymill-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return found.rstrip("/")
 
 
@@ -35,13 +32,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def release(df: DataFrame) -> None:
-    """Delete a table that materialize wrote and nothing reads any more."""
-    path = getattr(df, "_quarrymill_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+def release(*tables: DataFrame) -> None:
+    """Delete tables that materialize wrote and nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_quarrymill_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until no column of df has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def id_remainder(column: str, modulus: int) -> Column:

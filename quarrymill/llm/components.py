@@ -2,7 +2,7 @@
 
 Large-star and small-star rounds (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014). No node's
 neighbours are gathered: each round takes minima, which combine before the shuffle, and joins them back, where
-AQE splits a hot node. Each round is written to the shared folder, so a lost executor costs one round.
+AQE splits a hot node. Every second round is written to the shared folder, so a lost executor costs two rounds.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         if state == seen:
             break
         state = seen
-        after = materialize(_small_star(_large_star(now)), "edges")
+        after = materialize(_small_star(_large_star(_small_star(_large_star(now)))), "edges")  # two rounds for each table
         release(now)
         now = after
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
@@ -49,9 +49,17 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     )
 
 
+def held_bytes(df: DataFrame, row_bytes: int) -> int:
+    """A bound of what df takes in memory: row_bytes for each row, and the counted bytes of its strings."""
+    strings = [F.sum(F.octet_length(f"`{c}`")) for c, kind in df.dtypes if kind == "string"]
+    strings += [F.sum(F.octet_length(F.to_json(f"`{c}`"))) for c, kind in df.dtypes if kind.startswith(("struct", "array")) and "string" in kind]
+    got = df.agg(F.count("*"), *strings).first()
+    return got[0] * row_bytes + sum(x or 0 for x in got[1:])
+
+
 def sized_join(large: DataFrame, small: DataFrame, on, how: str, row_bytes: int, most: int = 32 << 20) -> DataFrame:
-    """Join a table that was written before; it is broadcast only if its counted rows fit into most bytes.
+    """Join a table that was written before; it is broadcast only if its counted bytes fit into most.
 
-    Beyond that Spark shuffles both sides, and AQE splits hot keys.
+    Beyond that Spark shuffles both sides, and AQE splits hot keys; the hint keeps Spark from broadcasting by file size.
     """
-    return large.join(F.broadcast(small) if small.count() * row_bytes <= most else small, on, how)
+    return large.join(F.broadcast(small) if held_bytes(small, row_bytes) <= most else small.hint("merge"), on, how)

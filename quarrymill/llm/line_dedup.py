@@ -1,9 +1,14 @@
 """Operator 6: fuzzy line dedup by MinHash. DataFrame functions only.
 
-A line's set holds its character shingles: the SHINGLE characters from every character on, hashed. The signature orders the hashes in a circle; band b is made
-of the ROWS hashes that follow the band's fixed point, so two lines agree in a band with about the chance
-J ** ROWS, and BANDS bands catch J = 0.8 in about 99 of 100 cases, J = 0.9 in all but a few of 100,000.
-Lines that share a band are compared with the band's least and greatest line first; exact Jaccard decides and distributed
+A line's set holds its character shingles: the SHINGLE characters from every character on, hashed. The exact Jaccard
+that decides a pair is over these whole sets. A signature costs a hash for each shingle it looks at, so it looks at a sample that the
+content chooses: the shingles that begin a word. A line with fewer than 2 * FEW of them has a signature of all its
+shingles besides, so that lines with few or no words have one as well, and pairs around the border share a kind.
+
+The signature orders its hashes in a circle; band b is made of the ROWS hashes that follow the band's fixed point, so
+two lines agree in a band with about the chance J ** ROWS, and BANDS bands catch J = 0.8 in about 99 of 100 cases, J = 0.9 in
+all but a few of 100,000 (recall against all pairs is tested).
+A line is compared with the least line that it shares a band with first; exact Jaccard decides and distributed
 union-find joins the links. In bands that then still hold several components, all pairs between different components
 are decided too, so every pair that shares a band is decided or already joined. The first line of each component
 (least id, then position) stays.
@@ -12,62 +17,70 @@ Lines are compared trimmed and in lower case; blank lines are kept and not count
 hash. Texts move only where the rows to keep are too many to broadcast by a checked size.
 
 Defined cases: a null text stays null and has no lines. Documents with equal id and text are treated as one and keep
-the same lines. A null id sorts last. Ties go to the smaller position. Empty tables give empty results. Extra
-columns pass through.
+the same lines. Ids of any sortable type; a null id sorts last. Ties go to the smaller position. Empty tables give
+empty results. Extra columns pass through; the names of the two counts are a parameter, and a column of docs with
+such a name is replaced.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_name, materialize, release
 from .components import connected_components, sized_join
 
-SHINGLE, BANDS, ROWS = 9, 6, 3
+SHINGLE, BANDS, ROWS, FEW = 9, 6, 3, 8
 THRESHOLD = 0.8
 ROW, LINE_NO, LID = "__row", "__no", "__lid"
+NO_HASHES = "cast(array() as array<bigint>)"
 #: The bands' fixed points, spread over the 64-bit numbers.
 POINTS = [-(2**63) + (2 * b + 1) * (2**63 // BANDS) for b in range(BANDS)]
 
 
 def with_hashes(lines: DataFrame, line: str, out: str) -> DataFrame:
     """Adds the distinct hashes of each line's character shingles; a shorter line is one shingle."""
+    return lines.withColumn(out, all_hashes(F.col(line)))
+
+
+def all_hashes(line: Column) -> Column:
     # four bytes a character, so that a slice needs no scan; bound as a variable, or each slice would encode the line again
     at = lambda u: F.sequence(F.lit(0), F.greatest(F.floor(F.length(u) / 4).cast("int") - SHINGLE, F.lit(0)))
     cut = F.transform(F.array(F.encode(line, "UTF-32")), lambda u: F.transform(at(u), lambda i: F.xxhash64(F.substring(u, i * 4 + 1, F.lit(4 * SHINGLE)))))
-    return lines.withColumn(out, F.array_distinct(F.element_at(cut, 1)))
+    return F.array_distinct(F.element_at(cut, 1))
+
+
+def sampled_hashes(line: Column) -> Column:
+    """The hashes of the whole shingles that begin a word (of ASCII letters and digits)."""
+    cut = F.regexp_extract_all(line, F.lit(r"(?s)\b(?=(\w.{%d}))" % (SHINGLE - 1)), F.lit(1))
+    return F.array_distinct(F.transform(cut, lambda s: F.xxhash64(s)))
 
 
-def with_bands(lines: DataFrame, hashes: str) -> DataFrame:
-    """Adds BANDS keys b0, b1, ...; a line with fewer hashes than ROWS uses what it has. hashes is not empty."""
-    points = F.array(*[F.lit(p) for p in POINTS])
-    many = F.size(hashes) >= 4 * BANDS
-    lines = lines.withColumn("__c", F.sort_array(F.when(many, F.concat(hashes, points)).otherwise(F.col(hashes))))
-    lines = lines.withColumn("__d", F.concat("__c", "__c", "__c")).withColumn("__r", F.least(F.lit(ROWS), F.size("__c")))
-    for b, point in enumerate(POINTS):
-        begin = F.when(many, F.array_position("__c", F.lit(point)).cast("int")).otherwise(F.size(F.filter("__c", lambda h, p=point: h < F.lit(p))))
-        lines = lines.withColumn(f"b{b}", F.xxhash64(F.lit(b), F.slice("__d", begin + 1, F.col("__r"))))
-    return lines.drop("__c", "__d", "__r")
+def with_bands(lines: DataFrame, hashes: str, kind: int, out: str) -> DataFrame:
+    """Adds the BANDS keys of a signature; one with fewer hashes than ROWS uses what it has, one of none has no keys."""
+    # columns of their own, as each is used more than once
+    lines = lines.withColumn("__c", F.sort_array(hashes))
+    lines = lines.withColumn("__m", F.sort_array(F.concat("__c", F.array(*[F.lit(p) for p in POINTS])))).withColumn("__d", F.concat("__c", "__c"))
+    # as many hashes lie before point b as its place says, without the b points before it
+    keys = [F.xxhash64(F.lit(kind * BANDS + b), F.slice("__d", F.array_position("__m", F.lit(p)).cast("int") - b, F.least(F.lit(ROWS), F.size("__c")))) for b, p in enumerate(POINTS)]
+    return lines.withColumn(out, F.when(F.size("__c") > 0, F.array_distinct(F.array(*keys))).otherwise(F.expr(NO_HASHES))).drop("__c", "__m", "__d")
 
 
 def numbered_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """ROW, key, LINE_NO, LID, norm of each line that isn't blank."""
-    lines = docs.select(F.xxhash64(key, text).alias(ROW), F.col(key).alias("__key"), F.posexplode(F.split(text, "\n")).alias(LINE_NO, "__line"))
-    norm = lines.select(ROW, "__key", LINE_NO, F.lower(F.btrim("__line", F.lit(" \t\r"))).alias("norm")).where("norm <> ''")
+    """ROW, who (sorts as the ids, null last), LINE_NO, LID, norm of each line that isn't blank."""
+    who = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"))
+    lines = docs.select(F.xxhash64(key, text).alias(ROW), who.alias("who"), F.posexplode(F.split(text, "\n")).alias(LINE_NO, "__line"))
+    norm = lines.select(ROW, "who", LINE_NO, F.lower(F.btrim("__line", F.lit(" \t\r"))).alias("norm")).where("norm <> ''")
     return norm.withColumn(LID, F.xxhash64("norm"))
 
 
-def similar_pairs(lines: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of candidates whose shingle sets have a Jaccard of threshold or more."""
-    wanted = materialize(candidates.select(F.col("a").alias(LID)).unionByName(candidates.select(F.col("b").alias(LID))).distinct(), "wanted")
-    found = sized_join(lines.select(LID, "norm"), wanted, LID, "left_semi", 16)
-    # texts are moved, not their sets, which are eight times as large
-    texts = materialize(found.dropDuplicates([LID]), "linetexts")
+def similar_pairs(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a Jaccard of threshold or more. Texts are moved, not their sets, which are eight times as large."""
+    pairs = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work
     a, b = texts.select(F.col(LID).alias("a"), F.col("norm").alias("s")), texts.select(F.col(LID).alias("b"), F.col("norm").alias("t"))
-    met = with_hashes(with_hashes(candidates.join(a, "a").join(b, "b"), "s", "x"), "t", "y")
+    met = with_hashes(with_hashes(sized_join(sized_join(pairs, a, "a", "inner", 48), b, "b", "inner", 48), "s", "x"), "t", "y")
     common = F.size(F.array_intersect("x", "y"))
     return met.withColumn("common", common).where(F.col("common") >= threshold * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
 
@@ -96,48 +109,57 @@ def crossing_pairs(members: DataFrame, threshold: float) -> DataFrame:
 def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """ROW and drop (array of line numbers) of the documents that lose lines."""
     lines = numbered_lines(docs, key, text)
-    occurrences = with_bands(with_hashes(lines, "norm", "h"), "h")
-    occurrences = materialize(occurrences.select(ROW, "__key", LINE_NO, LID, F.size("h").alias("size"), *[f"b{b}" for b in range(BANDS)]), "lines")
-    distinct = materialize(occurrences.groupBy(LID).agg(F.count("*").alias("n"), F.min("size").alias("size"), *[F.min(f"b{b}").alias(f"b{b}") for b in range(BANDS)]), "distinct")
-    bands = distinct.select(LID, "size", F.explode(F.array(*[F.col(f"b{b}") for b in range(BANDS)])).alias("band"))
-    ends = bands.groupBy("band").agg(F.min(LID).alias("lo"), F.max(LID).alias("hi")).where("lo <> hi")
-    ends = materialize(ends, "ends")
-    met = sized_join(bands, ends, "band", "inner", 40)
-    pairs = met.select(F.explode(F.array(F.struct(F.col(LID).alias("a"), F.col("lo").alias("b")), F.struct(F.col("hi").alias("a"), F.col(LID).alias("b")))).alias("p")).select("p.*")
-    pairs = materialize(pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
-    links = materialize(similar_pairs(lines, pairs, threshold), "links")
+    some = lines.withColumn("s", sampled_hashes(F.col("norm"))).withColumn("n", F.size("s"))
+    some = some.withColumn("h", F.when(F.col("n") < 2 * FEW, all_hashes(F.col("norm"))).otherwise(F.expr(NO_HASHES))).withColumn("s", F.when(F.col("n") >= FEW, F.col("s")).otherwise(F.expr(NO_HASHES)))
+    some = with_bands(with_bands(some, "s", 0, "x"), "h", 1, "y")
+    occurrences = materialize(some.select(ROW, "who", LINE_NO, LID, F.concat("x", "y").alias("bands")), "lines")
+    # rows of one line have the same keys; exact repeats meet before the bands do
+    distinct = materialize(occurrences.groupBy(LID).agg(F.count("*").alias("n"), F.first("bands").alias("bands")), "distinct")
+    bands = distinct.select(LID, F.explode("bands").alias("band"))
+    shared = materialize(bands.groupBy("band").agg(F.min(LID).alias("lo"), F.count("*").alias("m")).where("m > 1").select("band", "lo"), "shared")
+    met = materialize(sized_join(bands, shared, "band", "inner", 32), "met")
+    # a line and the least of all that it shares a band with
+    partners = materialize(met.groupBy(LID).agg(F.min("lo").alias("lo")), "partners")
+    found = sized_join(lines.select(LID, "norm"), partners.select(LID), LID, "left_semi", 16).dropDuplicates([LID])
+    texts = materialize(found.withColumn("size", F.size(all_hashes(F.col("norm")))), "linetexts")
+    links = materialize(similar_pairs(texts, partners.where(f"lo <> {LID}").select(F.col(LID).alias("a"), F.col("lo").alias("b")), threshold), "links")
     comp = materialize(connected_components(links, "a", "b"), "comp")
 
-    # what the ends left open
-    root = comp.withColumnRenamed("node", LID)
-    members = met.select(LID, "size", "band").join(root, LID, "left").withColumn("comp", F.coalesce("root", LID)).drop("root")
-    crossing = materialize(crossing_pairs(materialize(members, "members"), threshold).join(pairs, ["a", "b"], "left_anti"), "crossing")
-    more = materialize(similar_pairs(lines, crossing, threshold), "links")
-    if more.count():
+    # what that left open
+    members = sized_join(met.select(LID, "band"), texts.select(LID, "size"), LID, "inner", 32)
+    members = sized_join(members, comp.withColumnRenamed("node", LID), LID, "left", 32).withColumn("comp", F.coalesce("root", LID)).drop("root")
+    crossing = materialize(crossing_pairs(materialize(members, "members"), threshold), "crossing")
+    release(shared, met, partners)
+    more = materialize(similar_pairs(texts, crossing, threshold), "links")
+    if more.limit(1).count():
         comp = materialize(connected_components(links.unionByName(more), "a", "b"), "comp")
+    release(crossing, texts)
 
     # the lines that occur again, as themselves or in another form
-    again = distinct.select(LID, "n").join(comp.withColumnRenamed("node", LID), LID, "left").where("n > 1 or root is not null")
+    again = sized_join(distinct.select(LID, "n"), comp.withColumnRenamed("node", LID), LID, "left", 32).where("n > 1 or root is not null")
     again = materialize(again.select(LID, F.coalesce("root", LID).alias("comp")), "again")
-    last = F.lit(2**63 - 1)
-    repeated = sized_join(occurrences.select(ROW, "__key", LINE_NO, LID), again, LID, "inner", 24)
-    repeated = materialize(repeated.select(ROW, LINE_NO, "comp", F.coalesce(F.col("__key").cast("long"), last).alias("who")), "repeated")
-    # minima combine before the shuffle, and a hot component can be split in the join
-    first = repeated.groupBy("comp").agg(F.min(F.struct("who", ROW, LINE_NO)).alias("first"))
-    gone = repeated.join(first, "comp").where((F.col(ROW) != F.col(f"first.{ROW}")) | (F.col(LINE_NO) != F.col(f"first.{LINE_NO}")))
+    repeated = materialize(sized_join(occurrences.select(ROW, "who", LINE_NO, LID), again, LID, "inner", 32).select(ROW, LINE_NO, "comp", "who"), "repeated")
+    release(occurrences, distinct)
+    # minima combine before the shuffle; written, so that a hot component can be split in the join
+    first = materialize(repeated.groupBy("comp").agg(F.min(F.struct("who", ROW, LINE_NO)).alias("first")).select("comp", F.col(f"first.{ROW}").alias("r"), F.col(f"first.{LINE_NO}").alias("l")), "first")
+    gone = sized_join(repeated.drop("who"), first, "comp", "inner", 48).where((F.col(ROW) != F.col("r")) | (F.col(LINE_NO) != F.col("l")))
     return gone.groupBy(ROW).agg(F.collect_set(LINE_NO).alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs with the kept lines as text, and n_lines, n_dropped (long)."""
-    drops = materialize(dropped_lines(docs, key, text, threshold), "drops")
-    rows = docs.withColumn(ROW, F.xxhash64(key, text))
-    size = drops.agg(F.coalesce(F.sum(F.size("drop")), F.lit(0))).first()[0]
-    rows = rows.join(F.broadcast(drops) if size * 8 + drops.count() * 48 <= 32 << 20 else drops, ROW, "left")
-    rows = rows.withColumn("__parts", F.split(text, "\n"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), F.col("drop"))
-    kept = F.array_join(F.transform(left, lambda i: F.element_at("__parts", i + 1)), "\n")
-    full = F.filter("__parts", lambda x: F.btrim(x, F.lit(" \t\r")) != "")
-    rows = rows.withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size(full)).cast("long"))
-    rows = rows.withColumn("n_dropped", F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long"))
-    return rows.withColumn(text, F.when(F.col("drop").isNull() | F.col(text).isNull(), F.col(text)).otherwise(kept)).drop(ROW, "drop", "__parts")
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+    """docs with the kept lines as text, and two counts (long): of lines, and of dropped ones."""
+    row, gone, parts = (free_name(docs, x) for x in ("row", "gone", "parts"))
+    drops = materialize(dropped_lines(docs, key, text, threshold).select(F.col(ROW).alias(row), F.col("drop").alias(gone)), "drops")
+    rows = docs.withColumn(row, F.xxhash64(key, text))
+    size = drops.agg(F.coalesce(F.sum(F.size(gone) * 8 + 64), F.lit(0))).first()[0]
+    rows = rows.join(F.broadcast(drops) if size <= 32 << 20 else drops.hint("merge"), row, "left")
+    rows = rows.withColumn(parts, F.split(text, "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone))
+    kept = F.array_join(F.transform(left, lambda i: F.element_at(parts, i + 1)), "\n")
+    full = F.filter(parts, lambda x: F.btrim(x, F.lit(" \t\r")) != "")
+    rows = rows.withColumns({
+        counts[0]: F.when(F.col(text).isNull(), 0).otherwise(F.size(full)).cast("long"),
+        counts[1]: F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long"),
+        text: F.when(F.col(gone).isNull() | F.col(text).isNull(), F.col(text)).otherwise(kept),
+    })
+    return rows.drop(row, gone, parts)

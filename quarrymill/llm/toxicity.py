@@ -1,15 +1,19 @@
 """Operator 10: toxicity by a factorization machine over hashed terms.
 
 Terms of a text are its distinct lower-cased words and their prefixes of five letters (inflected forms meet there),
-hashed to buckets. The fit chooses the buckets that tell the classes apart most and learns a weight and a factor
-vector for each; pairs of terms interact through the factors' inner products, which a linear score can't.
+hashed to BUCKETS buckets. Every bucket has a weight and a factor vector; pairs of terms interact through the factors'
+inner products, which a linear score can't express. Buckets take part by how often they occur (LEAST_SHARE of the rows
+of the fit), never by what they tell alone: a term that tells nothing alone may tell much beside another one. Pairs
+are weighted by PAIR / the number of terms, so that long texts aren't decided by their length. A slope and an
+intercept are then chosen on rows the machine wasn't fitted on.
 
 The fit uses at most train_rows labelled rows, those with the smallest hash of their id (a documented bound);
-scoring covers every whole text.
+scoring covers every whole text. The driver holds four bytes for each term of these rows and the model.
 
 Defined cases: null texts count as empty and are scored by the bias alone. Labels other than 0 and 1, and null
 ones, are not learnt from; a document with several labels is learnt from with each. With no usable labels, or one
-class only, scores are the share of positives (0.5 if there are no labels). Null ids are scored like others.
+class only, scores are the share of positives (0.5 if there are no labels). Null ids are scored like others. Extra
+columns pass through; the score's name is a parameter, so that it can't meet one of theirs.
 """
 
 from __future__ import annotations
@@ -22,22 +26,21 @@ from pyspark.sql import functions as F
 
 from .common import CACHE, WORD, Hashed
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
+PAIR, LEAST_SHARE = 16.0, 0.002
 
 
 class Terms(dict):
-    """word -> the chosen columns of its terms."""
+    """word -> the buckets of its terms."""
 
-    def __init__(self, columns):
+    def __init__(self):
         super().__init__()
-        self.hashed, self.columns = Hashed(BUCKETS), columns
+        self.hashed = Hashed(BUCKETS)
 
     def __missing__(self, word: str) -> tuple:
         if len(self) >= CACHE:
             self.clear()
-        buckets = {self.hashed["w" + word]} | ({self.hashed["p" + word[:5]]} if len(word) >= 5 else set())
-        found = buckets if self.columns is None else {int(c) for c in self.columns[list(buckets)] if c >= 0}
-        got = self[word] = tuple(found)
+        got = self[word] = (self.hashed["w" + word], self.hashed["p" + word[:5]]) if len(word) >= 5 else (self.hashed["w" + word],)
         return got
 
 
@@ -45,115 +48,139 @@ def text_terms(text: str, terms: Terms) -> list[int]:
     return sorted({c for w in set(WORD.findall(text.lower())) for c in terms[w]})
 
 
+def segment_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sums of consecutive runs of rows of values; an empty run sums to zero."""
+    out = np.zeros((len(sizes), *values.shape[1:]))
+    full = np.flatnonzero(sizes)
+    if len(full):
+        out[full] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[full], axis=0)
+    return out
+
+
 @dataclass
 class Model:
-    """columns: bucket -> column or -1; w, v: by column."""
+    """bias + sum of w + pair / n * sum over pairs of <v, v>, over the n terms of a row; w and v of unused buckets are 0."""
 
     bias: float
     w: np.ndarray
     v: np.ndarray
-    columns: np.ndarray
+    pair: float = PAIR
 
-    def raw(self, index: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scores and factor sums of rows; row i has index[starts[i]:starts[i + 1]]."""
-        sizes = np.diff(starts)
-        rows = np.repeat(np.arange(len(sizes)), sizes)
+    def raw(self, index: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and factor sums of rows that hold sizes[0], sizes[1], ... of the buckets in index."""
+        if not len(self.w) or not len(index):
+            return np.full(len(sizes), self.bias), np.zeros((len(sizes), self.v.shape[1]))
         v = self.v[index]
-        sums = np.stack([np.bincount(rows, v[:, f], len(sizes)) for f in range(v.shape[1])], axis=1) if len(index) else np.zeros((len(sizes), self.v.shape[1]))
-        squares = np.bincount(rows, (v * v).sum(axis=1), len(sizes)) if len(index) else np.zeros(len(sizes))
-        return self.bias + np.bincount(rows, self.w[index], len(sizes)) + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
-
-
-def choose_columns(index: np.ndarray, rows: np.ndarray, labels: np.ndarray, most: int, least_rows: int = 4) -> np.ndarray:
-    """bucket -> column of the buckets that differ most between the classes; -1 for the rest."""
-    pos, neg = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
-    a = np.bincount(index[labels[rows] == 1], minlength=BUCKETS).astype("float64")
-    b = np.bincount(index[labels[rows] == 0], minlength=BUCKETS).astype("float64")
-    share = (a + b) / (pos + neg)
-    z = np.abs(a / pos - b / neg) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / pos + 1 / neg))
-    z[a + b < least_rows] = 0
-    best = np.argsort(-z, kind="stable")[:most]
-    best = np.sort(best[z[best] > 3])
-    columns = np.full(BUCKETS, -1, dtype="int32")
-    columns[best] = np.arange(len(best))
-    return columns
-
-
-def fit(docs: list[np.ndarray], labels: np.ndarray, factors: int = 8, most: int = 4096, epochs: int = 25, batch: int = 256, rate: float = 0.1, decay: float = 1e-4, seed: int = 11) -> Model:
-    """Log loss by minibatches with adaptive steps; docs hold buckets."""
+        sums = segment_sums(v, sizes)
+        squares = segment_sums((v * v).sum(axis=1), sizes)
+        pairs = 0.5 * ((sums * sums).sum(axis=1) - squares)
+        return self.bias + segment_sums(self.w[index], sizes) + self.pair / np.maximum(sizes, 1) * pairs, sums
+
+
+def calibrated(m: Model, raw: np.ndarray, labels: np.ndarray) -> Model:
+    """The model with slope and intercept that lower the log loss of raw; both are held near 1 and 0 by a weak prior."""
+    at = np.array([1.0, 0.0])
+    rows = np.stack([raw, np.ones(len(raw))], axis=1)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(rows @ at, -30, 30)))
+        slope = rows.T @ (p - labels) + 0.5 * (at - [1.0, 0.0])
+        bend = (rows * (p * (1 - p))[:, None]).T @ rows + 0.5 * np.eye(2)
+        at = at - np.clip(np.linalg.solve(bend, slope), -0.2, 0.2)
+    a, b = max(float(at[0]), 0.1), float(at[1])
+    return Model(a * m.bias + b, (a * m.w).astype("float32"), m.v.astype("float32"), a * m.pair)
+
+
+def fit(index: np.ndarray, sizes: np.ndarray, labels: np.ndarray, factors: int = 4, epochs: int = 5, batch: int = 256, rate: float = 0.1, decay: float = 1e-3, seed: int = 11) -> Model:
+    """Log loss by minibatches with adaptive steps over nine tenths of the rows, the calibration from the last tenth.
+
+    Row i holds the next sizes[i] buckets of index, each once.
+    """
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     bias = float(np.log(share / (1 - share)))
     if not len(labels) or labels.min() == labels.max():
-        return Model(bias, np.zeros(0), np.zeros((0, factors)), np.full(BUCKETS, -1, dtype="int32"))
-    sizes = np.array([len(d) for d in docs])
-    index, rows = np.concatenate(docs).astype("int64"), np.repeat(np.arange(len(docs)), sizes)
-    columns = choose_columns(index, rows, labels, most)
-    kept = columns[index] >= 0
-    index, rows = columns[index[kept]], rows[kept]
-    starts = np.searchsorted(rows, np.arange(len(docs) + 1))
+        return Model(bias, np.zeros(0), np.zeros((0, factors)))
+    starts = np.cumsum(sizes) - sizes
     rng = np.random.default_rng(seed)
-    n = int(columns.max()) + 1
-    m = Model(bias, np.zeros(n), rng.normal(0, 0.02, (n, factors)), columns)
-    gw, gv, gb = np.full(n, 1e-6), np.full((n, factors), 1e-6), 1e-6
+    known = np.bincount(index, minlength=BUCKETS) >= max(2, LEAST_SHARE * len(labels))
+    m = Model(bias, np.zeros(BUCKETS), np.where(known[:, None], rng.normal(0, 0.05, (BUCKETS, factors)), 0))
+    gw, gv, gb = np.full(BUCKETS, 1e-6), np.full((BUCKETS, factors), 1e-6), 1e-6
+    mixed = rng.permutation(len(labels))
+    cut = len(labels) - len(labels) // 10
+    rows_of = lambda some: np.concatenate([index[starts[i] : starts[i] + sizes[i]] for i in some])
     for _ in range(epochs):
-        order = rng.permutation(len(docs))
+        order = rng.permutation(mixed[:cut])
         for at in range(0, len(order), batch):
             own = order[at : at + batch]
-            part = [index[starts[i] : starts[i + 1]] for i in own]
-            size = np.array([len(p) for p in part])
-            idx = np.concatenate(part)
-            raw, sums = m.raw(idx, np.concatenate([[0], np.cumsum(size)]))
+            size, idx = sizes[own], rows_of(own)
+            raw, sums = m.raw(idx, size)
             g = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[own]) / len(own)
             gb += g.sum() ** 2
             m.bias -= rate * g.sum() / np.sqrt(gb)
+            r = np.repeat(np.arange(len(own)), size)[known[idx]]
+            idx = idx[known[idx]]
             if not len(idx):
                 continue
-            r = np.repeat(np.arange(len(own)), size)
-            dw = np.bincount(idx, g[r], n) + decay * m.w
-            gw += dw * dw
-            m.w -= rate * dw / np.sqrt(gw)
-            inner = g[r, None] * (sums[r] - m.v[idx])
-            dv = np.stack([np.bincount(idx, inner[:, f], n) for f in range(factors)], axis=1) + decay * m.v
-            gv += dv * dv
-            m.v -= rate * dv / np.sqrt(gv)
-    return m
+            # only the buckets of this batch move
+            used, place = np.unique(idx, return_inverse=True)
+            w, v = m.w[used], m.v[used]
+            dw = np.bincount(place, g[r], len(used)) + decay * w
+            gw[used] += dw * dw
+            m.w[used] = w - rate * dw / np.sqrt(gw[used])
+            pull = g * m.pair / np.maximum(size, 1)
+            inner = pull[:, None] * sums
+            own_pull = np.bincount(place, pull[r], len(used))
+            dv = np.stack([np.bincount(place, inner[r, f], len(used)) for f in range(factors)], axis=1) - own_pull[:, None] * v + decay * v
+            gv[used] += dv * dv
+            m.v[used] = v - rate * dv / np.sqrt(gv[used])
+    rest = mixed[cut:]
+    return calibrated(m, m.raw(rows_of(rest), sizes[rest])[0], labels[rest]) if len(rest) else Model(m.bias, m.w.astype("float32"), m.v.astype("float32"))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", train_rows: int = 20_000, key: str = "doc_id", text: str = "text", **options) -> Model:
     """Fit on the bounded sample of labels for which learn holds."""
     usable = labels.where(learn & F.col(label).isin(0, 1) & F.col(key).isNotNull())
-    sample = usable.select(key, F.col(label).cast("int").alias("y")).orderBy(F.xxhash64(key), key, "y").limit(train_rows)
+    sample = usable.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).orderBy(F.xxhash64("k"), "k", "y").limit(train_rows)
 
     def terms(batches):
         import pyarrow as pa
 
-        all_terms = Terms(None)
+        known = Terms()
         for batch in batches:
-            found = [np.array(text_terms(t.as_py() or "", all_terms), dtype="<i4").tobytes() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1)], ["terms", "y"])
+            found = [np.array(text_terms(t.as_py() or "", known), dtype="int32") for t in batch.column(0)]
+            ends = np.cumsum([0, *map(len, found)]).astype("int32")
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, dtype="int32"), *found])))
+            yield pa.RecordBatch.from_arrays([lists, *(batch.column(i) for i in (1, 2, 3))], ["terms", "y", "a", "b"])
 
     # at most train_rows rows of two numbers: a bounded side
-    rows = docs.select(key, text).join(F.broadcast(sample), key).select(text, "y").mapInArrow(terms, "terms binary, y int").toArrow()
-    found = [np.frombuffer(t, dtype="<i4") for t in rows["terms"].to_pylist()]
-    order = sorted(range(len(found)), key=lambda i: (found[i].tobytes(), rows["y"][i].as_py()))  # not by arrival
-    y = np.array([rows["y"][i].as_py() for i in order], dtype="float64")
-    return fit([found[i] for i in order], y, **options)
-
-
-def score_texts(docs: DataFrame, model: Model, extra: list[str], text: str = "text") -> DataFrame:
-    """The columns in extra and score double for each row of docs."""
+    chosen = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(sample), "k")
+    rows = chosen.select("t", "y", F.xxhash64("k").alias("a"), F.xxhash64("t").alias("b")).mapInArrow(terms, "terms array<int>, y int, a long, b long").toArrow().combine_chunks()
+    if not rows.num_rows:
+        return fit(np.zeros(0, dtype="int32"), np.zeros(0, dtype="int64"), np.zeros(0), **options)
+    lists = rows["terms"].chunk(0)
+    sizes = np.asarray(lists.value_lengths(), dtype="int64")
+    index, starts = np.asarray(lists.flatten()), np.cumsum(sizes) - sizes
+    y, a, b = (np.asarray(rows[c]) for c in ("y", "a", "b"))
+    order = np.lexsort((y, b, a))  # not by arrival
+    index = np.concatenate([index[starts[i] : starts[i] + sizes[i]] for i in order])
+    del rows, lists
+    return fit(index, sizes[order], y[order].astype("float64"), **options)
+
+
+def score_texts(docs: DataFrame, model: Model, extra: list[str], text: str = "text", out: str = "score") -> DataFrame:
+    """The columns in extra and the score (double) for each row of docs."""
     kinds = dict(docs.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in extra) + ", score double"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in extra) + f", `{out}` double"
 
     def score(batches):
         import pyarrow as pa
 
-        terms = Terms(model.columns)
+        terms = Terms()
         for batch in batches:
-            found = [text_terms(t.as_py() or "", terms) for t in batch.column(0)]
-            starts = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype("int64")
-            raw, _ = model.raw(np.array([c for f in found for c in f], dtype="int64"), starts)
-            got = 1 / (1 + np.exp(-np.clip(raw, -700, 700)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i + 1) for i in range(len(extra))), pa.array(got, pa.float64())], [*extra, "score"])
-
-    return docs.select(F.col(text).alias("__text"), *extra).mapInArrow(score, schema)
+            got = []
+            for at in range(0, batch.num_rows, 512):  # bounds the gathered factors
+                found = [text_terms(t.as_py() or "", terms) for t in batch.column(0).slice(at, 512)]
+                raw, _ = model.raw(np.array([c for f in found for c in f], dtype="int64"), np.array([len(f) for f in found], dtype="int64"))
+                got.append(1 / (1 + np.exp(-np.clip(raw, -700, 700))))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i + 1) for i in range(len(extra))), pa.array(np.concatenate([np.zeros(0), *got]))], [*extra, out])
+
+    return docs.select(F.col(text).alias("__text"), *[F.col(f"`{c}`") for c in extra]).mapInArrow(score, schema)
