@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.llm import decontamination, jaccard_join, line_dedup, packing, toxicity
-from quarrymill.llm.common import id_remainder, materialize
+from quarrymill.llm.common import free_name, id_remainder, materialize
 from quarrymill.llm.components import sized_join
 
 
@@ -18,13 +18,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents scored 0.5 or more go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, id_remainder("doc_id", 5) != 0)
-    return toxicity.score_texts(docs, model, docs.columns).where("score < 0.5").drop("score")
+    score = free_name(docs, "score")
+    return toxicity.score_texts(docs, model, docs.columns, out=score).where(F.col(score) < 0.5).select(docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: one line of each component stays; documents whose lines all went go."""
-    out = line_dedup.dedup_lines(docs).where("n_dropped = 0 or n_dropped < n_lines")
-    return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
+    lines, gone = free_name(docs, "lines"), free_name(docs, "dropped")
+    out = line_dedup.dedup_lines(docs, counts=(lines, gone)).where((F.col(gone) == 0) | (F.col(gone) < F.col(lines)))
+    return out.withColumn("n_chars", F.when(F.col(gone) > 0, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def with_row(docs: DataFrame) -> DataFrame:
