@@ -1,9 +1,11 @@
 """Operator 7: hierarchical residual best-fit packing of token sequences.
 
 Each scan partition tokenizes its documents, cuts the long ones, and packs its pieces best-fit, longest first. Bins
-that are nearly full go out at once. The others become items of the next round, where fewer groups pack them
-again, until one small group is left: rounds merge as a tree, and what a round passes on is only what it
-couldn't fill (a handful of bins for each group), so no task ever holds more than its share.
+that are nearly full go out at once. The others become items of the next round: only their number and size move on, and
+each round deals them to fewer groups that pack them again, a tree of merges. A round has as many groups as keep a group at
+GROUP items on average, whatever the turn, so no task holds more than its share. The tree ends when one group was left, or when a
+round saved less than 1 in 1,000 of its bins: what can't be paired by then (say, many documents of 600 tokens) stays as it is.
+Pieces join their sequence at the end.
 
 Token ids are those of the `tokenizers` file byte_bpe_50k.json; they're computed with tiktoken over the same vocabulary
 (measured equal and eight times as fast). A text that holds "<|" goes through `tokenizers` itself, whose treatment
@@ -21,8 +23,6 @@ from bisect import bisect_left, insort
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 from .common import materialize
 
@@ -86,21 +86,13 @@ def best_fit(sizes: list[int], limit: int) -> list[list[int]]:
     return bins
 
 
-PIECE = "struct<id:{id},piece:int,start:long,length:long,ids_crc32:long>"
-ITEM = "sequence_id long, done boolean, filled long, members array<{piece}>"
-
-
-def _bins(items: list, limit: int, nearly: int, prefix: int, last: bool):
-    """Bins of items (filled, members) as rows of ITEM; numbered from prefix."""
-    out = []
-    for n, bin_ in enumerate(best_fit([x[0] for x in items], limit)):
-        filled = sum(items[i][0] for i in bin_)
-        out.append((prefix + n, last or filled >= nearly, filled, [m for i in bin_ for m in items[i][1]]))
-    return out
+#: Items of a group in a round, on average.
+GROUP = 4096
+PIECES = "`{key}` {id}, piece int, start long, length long, ids_crc32 long, bin long, before long, filled long, open boolean"
 
 
 def pack_documents(
-    docs: DataFrame, limit: int = 1024, end_id: int = 2, slack: int = 8, fan_in: int = 16, key: str = "doc_id",
+    docs: DataFrame, limit: int = 1024, end_id: int = 2, slack: int = 8, fan_in: int = 16, group: int = GROUP, key: str = "doc_id",
     text: str = "text", json_path: str | None = None, ranks_path: str | None = None,
 ) -> DataFrame:
     """One row for each piece: key, piece, start, length, ids_crc32, sequence_id, offset.
@@ -109,9 +101,7 @@ def pack_documents(
     """
     json_path = json_path or vocabulary_path("byte_bpe_50k.json")
     ranks_path = ranks_path or vocabulary_path("byte_bpe_50k.tiktoken")
-    kind = dict(docs.dtypes)[key]
-    schema = ITEM.format(piece=PIECE.format(id=kind))
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    schema = PIECES.format(key=key, id=dict(docs.dtypes)[key])
     nearly = limit - slack
 
     def local(batches):
@@ -120,68 +110,76 @@ def pack_documents(
         from pyspark import TaskContext
 
         encode = encoder(json_path, ranks_path)
-        prefix = TaskContext.get().partitionId() << 36
-        items, whole = [], []
+        names = [key, "piece", "start", "length", "ids_crc32", "bin", "before", "filled", "open"]
+        prefix, kind, waiting = TaskContext.get().partitionId() << 36, None, []
+
+        def packed(rows, prefix):
+            """The rows with their bins, numbered from prefix."""
+            bins = best_fit([r[3] for r in rows], limit)
+            out = []
+            for n, own in enumerate(bins):
+                filled, before = sum(rows[i][3] for i in own), 0
+                for i in own:
+                    out.append((*rows[i], prefix + n, before, filled, filled < nearly))
+                    before += rows[i][3]
+            cols = list(zip(*out, strict=True))
+            kinds = [kind, pa.int32(), *[pa.int64()] * 6, pa.bool_()]
+            return len(bins), pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+
         for batch in batches:
+            kind = batch.column(0).type
             for who, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = np.array([*encode(t.as_py() or ""), end_id], dtype="<u4")
                 for n, (start, length) in enumerate(cut(len(ids), limit)):
-                    crc = zlib.crc32(ids[start : start + length].tobytes())
-                    row = {"id": who, "piece": n, "start": start, "length": length, "ids_crc32": crc}
-                    (whole if length >= nearly else items).append((length, [row]))
-                if len(whole) >= 2000:
-                    yield _batch(pa, arrow, [(prefix + i, True, x, m) for i, (x, m) in enumerate(whole)])
-                    prefix, whole = prefix + len(whole), []
-            if len(items) >= 50_000:
-                yield _batch(pa, arrow, out := _bins(items, limit, nearly, prefix, False))
-                prefix, items = prefix + len(out), []
-        rows = [(prefix + i, True, x, m) for i, (x, m) in enumerate(whole)]
-        yield _batch(pa, arrow, rows + _bins(items, limit, nearly, prefix + len(rows), False))
-
-    level = materialize(docs.select(key, text).mapInArrow(local, schema), "pack")
-    groups, turn, done = max(1, level.rdd.getNumPartitions()), 0, [level.where("done")]
-    open_ = level.where("not done")
-    while True:
-        groups, turn = -(-groups // fan_in), turn + 1
-        last = groups == 1
-        if last and turn == 1 and open_.count() > 4096:
-            groups, last = fan_in, False
-
-        keyed = open_.withColumn("by", F.pmod(F.xxhash64("sequence_id"), F.lit(groups)).cast("long"))
-        level = materialize(keyed.groupBy("by").applyInArrow(_merger(arrow, limit, nearly, turn, last), schema), "pack")
-        done.append(level.where("done"))
-        open_ = level.where("not done")
-        if last:
+                    waiting.append((who, n, start, length, zlib.crc32(ids[start : start + length].tobytes())))
+            if len(waiting) >= 50_000:
+                n, out = packed(waiting, prefix)
+                prefix, waiting = prefix + n, []
+                yield out
+        if waiting:
+            yield packed(waiting, prefix)[1]
+
+    pieces = materialize(docs.select(key, text).mapInArrow(local, schema), "pieces")
+    items = pieces.where("open and before = 0").select("bin", "filled")  # each bin once
+    groups, left, moves, turn = max(1, -(-pieces.rdd.getNumPartitions() // fan_in)), items.count(), [], 0
+    while left:
+        turn += 1
+        groups = max(groups, -(-left // group))
+        # one row for each item: the bin it goes to, what that bin holds before it, and all it holds
+        dealt = items.withColumn("by", F.pmod(F.xxhash64("bin", F.lit(turn)), F.lit(groups)).cast("long"))
+        level = materialize(dealt.groupBy("by").applyInArrow(_merger(limit, turn), "item long, bin long, before long, filled long"), "pack")
+        moves.append(level.select("item", "bin", "before"))
+        items = level.where((F.col("before") == 0) & (F.col("filled") < nearly)).select("bin", "filled")
+        saved, had, left = level.where("before > 0").count(), left, items.count()
+        if groups == 1 or saved * 1000 < had:
             break
-    bins = done[0]
-    for more in done[1:]:
-        bins = bins.unionByName(more)
-    sums = F.transform(
-        F.sequence(F.lit(0), F.size("members") - 1),
-        lambda i: F.struct(
-            F.element_at("members", i + 1).alias("m"),
-            F.aggregate(F.slice("members", F.lit(1), i), F.lit(0).cast("long"), lambda a, m: a + m["length"]).alias("offset"),
-        ),
-    )
-    return bins.select("sequence_id", F.explode(sums).alias("x")).select(
-        F.col("x.m.id").alias(key), "x.m.piece", "x.m.start", "x.m.length", "x.m.ids_crc32", "sequence_id", "x.offset"
-    )
-
-
-def _merger(arrow, limit: int, nearly: int, turn: int, last: bool):
+        groups = -(-groups // fan_in)
+
+    named = [F.col(f"`{key}`"), "piece", "start", "length", "ids_crc32"]
+    placed = pieces.select(*named, "open", F.col("bin").alias("sequence_id"), F.col("before").alias("offset"))
+    open_ = placed.where("open").drop("open")
+    for move in moves:  # a bin of an earlier round stands in a later one, or stays
+        step = move.select(F.col("item").alias("sequence_id"), "bin", "before")
+        joined = open_.join(step, "sequence_id", "left")
+        open_ = joined.select(*named, F.coalesce("bin", "sequence_id").alias("sequence_id"), (F.col("offset") + F.coalesce("before", F.lit(0))).alias("offset"))
+    return placed.where("not open").drop("open").unionByName(open_)
+
+
+def _merger(limit: int, turn: int):
     """Pack the underfull bins of one group again."""
 
     def merge(by, table):
         import pyarrow as pa
 
-        rows = sorted(table.to_pylist(), key=lambda r: r["sequence_id"])
-        items = [(r["filled"], r["members"]) for r in rows]
+        rows = sorted(zip(table["bin"].to_pylist(), table["filled"].to_pylist(), strict=True))
         prefix = (turn << 57) + (by[0].as_py() << 33)
-        return pa.Table.from_batches([_batch(pa, arrow, _bins(items, limit, nearly, prefix, last))])
+        out = ([], [], [], [])
+        for n, own in enumerate(best_fit([r[1] for r in rows], limit)):
+            filled, before = sum(rows[i][1] for i in own), 0
+            for i in own:
+                for c, x in zip(out, (rows[i][0], prefix + n, before, filled), strict=True):
+                    c.append(x)
+                before += rows[i][1]
+        return pa.table([pa.array(c, pa.int64()) for c in out], ["item", "bin", "before", "filled"])
 
     return merge
-
-
-def _batch(pa, schema, rows):
-    cols = list(zip(*rows, strict=True)) if rows else [[] for _ in schema.names]
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)

@@ -119,6 +119,20 @@ def test_packing(spark, odd, none):
     assert packing.pack_documents(none.drop("n")).collect() == []
 
 
+def test_packing_of_equal_halves(spark):
+    """Documents of which no two fit together: no group grows with their number, and they stay apart."""
+    docs = docs_of(spark, [(k, "a " * 40) for k in range(3000)]).repartition(24).drop("n")
+    out = packing.pack_documents(docs, limit=64, fan_in=2, group=256)
+    got = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("c")).toPandas()
+    assert len(got) == 3000 and (got.c == 1).all()
+    small = docs_of(spark, [(k, "a " * (k % 40)) for k in range(3000)]).repartition(24).drop("n")
+    out = packing.pack_documents(small, limit=64, fan_in=2, group=256).toPandas()
+    total, n = out.length.sum(), out.sequence_id.nunique()
+    assert len(out) == 3000 and n <= 1.03 * -(-total // 64) and (out.groupby("sequence_id").length.sum() <= 64).all()
+    for _, g in out.sort_values("offset").groupby("sequence_id"):
+        assert list(g.offset) == [0, *g.length.cumsum()[:-1]]
+
+
 def test_packing_cut_and_fit():
     assert packing.cut(10, 4) == [(0, 2), (2, 4), (6, 4)] and packing.cut(8, 4) == [(0, 4), (4, 4)] and packing.cut(1, 4) == [(0, 1)]
     sizes = [7, 5, 5, 4, 3, 2, 2, 2]
