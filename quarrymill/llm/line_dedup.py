@@ -40,16 +40,12 @@ NO_HASHES = "cast(array() as array<bigint>)"
 POINTS = [-(2**63) + (2 * b + 1) * (2**63 // BANDS) for b in range(BANDS)]
 
 
-def with_hashes(lines: DataFrame, line: str, out: str) -> DataFrame:
-    """Adds the distinct hashes of each line's character shingles; a shorter line is one shingle."""
-    return lines.withColumn(out, all_hashes(F.col(line)))
-
-
 def all_hashes(line: Column) -> Column:
+    """The hashes of all shingles, repeats included; a shorter line is one shingle."""
     # four bytes a character, so that a slice needs no scan; bound as a variable, or each slice would encode the line again
     at = lambda u: F.sequence(F.lit(0), F.greatest(F.floor(F.length(u) / 4).cast("int") - SHINGLE, F.lit(0)))
     cut = F.transform(F.array(F.encode(line, "UTF-32")), lambda u: F.transform(at(u), lambda i: F.xxhash64(F.substring(u, i * 4 + 1, F.lit(4 * SHINGLE)))))
-    return F.array_distinct(F.element_at(cut, 1))
+    return F.element_at(cut, 1)
 
 
 def sampled_hashes(line: Column) -> Column:
@@ -79,10 +75,10 @@ def numbered_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 def similar_pairs(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets have a Jaccard of threshold or more. Texts are moved, not their sets, which are eight times as large."""
     pairs = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work
-    a, b = texts.select(F.col(LID).alias("a"), F.col("norm").alias("s")), texts.select(F.col(LID).alias("b"), F.col("norm").alias("t"))
-    met = with_hashes(with_hashes(sized_join(sized_join(pairs, a, "a", "inner", 48), b, "b", "inner", 48), "s", "x"), "t", "y")
-    common = F.size(F.array_intersect("x", "y"))
-    return met.withColumn("common", common).where(F.col("common") >= threshold * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
+    a, b = (texts.select(F.col(LID).alias(c), F.col("norm").alias(t), F.col("size").alias(n)) for c, t, n in (("a", "s", "x"), ("b", "t", "y")))
+    met = sized_join(sized_join(pairs, a, "a", "inner", 48), b, "b", "inner", 48).where(F.least("x", "y") >= threshold * F.greatest("x", "y"))
+    met = met.withColumn("common", F.size(F.array_intersect(all_hashes(F.col("s")), all_hashes(F.col("t")))))
+    return met.where(F.col("common") >= threshold * (F.col("x") + F.col("y") - F.col("common"))).select("a", "b")
 
 
 def crossing_pairs(members: DataFrame, threshold: float) -> DataFrame:
@@ -110,7 +106,7 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     """ROW and drop (array of line numbers) of the documents that lose lines."""
     lines = numbered_lines(docs, key, text)
     some = lines.withColumn("s", sampled_hashes(F.col("norm"))).withColumn("n", F.size("s"))
-    some = some.withColumn("h", F.when(F.col("n") < 2 * FEW, all_hashes(F.col("norm"))).otherwise(F.expr(NO_HASHES))).withColumn("s", F.when(F.col("n") >= FEW, F.col("s")).otherwise(F.expr(NO_HASHES)))
+    some = some.withColumn("h", F.when(F.col("n") < 2 * FEW, F.array_distinct(all_hashes(F.col("norm")))).otherwise(F.expr(NO_HASHES))).withColumn("s", F.when(F.col("n") >= FEW, F.col("s")).otherwise(F.expr(NO_HASHES)))
     some = with_bands(with_bands(some, "s", 0, "x"), "h", 1, "y")
     occurrences = materialize(some.select(ROW, "who", LINE_NO, LID, F.concat("x", "y").alias("bands")), "lines")
     # rows of one line have the same keys; exact repeats meet before the bands do
@@ -121,7 +117,7 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     # a line and the least of all that it shares a band with
     partners = materialize(met.groupBy(LID).agg(F.min("lo").alias("lo")), "partners")
     found = sized_join(lines.select(LID, "norm"), partners.select(LID), LID, "left_semi", 16).dropDuplicates([LID])
-    texts = materialize(found.withColumn("size", F.size(all_hashes(F.col("norm")))), "linetexts")
+    texts = materialize(found.withColumn("size", F.size(F.array_distinct(all_hashes(F.col("norm"))))), "linetexts")
     links = materialize(similar_pairs(texts, partners.where(f"lo <> {LID}").select(F.col(LID).alias("a"), F.col("lo").alias("b")), threshold), "links")
     comp = materialize(connected_components(links, "a", "b"), "comp")
 
