@@ -2,7 +2,8 @@
 
 Large-star and small-star rounds (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014). No node's
 neighbours are gathered: each round takes minima, which combine before the shuffle, and joins them back, where
-AQE splits a hot node. Every second round is written to the shared folder, so a lost executor costs two rounds.
+AQE splits a hot node. Each step is written to the shared folder, so a lost executor costs one step. Joins are by
+sort and merge, as a broadcast would pass the minima through the driver.
 """
 
 from __future__ import annotations
@@ -18,13 +19,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     larger = both.where("v > u")
-    return larger.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
+    return larger.join(least.hint("merge"), "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours point to the smallest of them; edges have a > b."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = edges.join(least.hint("merge"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -41,8 +42,9 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         if state == seen:
             break
         state = seen
-        after = materialize(_small_star(_large_star(_small_star(_large_star(now)))), "edges")  # two rounds for each table
-        release(now)
+        half = materialize(_large_star(now), "edges")  # written, as the small star reads it three times
+        after = materialize(_small_star(half), "edges")
+        release(now, half)
         now = after
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
@@ -57,7 +59,7 @@ def held_bytes(df: DataFrame, row_bytes: int) -> int:
     return got[0] * row_bytes + sum(x or 0 for x in got[1:])
 
 
-def sized_join(large: DataFrame, small: DataFrame, on, how: str, row_bytes: int, most: int = 32 << 20) -> DataFrame:
+def sized_join(large: DataFrame, small: DataFrame, on, how: str, row_bytes: int, most: int = 8 << 20) -> DataFrame:
     """Join a table that was written before; it is broadcast only if its counted bytes fit into most.
 
     Beyond that Spark shuffles both sides, and AQE splits hot keys; the hint keeps Spark from broadcasting by file size.

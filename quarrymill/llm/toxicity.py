@@ -8,7 +8,7 @@ are weighted by PAIR / the number of terms, so that long texts aren't decided by
 intercept are then chosen on rows the machine wasn't fitted on.
 
 The fit uses at most train_rows labelled rows, those with the smallest hash of their id (a documented bound);
-scoring covers every whole text. The driver holds four bytes for each term of these rows and the model.
+scoring covers every whole text. The task that fits holds four bytes for each term of these rows; the driver holds the model.
 
 Defined cases: null texts count as empty and are scored by the bias alone. Labels other than 0 and 1, and null
 ones, are not learnt from; a document with several labels is learnt from with each. With no usable labels, or one
@@ -151,19 +151,31 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, dtype="int32"), *found])))
             yield pa.RecordBatch.from_arrays([lists, *(batch.column(i) for i in (1, 2, 3))], ["terms", "y", "a", "b"])
 
+    def learnt(batches):
+        import pyarrow as pa
+
+        lists, numbers = [], []
+        for batch in batches:
+            sizes = np.asarray(batch.column(0).value_lengths(), dtype="int64")
+            lists += np.split(np.asarray(batch.column(0).flatten()), np.cumsum(sizes)[:-1]) if len(sizes) else []
+            numbers.append(np.stack([np.asarray(batch.column(i), dtype="int64") for i in (1, 2, 3)]))
+        y, a, b = np.concatenate([np.zeros((3, 0), dtype="int64"), *numbers], axis=1)
+        order = np.lexsort((y, b, a))  # not by arrival
+        index = np.concatenate([np.zeros(0, dtype="int32"), *(lists[i] for i in order)])
+        m = fit(index, np.array([len(lists[i]) for i in order], dtype="int64"), y[order].astype("float64"), **options)
+        one = [pa.array([m.bias]), pa.array([m.pair]), pa.array([m.w.astype("<f4").tobytes()], pa.binary()), pa.array([m.v.astype("<f4").tobytes()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(one, ["bias", "pair", "w", "v"])
+
     # at most train_rows rows of two numbers: a bounded side
     chosen = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(sample), "k")
-    rows = chosen.select("t", "y", F.xxhash64("k").alias("a"), F.xxhash64("t").alias("b")).mapInArrow(terms, "terms array<int>, y int, a long, b long").toArrow().combine_chunks()
-    if not rows.num_rows:
+    rows = chosen.select("t", "y", F.xxhash64("k").alias("a"), F.xxhash64("t").alias("b")).mapInArrow(terms, "terms array<int>, y int, a long, b long")
+    # the bounded sample is fitted in one task, so that the driver only gets the model
+    got = rows.repartition(1).mapInArrow(learnt, "bias double, pair double, w binary, v binary").collect()
+    if not got:
         return fit(np.zeros(0, dtype="int32"), np.zeros(0, dtype="int64"), np.zeros(0), **options)
-    lists = rows["terms"].chunk(0)
-    sizes = np.asarray(lists.value_lengths(), dtype="int64")
-    index, starts = np.asarray(lists.flatten()), np.cumsum(sizes) - sizes
-    y, a, b = (np.asarray(rows[c]) for c in ("y", "a", "b"))
-    order = np.lexsort((y, b, a))  # not by arrival
-    index = np.concatenate([index[starts[i] : starts[i] + sizes[i]] for i in order])
-    del rows, lists
-    return fit(index, sizes[order], y[order].astype("float64"), **options)
+    w = np.frombuffer(got[0]["w"], dtype="<f4")
+    v = np.frombuffer(got[0]["v"], dtype="<f4")
+    return Model(got[0]["bias"], w, v.reshape(len(w), -1) if len(w) else np.zeros((0, 1)), got[0]["pair"])
 
 
 def score_texts(docs: DataFrame, model: Model, extra: list[str], text: str = "text", out: str = "score") -> DataFrame:
