@@ -13,7 +13,7 @@ windows of the shifts that count still reach least_cover.
 Windows of the benchmark are broadcast only if their counted bytes fit; else both sides are shuffled.
 
 Defined cases: null or empty texts have no windows. An item of fewer tokens than WINDOW is one window of its size; one
-of fewer than LEAST tokens is never matched. Items with null ids don't count. Repeated rows and ids: a leak is
+of fewer than LEAST tokens, which many texts hold by chance, is met only by a text that holds nothing else. Items with null ids don't count. Repeated rows and ids: a leak is
 reported once for each (document id, item id). Extra columns are not read. Empty tables give empty results.
 """
 
@@ -62,7 +62,7 @@ def windows(tokens: str, size: int) -> Column:
 def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     """item, size, n_windows, at, hash of each benchmark window."""
     rows = with_tokens(benchmark.where(F.col(item).isNotNull()).select(F.col(item).alias("item"), F.col(text).alias("t")), "t", "toks")
-    rows = rows.withColumn("size", F.least(F.lit(WINDOW), F.size("toks"))).where(F.col("size") >= LEAST)
+    rows = rows.withColumn("size", F.least(F.lit(WINDOW), F.size("toks"))).where("size > 0")
     n = F.size("toks") - F.col("size") + 1
     hashes = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice("toks", i, F.col("size"))))
     return rows.select("item", "size", n.alias("n_windows"), F.posexplode(hashes).alias("at", "hash"))
@@ -79,35 +79,38 @@ def slot_values(df: DataFrame, text: str, out: str) -> DataFrame:
 
 def benchmark_leaks(
     docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.5, least_consistent: float = 0.8,
-    key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", most: int = 32 << 20,
+    key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", most: int = 8 << 20,
 ) -> DataFrame:
     """key, item, cover, n_slots, consistent, kind of each leak; kind is exact or reparameterised."""
     items = materialize(item_windows(benchmark, item, item_text), "items")
-    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most WINDOW - LEAST + 1 numbers
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most WINDOW numbers
     tokens = with_tokens(docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("t")), "t", "toks")
     hits = None
     hashes = items.select("hash").distinct()
     hashes = materialize(hashes, "hashes")
     for size in sizes or [WINDOW]:
-        found = tokens.select("doc", "row", F.posexplode(windows("toks", size)).alias("doc_at", "hash"))
+        whole = tokens if size >= LEAST else tokens.where(F.size("toks") == size)
+        found = whole.select("doc", "row", F.posexplode(windows("toks", size)).alias("doc_at", "hash"))
         found = sized_join(found, hashes, "hash", "left_semi", 16, most).withColumn("size", F.lit(size))
         hits = found if hits is None else hits.unionByName(found)
     hits = materialize(hits, "hits")
     # An item covers a document along diagonals: the same shift between its windows and the document's.
-    met = hits.join(items, ["hash", "size"]).select("doc", "row", "item", "at", "n_windows", "size", (F.col("doc_at") - F.col("at")).alias("shift"))
+    met = sized_join(hits, items, ["hash", "size"], "inner", 48, most).select("doc", "row", "item", "at", "n_windows", "size", (F.col("doc_at") - F.col("at")).alias("shift"))
     cover = met.groupBy("doc", "row", "item", "n_windows").agg(F.count_distinct("at").alias("found"))
     candidates = cover.where(F.col("found") >= least_cover * F.col("n_windows")).select("doc", "row", "item", (F.col("found") / F.col("n_windows")).alias("cover"))
     candidates = materialize(candidates.groupBy("doc", "row", "item").agg(F.max("cover").alias("cover")), "candidates")
-    shifts = met.join(candidates.select("row", "item").distinct(), ["row", "item"], "left_semi")
+    shifts = sized_join(met, materialize(candidates.select("row", "item").distinct(), "met"), ["row", "item"], "left_semi", 48, most)
     shifts = shifts.groupBy("row", "item", "n_windows", "size", "shift").agg(F.collect_set("at").alias("ats"))
 
     chosen = materialize(candidates.select("row").distinct(), "rows")
     wanted = sized_join(docs.select(F.xxhash64(text).alias("row"), F.col(text).alias("t")), chosen, "row", "left_semi", 16, most)
     doc_slots = materialize(slot_values(wanted, "t", "d").select("row", "d").dropDuplicates(["row"]), "docslots")
     item_slots = slot_values(benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("t")).where(F.col("item").isNotNull()), "t", "b")
-    pairs = shifts.join(item_slots, "item").join(doc_slots, "row")
+    item_slots = materialize(item_slots.select("item", "b"), "itemslots")
+    # sides are broadcast by their counted bytes, not by the size of their files
+    pairs = sized_join(sized_join(shifts, item_slots, "item", "inner", 48, most), doc_slots, "row", "inner", 48, most)
     inside = lambda i: F.exists("ats", lambda at: (i >= at) & (i < at + F.col("size")))
-    values = F.transform("b", lambda b, i: F.struct(b.alias("b"), F.coalesce(F.try_element_at("d", i + F.col("shift") + 1), F.lit("")).alias("v"), inside(i).alias("inside")))
+    values = F.transform("b", lambda b, i: F.struct(b.alias("b"), F.coalesce(F.when(i + F.col("shift") >= 0, F.try_element_at("d", F.greatest(i + F.col("shift") + 1, F.lit(1)))), F.lit("")).alias("v"), inside(i).alias("inside")))
     values = F.array_distinct(F.transform(F.filter(values, lambda x: x["inside"] & x["b"].isNotNull()), lambda x: F.struct(x["b"].alias("b"), x["v"].alias("v"))))
     pairs = pairs.withColumn("values", values).withColumn("names", F.array_distinct(F.transform("values", lambda x: x["b"])))
     # values are distinct pairs: a benchmark value is consistent if it stands in one of them only
@@ -130,7 +133,7 @@ def benchmark_leaks(
     return kept.withColumnRenamed("doc", key).withColumnRenamed("item", item)
 
 
-def leaking_rows(docs: DataFrame, leaks: DataFrame, key: str = "doc_id", most: int = 32 << 20) -> DataFrame:
+def leaking_rows(docs: DataFrame, leaks: DataFrame, key: str = "doc_id", most: int = 8 << 20) -> DataFrame:
     """docs without the documents that leak; a document with a null id stays unless a leak has a null id."""
     bad = materialize(leaks.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__bad")).distinct(), "bad")
     rows = docs.withColumn("__bad", F.coalesce(F.col(key).cast("string"), F.lit("")))

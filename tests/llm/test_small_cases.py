@@ -220,13 +220,14 @@ def test_leaks(spark, odd, none):
     bench = spark.createDataFrame(items, "item_id long, text string")
     same, moved = items[0][1], "A train leaves Denver with 77 passengers and 12 kg of mail, while Paula counts 77 tickets"
     broken = moved.replace("77 tickets", "31 tickets").replace("12 kg", "77 kg").replace("Denver with", "Denver with")
-    docs = docs_of(spark, [(10, f"Some text before. {same} and after"), (11, f"Other text. {moved}. More."), (12, broken.replace("Denver", "77")), (13, "nothing of this sort at all, not at all"), (14, None), (15, "x seven plain words stand here as one y"), (16, "tiny one")])
+    docs = docs_of(spark, [(10, f"Some text before. {same} and after"), (11, f"Other text. {moved}. More."), (12, broken.replace("Denver", "77")), (13, "nothing of this sort at all, not at all"), (14, None), (15, "x seven plain words stand here as one y"), (16, "tiny one"), (17, "a tiny one")])
     got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontamination.benchmark_leaks(docs, bench).collect()}
     assert got[10, 1] == "exact" and got[11, 1] == "reparameterised" and got[15, 4] == "exact"
-    assert not {d for d, _ in got} & {13, 14, 16}
+    assert got[16, 2] == "exact"  # a short item counts where the text is nothing else
+    assert not {d for d, _ in got} & {13, 14, 17}
     assert decontamination.benchmark_leaks(odd, bench.where("false")).collect() == [] and decontamination.benchmark_leaks(none, bench).collect() == []
     kept = decontamination.leaking_rows(docs, decontamination.benchmark_leaks(docs, bench))
-    assert {13, 14, 16} <= {r["doc_id"] for r in kept.collect()} and kept.columns == docs.columns
+    assert {13, 14, 17} <= {r["doc_id"] for r in kept.collect()} and kept.columns == docs.columns
 
 
 def test_surrogates(spark, odd, none):
@@ -390,6 +391,18 @@ def test_leaks_with_names_at_sentence_starts(spark):
     assert got == {(0, 1): "reparameterised", (1, 1): "reparameterised", (2, 1): "exact", (3, 2): "reparameterised"}
 
 
+def test_leaks_that_begin_before_the_text(spark):
+    """A text that starts in the middle of an item, with slots before it and signs beside numbers."""
+    item = "Maria had 40 % of the stock and 12 boxes, then Maria counted 12 boxes of $5 each while Tom took 40 % of them away"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    other = item.replace("Maria", "Eva").replace("Tom", "Jan").replace("40", "70").replace("12", "31").replace("$5", "$9")
+    cut = lambda t: t.split("% of the ")[1]
+    one_more = other.replace("of the stock", "of all the stock")
+    texts = [cut(item), "x " + cut(other), item, other, one_more, item.replace("of the stock", "of all the stock")]
+    got = {r["doc_id"]: r["kind"] for r in decontamination.benchmark_leaks(docs_of(spark, list(enumerate(texts))), bench).collect()}
+    assert {k: got.get(k) for k in range(6)} == {0: "exact", 1: "reparameterised", 2: "exact", 3: "reparameterised", 4: "reparameterised", 5: "exact"}
+
+
 def test_stages_go_by_row(spark, tmp_path):
     import corpus_pipeline
 
