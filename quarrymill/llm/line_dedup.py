@@ -8,8 +8,8 @@ shingles besides, so that lines with few or no words have one as well, and pairs
 The signature orders its hashes in a circle; band b is made of the ROWS hashes that follow the band's fixed point, so
 two lines agree in a band with about the chance J ** ROWS, and BANDS bands catch J = 0.8 in about 99 of 100 cases, J = 0.9 in
 all but a few of 100,000 (recall against all pairs is tested).
-A line is compared with the least line that it shares a band with first; exact Jaccard decides and distributed
-union-find joins the links. In bands that then still hold several components, all pairs between different components
+A line is compared with the least line that it shares a band with first, in crowded bands then with a few drawn hubs; exact
+Jaccard decides and distributed union-find joins the links. In bands that then still hold several components, all pairs between different components
 are decided too, so every pair that shares a band is decided or already joined. The first line of each component
 (least id, then position) stays.
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import free_name, materialize, release
 from .components import connected_components, sized_join
 
-SHINGLE, BANDS, ROWS, FEW = 9, 6, 3, 8
+SHINGLE, BANDS, ROWS, FEW, HUB_TURNS = 9, 6, 3, 8, 4
 THRESHOLD = 0.8
 ROW, LINE_NO, LID = "__row", "__no", "__lid"
 NO_HASHES = "cast(array() as array<bigint>)"
@@ -81,6 +81,14 @@ def similar_pairs(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataF
     return met.where(F.col("common") >= threshold * (F.col("x") + F.col("y") - F.col("common"))).select("a", "b")
 
 
+def hub_pairs(members: DataFrame, turn: int, crowd: int = 8) -> DataFrame:
+    """(a, b): each line outside its hub's component with one hub, in bands of more than crowd components; turn draws the hubs."""
+    parts = members.groupBy("band", "comp").agg(F.min(F.struct(F.xxhash64(LID, F.lit(turn)), F.col(LID).alias("hub"))).alias("h"))
+    hubs = parts.groupBy("band").agg(F.count("*").alias("parts"), F.min(F.struct("h", "comp")).alias("h")).where(F.col("parts") > crowd)
+    hubs = materialize(hubs.select("band", F.col("h.h.hub").alias("hub"), F.col("h.comp").alias("hub_comp")), "hubs")
+    return sized_join(members, hubs, "band", "inner", 40).where("comp <> hub_comp").groupBy(F.col(LID).alias("a")).agg(F.min("hub").alias("b"))
+
+
 def crossing_pairs(members: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of lines that share a band but no component, and whose numbers of shingles allow the threshold.
 
@@ -121,15 +129,25 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     links = materialize(similar_pairs(texts, partners.where(f"lo <> {LID}").select(F.col(LID).alias("a"), F.col("lo").alias("b")), threshold), "links")
     comp = materialize(connected_components(links, "a", "b"), "comp")
 
-    # what that left open
-    members = sized_join(met.select(LID, "band"), texts.select(LID, "size"), LID, "inner", 32)
-    members = sized_join(members, comp.withColumnRenamed("node", LID), LID, "left", 32).withColumn("comp", F.coalesce("root", LID)).drop("root")
-    crossing = materialize(crossing_pairs(materialize(members, "members"), threshold), "crossing")
+    # what that left open: crowded bands get a new hub a few times, which joins most of a group of near copies at the cost of its size
+    sized = materialize(sized_join(met.select(LID, "band"), texts.select(LID, "size"), LID, "inner", 32), "sized")
     release(shared, met, partners)
+    with_comp = lambda: sized_join(sized, comp.withColumnRenamed("node", LID), LID, "left", 32).withColumn("comp", F.coalesce("root", LID)).drop("root")
+    for turn in range(HUB_TURNS):
+        members = materialize(with_comp(), "members")
+        asks = materialize(hub_pairs(members, turn), "asks")
+        more = materialize(similar_pairs(texts, asks, threshold), "links") if asks.limit(1).count() else None
+        release(members, asks)
+        if more is None or not more.limit(1).count():
+            break
+        links = links.unionByName(more)
+        comp = materialize(connected_components(links, "a", "b"), "comp")
+    # then every pair of a band that could still join two components
+    crossing = materialize(crossing_pairs(materialize(with_comp(), "members"), threshold), "crossing")
     more = materialize(similar_pairs(texts, crossing, threshold), "links")
     if more.limit(1).count():
         comp = materialize(connected_components(links.unionByName(more), "a", "b"), "comp")
-    release(crossing, texts)
+    release(crossing, texts, sized)
 
     # the lines that occur again, as themselves or in another form
     again = sized_join(distinct.select(LID, "n"), comp.withColumnRenamed("node", LID), LID, "left", 32).where("n > 1 or root is not null")
