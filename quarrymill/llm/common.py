@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
 import zlib
 
@@ -16,10 +17,13 @@ CACHE = 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); it has to be set, as no folder of one machine would do."""
+    """The cluster's shared folder (spark.checkpoint.dir). Where it is unset, one of this machine, if that is all the cluster there is."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="quarrymill-")
+        spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
