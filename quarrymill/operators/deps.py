@@ -25,7 +25,9 @@ def file_facts(files: DataFrame, package: str, own: list[str], text: str = "text
     own_file = F.exists("via", lambda v: v.rlike(r"^-r|\.in$|\.txt$|pyproject|setup"))
     direct = F.when(~F.col("lock"), True).when(F.size("via") == 0, F.lit(None).cast("boolean")).otherwise(own_file)
     section = T.last_section(F.col("__lines"), F.col("__at"))
-    scope = F.when(section == "extras_require", "optional").when(section == "tests_require", "dev").otherwise(T.file_scope(F.col("path")))
+    by_section = F.when(section == "extras_require", "optional").when(section.isin("tests_require", "setup_requires"), "dev").otherwise("required")
+    setup = F.element_at(F.split("path", "/"), -1).startswith("setup.")
+    scope = F.when(setup, by_section).otherwise(T.file_scope(F.col("path")))
     specs = T.specifiers(T.strip_comment(F.col(text)), package)
     dump = ((F.col("__f.entries") >= 10) & (F.col("__f.pinned") >= 0.9 * F.col("__f.entries"))) | F.col("__f.names_own")
     return lines.select(
@@ -37,7 +39,7 @@ def file_facts(files: DataFrame, package: str, own: list[str], text: str = "text
 def declarations(files: DataFrame, entity: str, package: str, own: list[str]) -> DataFrame:
     """One row for each entity with files: status, declared_in, locked_in, scope, longest, spec, kind, anchor."""
     facts = file_facts(files, package, own)
-    known = classify_files(facts.where("named"), entity)
+    known = classify_files(facts.withColumn("whole", F.col("text").isNotNull()), entity)
     every = files.select(entity).distinct().join(known, entity, "left")
     empty = F.array().cast("array<string>")
     found = every.select(

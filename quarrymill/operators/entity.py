@@ -101,11 +101,16 @@ def search(index: DataFrame, key: str, terms: list[str]) -> DataFrame:
     return hits.groupBy(key).agg(F.count_distinct("term").alias("n")).where(F.col("n") == len(set(terms))).select(key)
 
 
-def verified_answers(answers: DataFrame, entity: str, evidence: str, answer: str, shown: str, least: int = 8) -> DataFrame:
-    """entity, kept, dropped: answers whose quote stands in the shown text; "Can't tell" if none does, "Other" only alone."""
-    quote, text = squeeze(F.lower(evidence)), squeeze(F.lower(shown))
+def verified_answers(answers: DataFrame, entity: str, evidence: str, answer: str, shown: str, least: int = 8, unknown: str = "Can't tell") -> DataFrame:
+    """entity, kept, dropped: answers whose quote stands in the shown text, letter for letter but for runs of white space.
+
+    Back-quotes around a quote don't count. The unknown answer needs no quote and is what is left if nothing else stands;
+    "Other" is kept only alone. dropped has the other answers that weren't kept.
+    """
+    quote, text = squeeze(F.btrim(evidence, F.lit("`"))), squeeze(F.col(shown))
+    told = F.col(answer).isNotNull() & (F.col(answer) != unknown)
     ok = F.coalesce((F.length(quote) >= least) & F.contains(text, quote), F.lit(False))
-    g = answers.groupBy(entity).agg(F.array_sort(F.collect_set(F.when(ok, F.col(answer)))).alias("k"), F.array_sort(F.collect_set(F.when(~ok, F.col(answer)))).alias("dropped"))
+    g = answers.groupBy(entity).agg(F.array_sort(F.collect_set(F.when(told & ok, F.col(answer)))).alias("k"), F.array_sort(F.collect_set(F.when(told & ~ok, F.col(answer)))).alias("dropped"))
     named = F.array_remove("k", "Other")
-    kept = F.when(F.size("k") == 0, F.array(F.lit("Can't tell"))).when(F.size(named) > 0, named).otherwise(F.col("k"))
+    kept = F.when(F.size("k") == 0, F.array(F.lit(unknown))).when(F.size(named) > 0, named).otherwise(F.col("k"))
     return g.select(entity, kept.alias("kept"), F.array_except("dropped", "k").alias("dropped"))

@@ -55,13 +55,16 @@ def arg_summary(calls: DataFrame, entity: str, kwargs: str) -> DataFrame:
 
 
 def value_given(calls: DataFrame, entity: str, value: Column, star: Column) -> DataFrame:
-    """entity, answer, value: VALUE, SEVERAL, DEFAULT (left out) or UNREADABLE. A starred call that leaves it out is silent."""
+    """entity, answer, value: VALUE (one readable value, whatever other calls hide or leave out), SEVERAL, DEFAULT (left out) or UNREADABLE.
+
+    value is null where a call leaves the argument out; a starred call that does so is silent.
+    """
     readable = value.isNotNull() & (value != "<expr>")
     g = calls.groupBy(entity).agg(
         F.count_distinct(F.when(readable, value)).alias("n"), F.min(F.when(readable, value)).alias("v"),
         F.bool_or(F.coalesce(value == "<expr>", F.lit(False))).alias("hidden"), F.bool_or(value.isNull() & ~star).alias("left_out"),
     )
-    answer = F.when((F.col("n") > 1) | ((F.col("n") == 1) & F.col("left_out")), "SEVERAL").when(F.col("hidden"), "UNREADABLE").when(F.col("n") == 1, "VALUE").when(F.col("left_out"), "DEFAULT").otherwise("UNREADABLE")
+    answer = F.when(F.col("n") > 1, "SEVERAL").when(F.col("n") == 1, "VALUE").when(F.col("left_out") & ~F.col("hidden"), "DEFAULT").otherwise("UNREADABLE")
     return g.select(entity, answer.alias("answer"), F.when(answer == "VALUE", F.col("v")).alias("value"))
 
 
@@ -106,19 +109,22 @@ def hits_after(rows: DataFrame, group: str, order: list[str], key: str, anchor:
 
 
 def classify_files(files: DataFrame, entity: str) -> DataFrame:
-    """entity, status, declared_in, locked_in, scope, longest, spec from rows (path, lock, direct, scope, entries, spec, dump).
+    """entity, status, declared_in, locked_in, scope, longest, spec from rows (path, named, whole, direct, scope, entries, spec, dump).
 
-    direct true counts as declared; anything else that names the package is a lock. The specifier comes from the first
-    file that has one: dumps last, then the shallowest, then by path.
+    named: the file names the package; whole: it could be read to its end. A named file with direct true declares, any
+    other named one is a lock. Scope, longest listing and specifier come from declaring files only, the specifier from the
+    first that has one: dumps last, then the shallowest, then by path. Without a named file, one not read whole leaves "unread".
     """
-    declared = F.coalesce(F.col("direct"), F.lit(False))
+    named = F.coalesce(F.col("named"), F.lit(False))
+    declared = named & F.coalesce(F.col("direct"), F.lit(False))
     depth = F.size(F.split("path", "/"))
     g = files.groupBy(entity).agg(
         F.array_sort(F.collect_set(F.when(declared, F.col("path")))).alias("declared_in"),
-        F.array_sort(F.collect_set(F.when(~declared, F.col("path")))).alias("locked_in"),
+        F.array_sort(F.collect_set(F.when(named & ~declared, F.col("path")))).alias("locked_in"),
+        F.bool_or(~F.coalesce(F.col("whole"), F.lit(False))).alias("unread"),
         strongest(F.when(declared, F.col("scope")), ["required", "optional", "dev"]).alias("scope"),
-        F.max("entries").alias("longest"),
-        F.min_by("spec", F.when(F.col("spec").isNotNull(), F.struct("dump", depth, "path"))).alias("spec"),
+        F.max(F.when(declared, F.col("entries"))).alias("longest"),
+        F.min_by("spec", F.when(declared & F.col("spec").isNotNull(), F.struct("dump", depth, "path", "spec"))).alias("spec"),
     )
-    status = F.when(F.size("declared_in") > 0, "declared").when(F.size("locked_in") > 0, "lock only").otherwise("not found")
+    status = F.when(F.size("declared_in") > 0, "declared").when(F.size("locked_in") > 0, "lock only").when(F.col("unread"), "unread").otherwise("not found")
     return g.select(entity, status.alias("status"), "declared_in", "locked_in", "scope", "longest", "spec")

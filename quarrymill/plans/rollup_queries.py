@@ -113,7 +113,7 @@ def arg_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(CALLS_SQL + """, g AS (SELECT l_orderkey, count(DISTINCT CASE WHEN l_discount > 0.02 AND flag <> '<expr>' THEN flag END) AS n, min(CASE WHEN l_discount > 0.02 AND flag <> '<expr>' THEN flag END) AS v,
   bool_or(l_discount > 0.02 AND flag = '<expr>') AS hidden, bool_or(l_discount <= 0.02 AND l_quantity <= 45) AS left_out FROM c GROUP BY l_orderkey),
-r AS (SELECT l_orderkey, v, CASE WHEN n > 1 OR (n = 1 AND left_out) THEN 'SEVERAL' WHEN hidden THEN 'UNREADABLE' WHEN n = 1 THEN 'VALUE' WHEN left_out THEN 'DEFAULT' ELSE 'UNREADABLE' END AS answer FROM g)
+r AS (SELECT l_orderkey, v, CASE WHEN n > 1 THEN 'SEVERAL' WHEN n = 1 THEN 'VALUE' WHEN left_out AND NOT hidden THEN 'DEFAULT' ELSE 'UNREADABLE' END AS answer FROM g)
 SELECT l_orderkey, answer, CASE WHEN answer = 'VALUE' THEN v END AS value FROM r""")
 def value_given(spark: SparkSession, sf: str) -> DataFrame:
     value = F.when(F.col("l_discount") > 0.02, F.col("kwargs")["flag"])
@@ -168,18 +168,21 @@ def cost_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH f AS (SELECT DISTINCT l_orderkey, 'f' || l_linenumber || CASE WHEN l_linenumber % 2 = 0 THEN '/sub' ELSE '' END AS path, l_returnflag, l_linestatus, l_quantity, l_suppkey FROM lineitem)
-SELECT l_orderkey, CASE WHEN bool_or(l_returnflag = 'R') THEN 'declared' ELSE 'lock only' END AS status,
-  list_sort(coalesce(list(DISTINCT path) FILTER (l_returnflag = 'R'), [])) AS declared_in, list_sort(coalesce(list(DISTINCT path) FILTER (l_returnflag <> 'R'), [])) AS locked_in,
-  CASE WHEN bool_or(l_returnflag = 'R' AND l_linestatus = 'O') THEN 'required' WHEN bool_or(l_returnflag = 'R') THEN 'dev' END AS scope, max(l_quantity) AS longest FROM f GROUP BY l_orderkey""")
+WITH f AS (SELECT l_orderkey, 'f' || l_linenumber || CASE WHEN l_linenumber % 2 = 0 THEN '/sub' ELSE '' END AS path, l_linenumber % 2 AS depth, l_tax < 0.06 AS named, l_discount < 0.08 AS whole,
+  l_returnflag = 'R' AS direct, l_linestatus, l_quantity AS entries, CASE WHEN l_discount > 0.02 THEN '==' || l_suppkey END AS spec, l_quantity > 40 AS dump FROM lineitem)
+SELECT l_orderkey, CASE WHEN bool_or(named AND direct) THEN 'declared' WHEN bool_or(named) THEN 'lock only' WHEN bool_or(NOT whole) THEN 'unread' ELSE 'not found' END AS status,
+  list_sort(coalesce(list(DISTINCT path) FILTER (named AND direct), [])) AS declared_in, list_sort(coalesce(list(DISTINCT path) FILTER (named AND NOT direct), [])) AS locked_in,
+  CASE WHEN bool_or(named AND direct AND l_linestatus = 'O') THEN 'required' WHEN bool_or(named AND direct) THEN 'dev' END AS scope, max(entries) FILTER (named AND direct) AS longest,
+  arg_min(spec, (dump, -depth, path, spec)) FILTER (named AND direct AND spec IS NOT NULL) AS spec FROM f GROUP BY l_orderkey""")
 def classify_files(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("l_linenumber")
     files = table(spark, sf, "lineitem").select(
-        "l_orderkey", F.concat(F.lit("f"), n.cast("string"), F.when(n % 2 == 0, "/sub").otherwise("")).alias("path"), (F.col("l_returnflag") == "R").alias("direct"),
+        "l_orderkey", F.concat(F.lit("f"), n.cast("string"), F.when(n % 2 == 0, "/sub").otherwise("")).alias("path"), (F.col("l_tax") < 0.06).alias("named"),
+        (F.col("l_discount") < 0.08).alias("whole"), (F.col("l_returnflag") == "R").alias("direct"),
         F.when(F.col("l_linestatus") == "O", "required").otherwise("dev").alias("scope"), F.col("l_quantity").alias("entries"),
-        F.concat(F.lit("=="), F.col("l_suppkey").cast("string")).alias("spec"), (F.col("l_quantity") > 40).alias("dump"),
+        F.when(F.col("l_discount") > 0.02, F.concat(F.lit("=="), F.col("l_suppkey").cast("string"))).alias("spec"), (F.col("l_quantity") > 40).alias("dump"),
     )
-    return A.classify_files(files, "l_orderkey").drop("spec")
+    return A.classify_files(files, "l_orderkey")
 
 
 @query("""

@@ -10,9 +10,9 @@ from ..operators import batches, code, deps
 from ..session import table
 from .base import query
 
-# A requirement string for each part: eight shapes by size.
-SPEC_SQL = """CASE p_size % 8 WHEN 0 THEN '' WHEN 1 THEN '>=0.' || p_size WHEN 2 THEN '>=0.5,<' || p_size WHEN 3 THEN '==0.' || p_size || '.*'
-  WHEN 4 THEN '~=0.5' WHEN 5 THEN '==1.' || p_size WHEN 6 THEN '!=0.4' ELSE '<2' END"""
+# A requirement string for each part: ten shapes by size.
+SPEC_SQL = """CASE p_size % 10 WHEN 0 THEN '' WHEN 1 THEN '>=0.' || p_size WHEN 2 THEN '>=0.5,<' || p_size WHEN 3 THEN '==0.' || p_size || '.*'
+  WHEN 4 THEN '~=0.5' WHEN 5 THEN '==1.' || p_size WHEN 6 THEN '!=0.4' WHEN 8 THEN '<9,>=0.' || p_size WHEN 9 THEN '==1.0,>=0.5' ELSE '<2' END"""
 
 
 def _requirements(spark: SparkSession, sf: str) -> DataFrame:
@@ -20,8 +20,8 @@ def _requirements(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(rf"""
-SELECT p_partkey, spec, kind, CASE WHEN kind = 'Any version' THEN '' ELSE regexp_replace(split_part(spec, ',', 1), '^[=<>!~^]+', '') END AS anchor FROM (
-  SELECT p_partkey, {SPEC_SQL} AS spec, CASE p_size % 8 WHEN 1 THEN 'Lower bound' WHEN 2 THEN 'Bounded' WHEN 3 THEN 'Compatible' WHEN 4 THEN 'Compatible' WHEN 5 THEN 'One version' WHEN 7 THEN 'Upper bound' ELSE 'Any version' END AS kind FROM part)""")
+SELECT p_partkey, spec, kind, CASE WHEN spec = '' THEN '' ELSE regexp_replace(split_part(spec, ',', CASE WHEN p_size % 10 IN (8, 9) THEN 2 ELSE 1 END), '^[=<>!~^]+', '') END AS anchor FROM (
+  SELECT p_partkey, p_size, {SPEC_SQL} AS spec, CASE p_size % 10 WHEN 1 THEN 'Lower bound' WHEN 2 THEN 'Bounded' WHEN 3 THEN 'Compatible' WHEN 4 THEN 'Compatible' WHEN 5 THEN 'One version' WHEN 7 THEN 'Upper bound' WHEN 8 THEN 'Bounded' WHEN 9 THEN 'Lower bound' ELSE 'Any version' END AS kind FROM part)""")
 def scalar_version(spark: SparkSession, sf: str) -> DataFrame:
     rows = _requirements(spark, sf).select("p_partkey", F.element_at(T.specifiers(F.col("req"), "quarry-mill"), 1).alias("spec"))
     kind = T.version_kind(F.col("spec"))
@@ -51,11 +51,13 @@ def scalar_hash(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(r"""
 WITH x AS (SELECT page_id, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path FROM pages)
-SELECT page_id, CASE WHEN regexp_matches(lower(list_last(string_split(path, '/'))), 'dev|test|doc|lint|ci') THEN 'dev' WHEN regexp_matches(lower(list_last(string_split(path, '/'))), 'optional|extra') THEN 'optional' ELSE 'required' END AS file_scope,
-  CASE WHEN regexp_matches(lower(path), 'dev|test|docs|lint') THEN 'dev' WHEN regexp_matches(lower(path), 'optional|extras') THEN 'optional' ELSE 'required' END AS key_scope FROM x""")
+SELECT page_id, CASE WHEN regexp_matches(lower(list_last(string_split(path, '/'))), 'dev|test|doc|lint|bench') THEN 'dev' WHEN regexp_matches(lower(list_last(string_split(path, '/'))), 'optional|extra') THEN 'optional' ELSE 'required' END AS file_scope,
+  CASE page_id % 4 WHEN 0 THEN 'required' WHEN 1 THEN 'optional' WHEN 2 THEN 'dev' END AS key_scope FROM x""")
 def scalar_path(spark: SparkSession, sf: str) -> DataFrame:
     path = F.regexp_extract("url", "://[^/?#]*([^?#]*)", 1)
-    return table(spark, sf, "pages").select("page_id", T.file_scope(path).alias("file_scope"), T.key_path_scope(path).alias("key_scope"))
+    # a key path for each page: a table of dependencies, an optional one, one of a group, one of sources
+    table_ = F.element_at(F.array(*[F.lit(x) for x in ("project.dependencies", "project.optional-dependencies", "dependency-groups", "tool.x.sources")]), (F.col("page_id") % 4 + 1).cast("int"))
+    return table(spark, sf, "pages").select("page_id", T.file_scope(path).alias("file_scope"), T.key_path_scope(F.concat(table_, F.lit(".k"), F.col("page_id").cast("string"))).alias("key_scope"))
 
 
 @query(r"""
@@ -167,8 +169,8 @@ def map_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH a AS (SELECT b.item_id, 'item ' || (b.item_id % 3) AS answer, b.text AS quote, d.text AS shown FROM benchmark b JOIN documents d ON d.doc_id = b.item_id)
-SELECT item_id, CASE WHEN contains(regexp_replace(lower(shown), '\\s+', ' ', 'g'), regexp_replace(lower(quote), '\\s+', ' ', 'g')) THEN [answer] ELSE ['Can''t tell'] END AS kept,
-  CASE WHEN contains(regexp_replace(lower(shown), '\\s+', ' ', 'g'), regexp_replace(lower(quote), '\\s+', ' ', 'g')) THEN [] ELSE [answer] END AS dropped FROM a""".replace("\\\\", "\\"))
+SELECT item_id, CASE WHEN contains(regexp_replace(shown, '\\s+', ' ', 'g'), regexp_replace(quote, '\\s+', ' ', 'g')) THEN [answer] ELSE ['Can''t tell'] END AS kept,
+  CASE WHEN contains(regexp_replace(shown, '\\s+', ' ', 'g'), regexp_replace(quote, '\\s+', ' ', 'g')) THEN [] ELSE [answer] END AS dropped FROM a""".replace("\\\\", "\\"))
 def verified_answers(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.entity import verified_answers as verify
 
@@ -177,9 +179,11 @@ def verified_answers(spark: SparkSession, sf: str) -> DataFrame:
     return verify(answers, "item_id", "text", "answer", "shown")
 
 
-@query("SELECT p_partkey, p_brand || '(size=' || p_size || ', type=' || CASE WHEN length(p_type) > 24 THEN p_type[1:24] || '…' ELSE p_type END || ')' AS call, list_sort(list_filter(['size=' || p_size, 'type=' || p_type], lambda t: length(t) <= 40)) AS tokens FROM part")
+@query("SELECT p_partkey, p_brand || '(size=' || CASE WHEN p_size % 2 = 0 THEN '…' ELSE p_size::VARCHAR END || ', type=' || p_type || ', name=' || CASE WHEN length(p_name || p_name) > 24 THEN (p_name || p_name)[1:23] || '…' ELSE p_name || p_name END || ', a=1, b=2, c=3' || CASE WHEN p_size % 3 = 0 THEN ', +1 more' ELSE '' END || ')' AS call, list_sort(list_filter(['size=' || p_size, 'type=' || p_type], lambda t: length(t) <= 40)) AS tokens FROM part")
 def call_display(spark: SparkSession, sf: str) -> DataFrame:
     kwargs = F.create_map(F.lit("size"), F.col("p_size").cast("string"), F.lit("type"), F.col("p_type"))
-    return table(spark, sf, "part").select("p_partkey", T.call_text(F.col("p_brand"), kwargs, F.lit(False)).alias("call"), T.argument_tokens(kwargs).alias("tokens"))
+    size = F.when(F.col("p_size") % 2 == 0, "<expr>").otherwise(F.col("p_size").cast("string"))
+    shown = F.create_map(F.lit("size"), size, F.lit("type"), F.col("p_type"), F.lit("name"), F.concat("p_name", "p_name"), *[F.lit(x) for x in ("a", "1", "b", "2", "c", "3")])
+    return table(spark, sf, "part").select("p_partkey", T.call_text(F.concat(F.lit("tools."), F.col("p_brand")), shown, F.col("p_size") % 3 == 0).alias("call"), T.argument_tokens(kwargs).alias("tokens"))
 
 

@@ -11,9 +11,11 @@ from pyspark.sql.types import StructType
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors share: the checkpoint folder; a temporary one where none is set."""
+    """The checkpoint folder, which driver and executors share; a temporary one where none is set and all run on this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="quarrymill-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

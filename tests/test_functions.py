@@ -27,12 +27,13 @@ def test_specifiers(spark, text, want):
     ("spec", "kind", "anchor"),
     [
         ("", "Any version", ""), ("from source", "From source", ""), (">=1", "Lower bound", "1"), ("<2", "Upper bound", "2"), (">=1,<2", "Bounded", "1"), ("==1", "One version", "1"),
-        ("==1.*", "Compatible", "1.*"), ("~=1", "Compatible", "1"), ("^1", "Compatible", "1"), ("!=1", "Any version", ""), ("==1,!=1.1", "One version", "1"), ("===1", "One version", "1"),
+        ("==1.*", "Compatible", "1.*"), ("~=1", "Compatible", "1"), ("^1", "Compatible", "1"), ("!=1", "Any version", "1"), ("==1,!=1.1", "One version", "1"), ("===1", "One version", "1"),
+        ("<1,>=0.5", "Bounded", "0.5"), ("==1.0,>=0.5", "Lower bound", "0.5"), ("!=2,<3", "Upper bound", "3"), (None, None, None),
     ],
 )
 def test_version_kind(spark, spec, kind, anchor):
     got = one(spark, T.version_kind(F.col("s")), s=spec)
-    assert (got["kind"], got["anchor"]) == (kind, anchor)
+    assert (got and (got["kind"], got["anchor"])) == (kind and (kind, anchor))
 
 
 def test_strip_and_comments(spark):
@@ -81,17 +82,54 @@ def test_families(spark):
 
 
 def test_answers(spark):
-    rows = [(1, "the quick  fox", "Speed", "see THE quick fox run"), (1, "short", "Other", "short"), (2, "not there at all", "Size", "nothing"), (3, "a quoted line", "Other", "a quoted line")]
+    rows = [
+        (1, "`the quick  fox`", "Speed", "see the quick fox run"), (1, "short", "Other", "short"), (2, "not there at all", "Size", "nothing"), (3, "a quoted line", "Other", "a quoted line"),
+        (4, "The Quick fox", "Speed", "see the quick fox run"), (4, "see the quick", "Can't tell", "see the quick fox run"),
+    ]
     df = spark.createDataFrame(rows, "e int, q string, a string, s string")
     got = {r["e"]: (r["kept"], r["dropped"]) for r in entity.verified_answers(df, "e", "q", "a", "s").collect()}
-    assert got == {1: (["Speed"], ["Other"]), 2: (["Can't tell"], ["Size"]), 3: (["Other"], [])}
+    assert got == {1: (["Speed"], ["Other"]), 2: (["Can't tell"], ["Size"]), 3: (["Other"], []), 4: (["Can't tell"], ["Speed"])}
+
+
+def test_classified_files(spark):
+    rows = [
+        (1, "a/b/req.txt", True, True, True, "dev", 5, ">=1", False), (1, "req.lock", True, True, None, "required", 90, "==9", False), (1, "x.txt", False, True, True, "required", 50, "==3", False),
+        (2, "u.lock", True, False, False, "required", 3, "==1", False), (3, "big.txt", False, False, None, None, 2, None, False), (4, "none.txt", False, True, None, None, 2, None, False),
+        (5, "env.txt", True, True, True, "required", 40, "==7", True), (5, "deep/er/req.txt", True, True, True, "optional", 4, ">=2", False),
+    ]
+    df = spark.createDataFrame(rows, "e int, path string, named boolean, whole boolean, direct boolean, scope string, entries int, spec string, dump boolean")
+    got = {r["e"]: (r["status"], r["scope"], r["longest"], r["spec"], len(r["declared_in"]), len(r["locked_in"])) for r in rollup.classify_files(df, "e").collect()}
+    assert got == {
+        1: ("declared", "dev", 5, ">=1", 1, 1), 2: ("lock only", None, None, None, 0, 1), 3: ("unread", None, None, None, 0, 0), 4: ("not found", None, None, None, 0, 0),
+        5: ("declared", "required", 40, ">=2", 2, 0),
+    }
+
+
+@pytest.mark.parametrize(
+    ("path", "file", "key"),
+    [
+        ("a/precise.txt", "required", None), ("bench.txt", "dev", None), ("x/dev-requirements.txt", "dev", None), ("extra.txt", "optional", None),
+        ("project.dependencies", "required", "required"), ("project.optional-dependencies.x", "optional", "optional"), ("dependency-groups.test", "dev", "dev"), ("build-system.requires", "required", "dev"),
+        ("tool.uv.sources.packages", "required", None), ("tool.uv.override-dependencies", "required", None), ("project.urls.home", "required", None),
+    ],
+)
+def test_scopes(spark, path, file, key):
+    got = one(spark, F.struct(T.file_scope(F.col("p")).alias("f"), T.key_path_scope(F.col("p")).alias("k")), p=path)
+    assert (got["f"], got["k"]) == (file, key)
+
+
+def test_call_text(spark):
+    kwargs = {"a": "<expr>", "b": "x" * 24, "c": "y" * 25, "d": "1", "e": "2"}
+    for star, extra, want in ((False, {}, "a=…, b=" + "x" * 24 + ", c=" + "y" * 23 + "…, d=1, e=2"), (True, {}, "a=…, b=" + "x" * 24 + ", c=" + "y" * 23 + "…, d=1, e=2, **…"), (True, {"f": "3"}, "a=…, b=" + "x" * 24 + ", c=" + "y" * 23 + "…, d=1, e=2, f=3, +1 more")):
+        df = spark.createDataFrame([("lib.sub.Model", kwargs | extra, star)], "n string, k map<string,string>, s boolean")
+        assert df.select(T.call_text(F.col("n"), F.col("k"), F.col("s"))).first()[0] == f"Model({want})"
 
 
 def test_value_given(spark):
-    rows = [(1, "2", False), (1, "2", False), (2, "2", False), (2, "2.0", False), (3, None, False), (4, "<expr>", False), (5, None, True), (6, "2", False), (6, None, True), (7, "2", False), (7, None, False)]
+    rows = [(1, "2", False), (1, "2", False), (2, "2", False), (2, "2.0", False), (3, None, False), (4, "<expr>", False), (5, None, True), (6, "2", False), (6, None, True), (7, "2", False), (7, None, False), (8, "2", False), (8, "<expr>", False), (9, "<expr>", False), (9, None, False)]
     df = spark.createDataFrame(rows, "e int, v string, s boolean")
     got = {r["e"]: (r["answer"], r["value"]) for r in rollup.value_given(df, "e", F.col("v"), F.col("s")).collect()}
-    assert got == {1: ("VALUE", "2"), 2: ("SEVERAL", None), 3: ("DEFAULT", None), 4: ("UNREADABLE", None), 5: ("UNREADABLE", None), 6: ("VALUE", "2"), 7: ("SEVERAL", None)}
+    assert got == {1: ("VALUE", "2"), 2: ("SEVERAL", None), 3: ("DEFAULT", None), 4: ("UNREADABLE", None), 5: ("UNREADABLE", None), 6: ("VALUE", "2"), 7: ("VALUE", "2"), 8: ("VALUE", "2"), 9: ("UNREADABLE", None)}
 
 
 def test_requirers(spark):
