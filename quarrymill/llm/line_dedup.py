@@ -10,7 +10,8 @@ two lines agree in a band with about the chance J ** ROWS, and BANDS bands catch
 all but a few of 100,000 (recall against all pairs is tested).
 A line is compared with the least line that it shares a band with first; exact Jaccard decides and distributed
 union-find joins the links. In bands that then still hold several components, all pairs between different components
-are decided too, so every pair that shares a band is decided or already joined. The first line of each component
+are decided too, so every pair that shares a band is decided or already joined. Before texts are compared, bitmaps of the
+lines' shingles rule out pairs that can't reach the threshold; that bound is exact and loses none. The first line of each component
 (least id, then position) stays.
 
 Lines are compared trimmed and in lower case; blank lines are kept and not counted. A line's identity is a 64-bit
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import free_name, materialize, release
 from .components import connected_components, sized_join
 
-SHINGLE, BANDS, ROWS, FEW = 9, 6, 3, 8
+SHINGLE, BANDS, ROWS, FEW, WORDS = 9, 6, 3, 8, 16
 THRESHOLD = 0.8
 ROW, LINE_NO, LID = "__row", "__no", "__lid"
 NO_HASHES = "cast(array() as array<bigint>)"
@@ -72,34 +73,66 @@ def numbered_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     return norm.withColumn(LID, F.xxhash64("norm"))
 
 
+def sketches(texts: DataFrame) -> DataFrame:
+    """LID, size (number of different shingles), and a bitmap of WORDS longs with a bit for each shingle; sums up inside the task that reads a line."""
+    each = texts.select(LID, F.explode(F.array_distinct(all_hashes(F.col("norm")))).alias("h"))
+    bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
+    word = F.shiftrightunsigned("h", 6).bitwiseAND(WORDS - 1)
+    masks = [F.coalesce(F.bit_or(F.when(word == w, bit)), F.lit(0).cast("long")).alias(f"m{w}") for w in range(WORDS)]
+    return each.groupBy(LID).agg(F.count("*").alias("size"), *masks)
+
+
+def may_be_similar(x: str, y: str, threshold: float) -> Column:
+    """False only where two lines can't reach the threshold, from the columns of their sketches (prefixes x and y).
+
+    A bit that only x has stands for at least one shingle that only x has, which bounds the number of common ones.
+    """
+    alone = lambda p, q: sum((F.bit_count(F.col(f"{p}m{w}").bitwiseAND(F.bitwise_not(F.col(f"{q}m{w}")))) for w in range(WORDS)), F.lit(0))
+    sizes = F.col(f"{x}size"), F.col(f"{y}size")
+    common = F.least(sizes[0] - alone(x, y), sizes[1] - alone(y, x))
+    return (F.least(*sizes) >= threshold * F.greatest(*sizes)) & (common >= threshold * (sizes[0] + sizes[1] - common))
+
+
+def plausible_pairs(pairs: DataFrame, drawn: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) that may be similar by their sketches, with their sizes."""
+    for p, c in (("x", "a"), ("y", "b")):
+        end = drawn.select(F.col(LID).alias(c), *[F.col(n).alias(p + n) for n in drawn.columns if n != LID])
+        pairs = sized_join(pairs, end, c, "inner", 16 + 8 * WORDS)
+    return pairs.where(may_be_similar("x", "y", threshold)).select("a", "b", "xsize", "ysize")
+
+
 def similar_pairs(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets have a Jaccard of threshold or more. Texts are moved, not their sets, which are eight times as large."""
     pairs = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work
-    a, b = (texts.select(F.col(LID).alias(c), F.col("norm").alias(t), F.col("size").alias(n)) for c, t, n in (("a", "s", "x"), ("b", "t", "y")))
-    met = sized_join(sized_join(pairs, a, "a", "inner", 48), b, "b", "inner", 48).where(F.least("x", "y") >= threshold * F.greatest("x", "y"))
+    a, b = (texts.select(F.col(LID).alias(c), F.col("norm").alias(t)) for c, t in (("a", "s"), ("b", "t")))
+    met = sized_join(sized_join(pairs, a, "a", "inner", 48), b, "b", "inner", 48)
     met = met.withColumn("common", F.size(F.array_intersect(all_hashes(F.col("s")), all_hashes(F.col("t")))))
-    return met.where(F.col("common") >= threshold * (F.col("x") + F.col("y") - F.col("common"))).select("a", "b")
+    return met.where(F.col("common") >= threshold * (F.col("xsize") + F.col("ysize") - F.col("common"))).select("a", "b")
 
 
-def crossing_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of lines that share a band but no component, and whose numbers of shingles allow the threshold.
+def crossing_pairs(members: DataFrame, drawn: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of lines that share a band but no component, and whose sketches (drawn) allow the threshold, with their sizes.
 
-    members has LID, band, comp, size. Only lines outside a band's largest component start pairs, and lines meet by classes of
-    size, so a band that is one component costs nothing and a hot band is dealt over several keys.
+    members has LID, band, comp. Only lines outside a band's largest component start pairs, and lines meet by classes of
+    size, so a band that is one component costs nothing and a hot band is dealt over several keys. The join itself
+    compares the sketches, so pairs that share a passage and little else never leave it.
     """
     parts = members.groupBy("band", "comp").agg(F.count("*").alias("n"))
     main = parts.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     main = materialize(main.select("band", "main"), "mains")
-    held = sized_join(members, main, "band", "inner", 24).withColumn("class", F.floor(F.log("size") / max(-math.log(threshold), 0.01)).cast("int"))
+    held = sized_join(sized_join(members, main, "band", "inner", 24), drawn, LID, "inner", 16 + 8 * WORDS)
+    # rounded up where a logarithm falls just short of a whole number; then sizes that fit differ by one class at most
+    held = held.withColumn("class", F.floor(F.log("size") / max(-math.log(threshold), 0.01) + 1e-9).cast("int"))
     held = materialize(held, "held")
-    ends = lambda p: [F.col(c).alias(p + c) for c in (LID, "comp", "size")]
-    # sizes that fit differ by one class at most; one more covers rounding
-    near = F.explode(F.sequence(F.col("class") - 2, F.col("class") + 2)).alias("class")
+    ends = lambda p: [F.col(c).alias(p + c) for c in (LID, "comp", *drawn.drop(LID).columns)]
+    near = F.explode(F.sequence(F.col("class") - 1, F.col("class") + 1)).alias("class")
     minor = held.where("comp <> main").select("band", near, *ends("x"))
     other = held.select("band", "class", *ends("y"), (F.col("comp") == F.col("main")).alias("is_main"))
-    fits = F.least("xsize", "ysize") >= threshold * F.greatest("xsize", "ysize")
-    met = minor.join(other, ["band", "class"]).where((F.col("xcomp") != F.col("ycomp")) & (F.col("is_main") | (F.col(f"x{LID}") > F.col(f"y{LID}"))) & fits)
-    return met.select(F.greatest(f"x{LID}", f"y{LID}").alias("a"), F.least(f"x{LID}", f"y{LID}").alias("b")).distinct()
+    met = minor.join(other.hint("merge"), ["band", "class"]).where((F.col("xcomp") != F.col("ycomp")) & (F.col("is_main") | (F.col(f"x{LID}") > F.col(f"y{LID}"))) & may_be_similar("x", "y", threshold))
+    one = F.col(f"x{LID}") > F.col(f"y{LID}")
+    pair = lambda n: (F.when(one, F.col("x" + n)).otherwise(F.col("y" + n)), F.when(one, F.col("y" + n)).otherwise(F.col("x" + n)))
+    (a, b), (s, t) = pair(LID), pair("size")
+    return met.select(a.alias("a"), b.alias("b"), s.alias("xsize"), t.alias("ysize")).distinct()
 
 
 def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -117,15 +150,16 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     # a line and the least of all that it shares a band with
     partners = materialize(met.groupBy(LID).agg(F.min("lo").alias("lo")), "partners")
     found = sized_join(lines.select(LID, "norm"), partners.select(LID), LID, "left_semi", 16).dropDuplicates([LID])
-    texts = materialize(found.withColumn("size", F.size(F.array_distinct(all_hashes(F.col("norm"))))), "linetexts")
-    links = materialize(similar_pairs(texts, partners.where(f"lo <> {LID}").select(F.col(LID).alias("a"), F.col("lo").alias("b")), threshold), "links")
+    texts = materialize(found, "linetexts")
+    drawn = materialize(sketches(texts), "sketches")
+    near = plausible_pairs(partners.where(f"lo <> {LID}").select(F.col(LID).alias("a"), F.col("lo").alias("b")), drawn, threshold)
+    links = materialize(similar_pairs(texts, near, threshold), "links")
     comp = materialize(connected_components(links, "a", "b"), "comp")
 
     # what that left open
-    members = sized_join(met.select(LID, "band"), texts.select(LID, "size"), LID, "inner", 32)
-    members = sized_join(members, comp.withColumnRenamed("node", LID), LID, "left", 32).withColumn("comp", F.coalesce("root", LID)).drop("root")
-    crossing = materialize(crossing_pairs(materialize(members, "members"), threshold), "crossing")
-    release(shared, met, partners)
+    members = sized_join(met.select(LID, "band"), comp.withColumnRenamed("node", LID), LID, "left", 32).withColumn("comp", F.coalesce("root", LID)).drop("root")
+    crossing = materialize(crossing_pairs(materialize(members, "members"), drawn, threshold), "crossing")
+    release(shared, met, partners, drawn)
     more = materialize(similar_pairs(texts, crossing, threshold), "links")
     if more.limit(1).count():
         comp = materialize(connected_components(links.unionByName(more), "a", "b"), "comp")
