@@ -36,7 +36,8 @@ from .components import connected_components, sized_join
 SHINGLE, BANDS, ROWS, FEW, WORDS = 9, 6, 3, 8, 16
 THRESHOLD = 0.8
 ROW, LINE_NO, LID = "__row", "__no", "__lid"
-NO_HASHES = "cast(array() as array<bigint>)"
+#: No elements, and typed as never null, for which Spark sorts plain longs.
+NO_HASHES = "array_remove(array(0L), 0L)"
 #: The bands' fixed points, spread over the 64-bit numbers.
 POINTS = [-(2**63) + (2 * b + 1) * (2**63 // BANDS) for b in range(BANDS)]
 
