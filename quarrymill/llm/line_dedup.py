@@ -75,30 +75,33 @@ def numbered_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """LID, size (number of different shingles), and a bitmap of WORDS longs with a bit for each shingle; sums up inside the task that reads a line."""
+    """LID, size (number of different shingles), a bitmap of WORDS longs with a bit for each shingle, and what its collisions
+    hide: size less the bits that are set. Sums up inside the task that reads a line."""
     each = texts.select(LID, F.explode(F.array_distinct(all_hashes(F.col("norm")))).alias("h"))
     bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
     word = F.shiftrightunsigned("h", 6).bitwiseAND(WORDS - 1)
     masks = [F.coalesce(F.bit_or(F.when(word == w, bit)), F.lit(0).cast("long")).alias(f"m{w}") for w in range(WORDS)]
-    return each.groupBy(LID).agg(F.count("*").alias("size"), *masks)
+    drawn = each.groupBy(LID).agg(F.count("*").alias("size"), *masks)
+    return drawn.withColumn("hidden", F.col("size") - sum((F.bit_count(f"m{w}") for w in range(WORDS)), F.lit(0)))
 
 
 def may_be_similar(x: str, y: str, threshold: float) -> Column:
     """False only where two lines can't reach the threshold, from the columns of their sketches (prefixes x and y).
 
-    A bit that only x has stands for at least one shingle that only x has, which bounds the number of common ones.
+    A bit that only one has stands for at least one shingle that only it has, so the common ones are no more than the bits
+    that both have and what collisions hide.
     """
-    alone = lambda p, q: sum((F.bit_count(F.col(f"{p}m{w}").bitwiseAND(F.bitwise_not(F.col(f"{q}m{w}")))) for w in range(WORDS)), F.lit(0))
+    both = sum((F.bit_count(F.col(f"{x}m{w}").bitwiseAND(F.col(f"{y}m{w}"))) for w in range(WORDS)), F.lit(0))
     sizes = F.col(f"{x}size"), F.col(f"{y}size")
-    common = F.least(sizes[0] - alone(x, y), sizes[1] - alone(y, x))
-    return (F.least(*sizes) >= threshold * F.greatest(*sizes)) & (common >= threshold * (sizes[0] + sizes[1] - common))
+    fits = F.least(*sizes) >= threshold * F.greatest(*sizes)
+    return fits & ((1 + threshold) * (F.least(f"{x}hidden", f"{y}hidden") + both) >= threshold * (sizes[0] + sizes[1]) - 1e-6)
 
 
 def plausible_pairs(pairs: DataFrame, drawn: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) that may be similar by their sketches, with their sizes."""
     for p, c in (("x", "a"), ("y", "b")):
         end = drawn.select(F.col(LID).alias(c), *[F.col(n).alias(p + n) for n in drawn.columns if n != LID])
-        pairs = sized_join(pairs, end, c, "inner", 16 + 8 * WORDS)
+        pairs = sized_join(pairs, end, c, "inner", 24 + 8 * WORDS)
     return pairs.where(may_be_similar("x", "y", threshold)).select("a", "b", "xsize", "ysize")
 
 
@@ -121,7 +124,7 @@ def crossing_pairs(members: DataFrame, drawn: DataFrame, threshold: float) -> Da
     parts = members.groupBy("band", "comp").agg(F.count("*").alias("n"))
     main = parts.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     main = materialize(main.select("band", "main"), "mains")
-    held = sized_join(sized_join(members, main, "band", "inner", 24), drawn, LID, "inner", 16 + 8 * WORDS)
+    held = sized_join(sized_join(members, main, "band", "inner", 24), drawn, LID, "inner", 24 + 8 * WORDS)
     # rounded up where a logarithm falls just short of a whole number; then sizes that fit differ by one class at most
     held = held.withColumn("class", F.floor(F.log("size") / max(-math.log(threshold), 0.01) + 1e-9).cast("int"))
     held = materialize(held, "held")
@@ -142,7 +145,7 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     some = lines.withColumn("s", sampled_hashes(F.col("norm"))).withColumn("n", F.size("s"))
     some = some.withColumn("h", F.when(F.col("n") < 2 * FEW, F.array_distinct(all_hashes(F.col("norm")))).otherwise(F.expr(NO_HASHES))).withColumn("s", F.when(F.col("n") >= FEW, F.col("s")).otherwise(F.expr(NO_HASHES)))
     some = with_bands(with_bands(some, "s", 0, "x"), "h", 1, "y")
-    occurrences = materialize(some.select(ROW, "who", LINE_NO, LID, F.concat("x", "y").alias("bands")), "lines")
+    occurrences = materialize(some.select(ROW, "who", LINE_NO, LID, "norm", F.concat("x", "y").alias("bands")), "lines")
     # rows of one line have the same keys; exact repeats meet before the bands do
     distinct = materialize(occurrences.groupBy(LID).agg(F.count("*").alias("n"), F.first("bands").alias("bands")), "distinct")
     bands = distinct.select(LID, F.explode("bands").alias("band"))
@@ -150,7 +153,7 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     met = materialize(sized_join(bands, shared, "band", "inner", 32), "met")
     # a line and the least of all that it shares a band with
     partners = materialize(met.groupBy(LID).agg(F.min("lo").alias("lo")), "partners")
-    found = sized_join(lines.select(LID, "norm"), partners.select(LID), LID, "left_semi", 16).dropDuplicates([LID])
+    found = sized_join(occurrences.select(LID, "norm"), partners.select(LID), LID, "left_semi", 16).dropDuplicates([LID])
     texts = materialize(found, "linetexts")
     drawn = materialize(sketches(texts), "sketches")
     near = plausible_pairs(partners.where(f"lo <> {LID}").select(F.col(LID).alias("a"), F.col("lo").alias("b")), drawn, threshold)
