@@ -9,8 +9,8 @@ The signature orders its hashes in a circle; band b is made of the ROWS hashes t
 two lines agree in a band with about the chance J ** ROWS, and BANDS bands catch J = 0.8 in about 99 of 100 cases, J = 0.9 in
 all but a few of 100,000 (recall against all pairs is tested).
 A line is compared with the least line that it shares a band with first; exact Jaccard decides and distributed
-union-find joins the links. In bands that then still hold several components, all pairs between different components
-are decided too, so every pair that shares a band is decided or already joined. Before texts are compared, bitmaps of the
+union-find joins the links. In bands that then still hold several components, each line's most
+promising pairs are decided and joined, and then all pairs that are still between different components, so every pair that shares a band is decided or already joined. Before texts are compared, bitmaps of the
 lines' shingles rule out pairs that can't reach the threshold; that bound is exact and loses none. The first line of each component
 (least id, then position) stays.
 
@@ -85,13 +85,18 @@ def sketches(texts: DataFrame) -> DataFrame:
     return drawn.withColumn("hidden", F.col("size") - sum((F.bit_count(f"m{w}") for w in range(WORDS)), F.lit(0)))
 
 
+def common_bits(x: str, y: str) -> Column:
+    """The number of bits that two sketches share, from their columns (prefixes x and y)."""
+    return sum((F.bit_count(F.col(f"{x}m{w}").bitwiseAND(F.col(f"{y}m{w}"))) for w in range(WORDS)), F.lit(0))
+
+
 def may_be_similar(x: str, y: str, threshold: float) -> Column:
     """False only where two lines can't reach the threshold, from the columns of their sketches (prefixes x and y).
 
     A bit that only one has stands for at least one shingle that only it has, so the common ones are no more than the bits
     that both have and what collisions hide.
     """
-    both = sum((F.bit_count(F.col(f"{x}m{w}").bitwiseAND(F.col(f"{y}m{w}"))) for w in range(WORDS)), F.lit(0))
+    both = common_bits(x, y)
     sizes = F.col(f"{x}size"), F.col(f"{y}size")
     fits = F.least(*sizes) >= threshold * F.greatest(*sizes)
     return fits & ((1 + threshold) * (F.least(f"{x}hidden", f"{y}hidden") + both) >= threshold * (sizes[0] + sizes[1]) - 1e-6)
@@ -115,7 +120,8 @@ def similar_pairs(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataF
 
 
 def crossing_pairs(members: DataFrame, drawn: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of lines that share a band but no component, and whose sketches (drawn) allow the threshold, with their sizes.
+    """The pairs (a, b) of lines that share a band but no component, and whose sketches (drawn) allow the threshold, with their
+    sizes and near, a guess of their Jaccard.
 
     members has LID, band, comp. Only lines outside a band's largest component start pairs, and lines meet by classes of
     size, so a band that is one component costs nothing and a hot band is dealt over several keys. The join itself
@@ -136,7 +142,25 @@ def crossing_pairs(members: DataFrame, drawn: DataFrame, threshold: float) -> Da
     one = F.col(f"x{LID}") > F.col(f"y{LID}")
     pair = lambda n: (F.when(one, F.col("x" + n)).otherwise(F.col("y" + n)), F.when(one, F.col("y" + n)).otherwise(F.col("x" + n)))
     (a, b), (s, t) = pair(LID), pair("size")
-    return met.select(a.alias("a"), b.alias("b"), s.alias("xsize"), t.alias("ysize")).distinct()
+    both = common_bits("x", "y")
+    met = met.select(a.alias("a"), b.alias("b"), s.alias("xsize"), t.alias("ysize"), both.alias("both")).distinct()
+    return met.select("a", "b", "xsize", "ysize", (F.col("both") / (F.col("xsize") + F.col("ysize") - F.col("both"))).alias("near"))
+
+
+def best_pairs(pairs: DataFrame) -> DataFrame:
+    """Each line's pairs of the best guess with a lesser and with a greater line; one alone would join mutual neighbours only.
+    Maxima combine before the shuffle."""
+    pair = F.struct("near", "a", "b", "xsize", "ysize").alias("pair")
+    ends = pairs.select(F.posexplode(F.array("a", "b")).alias("side", "end"), pair)
+    return ends.groupBy("side", "end").agg(F.max("pair").alias("pair")).select("pair.*").distinct()
+
+
+def open_pairs(pairs: DataFrame, decided: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs whose ends aren't in one component, without the decided ones."""
+    rest = sized_join(pairs, decided.select("a", "b"), ["a", "b"], "left_anti", 32)
+    for c in ("a", "b"):
+        rest = sized_join(rest, comp.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left", 32)
+    return rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
 def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -164,10 +188,14 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     members = sized_join(met.select(LID, "band"), comp.withColumnRenamed("node", LID), LID, "left", 32).withColumn("comp", F.coalesce("root", LID)).drop("root")
     crossing = materialize(crossing_pairs(materialize(members, "members"), drawn, threshold), "crossing")
     release(shared, met, partners, drawn)
-    more = materialize(similar_pairs(texts, crossing, threshold), "links")
-    if more.limit(1).count():
-        comp = materialize(connected_components(links.unionByName(more), "a", "b"), "comp")
-    release(crossing, texts)
+    # lines that are near copies of many others join through their best pairs, so that few pairs stay open; then all open ones are decided
+    best = materialize(best_pairs(crossing), "best")
+    for pairs in (best, None):
+        more = materialize(similar_pairs(texts, open_pairs(crossing, best, comp) if pairs is None else pairs, threshold), "links")
+        if more.limit(1).count():
+            known = comp.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            comp = materialize(connected_components(known.unionByName(more), "a", "b"), "comp")
+    release(crossing, best, texts)
 
     # the lines that occur again, as themselves or in another form
     again = sized_join(distinct.select(LID, "n"), comp.withColumnRenamed("node", LID), LID, "left", 32).where("n > 1 or root is not null")
