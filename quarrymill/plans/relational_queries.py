@@ -122,9 +122,9 @@ def recode(spark: SparkSession, sf: str) -> DataFrame:
     return coded.groupBy("c_mktsegment", "code").agg(F.count("*").alias("n"))
 
 
-@query(r"SELECT doc_id, coalesce(nullif(regexp_replace(text[1:20], '^\s+|\s+$', '', 'g'), ''), lang, source) AS title FROM documents")
+@query(r"SELECT doc_id, coalesce(nullif(regexp_replace(text, '^\s+|\s+$', '', 'g'), ''), lang, source) AS title FROM documents")
 def fallback(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", F.coalesce(T.nonblank(T.ustrip(F.substring("text", 1, 20))), "lang", "source").alias("title"))
+    return table(spark, sf, "documents").select("doc_id", F.coalesce(T.nonblank(T.ustrip(F.col("text"))), "lang", "source").alias("title"))
 
 
 @query("SELECT 'customer' AS source, c_custkey AS key, c_name AS name, c_mktsegment AS segment FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name, NULL FROM supplier")
