@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ast
 import hashlib
-import re
 import warnings
 
 from pyspark.sql import Column, DataFrame
@@ -193,7 +192,8 @@ class _Reader(ast.NodeVisitor):
 
 def read_code(text: str) -> list[tuple]:
     """Facts of one text; magics and shell escapes count as pass. What doesn't parse gives one row."""
-    for candidate in (text, re.sub(r"(?m)^([ \t]*)[%!][^\n]*", r"\1pass", text)):
+    plain = "\n".join(x[: len(x) - len(body)] + "pass" if (body := x.lstrip(" \t"))[:1] in ("%", "!") else x for x in text.split("\n"))
+    for candidate in (text, plain):
         try:
             with warnings.catch_warnings():
                 warnings.simplefilter("ignore")
@@ -414,15 +414,15 @@ def excerpts(lines: DataFrame, group: str, at: str, line: str, kinds: list[tuple
 
     return lines.select(group, at, line, "kind").groupBy(group).applyInPandas(fill, out)
 
-# Fixed: function names too common to stand for a wrapper.
-COMMON_NAMES = ("apply", "build", "check", "clean", "close", "count", "create", "fetch", "forward", "items", "parse", "print", "process", "reset", "start", "update", "write")
+#: Function names too common to stand for a wrapper; a caller passes a list of its own.
+COMMON_NAMES = ("apply", "build", "check", "clean", "close", "compute", "count", "create", "execute", "fetch", "forward", "items", "parse", "predict", "print", "process", "reset", "setup", "start", "train", "transform", "update", "write")
 
 
-def line_kinds(files: DataFrame, key: str, text: str, module: str) -> DataFrame:
+def line_kinds(files: DataFrame, key: str, text: str, module: str, common: tuple[str, ...] = COMMON_NAMES) -> DataFrame:
     """key, at, line, kind of the lines that show a library in use: direct, wrapper, mention.
 
     Import and comment lines are never calls. A wrapper is the innermost function around a direct call, if its name
-    has five letters or more and isn't common; lines that call it are of kind wrapper.
+    has five letters or more and isn't in common; lines that call it are of kind wrapper.
     """
     lines = files.select(key, F.posexplode(F.split(text, "\n")).alias("at", "line")).withColumn("indent", F.length("line") - F.length(F.ltrim("line")))
     plain = ~F.col("line").rlike(r"^\s*(?:(?:from|import)\b|#)")
@@ -430,7 +430,7 @@ def line_kinds(files: DataFrame, key: str, text: str, module: str) -> DataFrame:
     defs = lines.select(key, F.regexp_extract("line", r"^\s*(?:async\s+)?def\s+(\w+)", 1).alias("def"), F.col("at").alias("def_at"), F.col("indent").alias("def_indent")).where("def <> ''")
     hits = lines.where("direct").select(key, "at", "indent")
     inner = hits.join(defs, key).where("def_at < at and def_indent < indent").groupBy(key, "at").agg(F.max_by("def", "def_at").alias("def"))
-    wrappers = inner.where((F.length("def") >= 5) & ~F.lower("def").isin(*COMMON_NAMES)).select(key, F.col("def").alias("called")).distinct()
+    wrappers = inner.where((F.length("def") >= 5) & ~F.lower("def").isin(*common)).select(key, F.col("def").alias("called")).distinct()
     heads = lines.where(plain & ~F.col("line").rlike(r"^\s*(?:async\s+)?def\b")).select(key, "at", F.explode(F.regexp_extract_all("line", F.lit(r"(\w+)\s*\("), F.lit(1))).alias("called"))
     used = heads.join(wrappers, [key, "called"], "left_semi").select(key, "at").distinct().withColumn("wrapped", F.lit(True))
     marked = lines.join(used, [key, "at"], "left")
@@ -438,19 +438,43 @@ def line_kinds(files: DataFrame, key: str, text: str, module: str) -> DataFrame:
     return marked.select(key, "at", "line", kind.alias("kind")).where("kind is not null")
 
 
-def balanced_calls(texts: DataFrame, key: str, text: str, names: str) -> DataFrame:
-    """key, position, name, arguments, literals (map) of calls in text that doesn't parse: brackets balanced three deep.
+#: Tokens of a call's text: strings whole, brackets, commas, and runs of anything else.
+_TOKENS = r'"(?:[^"\\\n]|\\.)*"' + r"|'(?:[^'\\\n]|\\.)*'" + r"|[()\[\]{},]|[^\"'()\[\]{},]+|[\"']"
 
-    literals holds the top-level keywords whose value is a string, a number or a word.
+
+def _top_level(after: Column) -> Column:
+    """struct(depth, parts, now, whole) of what follows an opening bracket: its arguments, split at top-level commas.
+
+    One pass over the tokens; the state is the depth (0: closed), the parts so far and the part being read.
+    """
+    start = F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("parts"), F.lit("").alias("now"), F.lit("").alias("whole"))
+
+    def step(s, t):
+        depth = s["depth"] + F.when(t.isin("(", "[", "{"), 1).when(t.isin(")", "]", "}"), -1).otherwise(0)
+        ends = (depth == 0) | ((t == ",") & (s["depth"] == 1))
+        parts = F.when(ends, F.concat(s["parts"], F.array(s["now"]))).otherwise(s["parts"])
+        now = F.when(ends, "").otherwise(F.concat(s["now"], t))
+        whole = F.when(depth == 0, s["whole"]).otherwise(F.concat(s["whole"], t))
+        return F.when(s["depth"] == 0, s).otherwise(F.struct(depth.alias("depth"), parts.alias("parts"), now.alias("now"), whole.alias("whole")))
+
+    return F.aggregate(F.regexp_extract_all(after, F.lit(_TOKENS), F.lit(0)), start, step)
+
+
+def balanced_calls(texts: DataFrame, key: str, text: str, names: str, most: int = 3000) -> DataFrame:
+    """key, position, name, arguments, parts, literals (map), n_args, star of calls in text that doesn't parse as code.
+
+    Brackets balance to any depth, those inside strings don't count; a call that doesn't close within most characters has
+    no row. parts are the top-level arguments, n_args the positional ones, star whether ** is among them. literals holds
+    the top-level keywords whose value is a string, a number or a word; the last of a name counts.
     """
-    inner = r"(?:[^()]++|\((?:[^()]++|\([^()]*+\))*+\))*+"
-    pattern = F.lit(rf"\b({names})\s*\(({inner})\)")
-    found = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(1)).alias("name"), F.regexp_extract_all(text, pattern, F.lit(2)).alias("arguments"))
-    calls = texts.select(key, F.posexplode(found).alias("position", "x")).select(key, "position", "x.name", "x.arguments")
-    # what stands in inner brackets isn't top level
-    top = F.regexp_replace("arguments", r"\((?:[^()]++|\([^()]*+\))*+\)", "()")
-    word = F.lit(r"(?:^|,)\s*(\w+)\s*=\s*(\"[^\"]*\"|'[^']*'|[-\w.]+)\s*(?=,|$)")
-    pairs = F.arrays_zip(F.regexp_extract_all(top, word, F.lit(1)).alias("k"), F.regexp_extract_all(top, word, F.lit(2)).alias("v"))
-    entries = F.transform(pairs, lambda p: F.struct(p["k"], p["v"]))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["k"] == e["k"]))
-    return calls.withColumn("literals", F.map_from_entries(last))
+    pattern = F.lit(rf"\b({names})\s*\((?=((?s:.{{0,{most}}})))")
+    found = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(1)).alias("name"), F.regexp_extract_all(text, pattern, F.lit(2)).alias("after"))
+    calls = texts.select(key, F.posexplode(found).alias("position", "x")).select(key, "position", "x.name", _top_level(F.col("x.after")).alias("s")).where("s.depth = 0")
+    parts = F.filter(F.transform("s.parts", lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")), lambda p: p != "")
+    calls = calls.select(key, "position", "name", F.col("s.whole").alias("arguments"), parts.alias("parts"))
+    word = r"(?s)^(\w+)\s*=(?!=)\s*(.*)$"
+    entries = F.transform(F.filter("parts", lambda p: p.rlike(word)), lambda p: F.struct(F.regexp_extract(p, word, 1).alias("k"), F.regexp_extract(p, word, 2).alias("v")))
+    calls = calls.withColumn("__e", F.filter(entries, lambda e: e["v"].rlike(r'^(?:"[^"]*"|' + r"'[^']*'|[-\w.]+)$")))
+    last = F.filter("__e", lambda e, i: ~F.exists(F.slice("__e", i + 2, F.size("__e")), lambda o: o["k"] == e["k"]))
+    star, positional = F.exists("parts", lambda p: p.startswith("**")), F.filter("parts", lambda p: ~p.rlike(word) & ~p.startswith("**"))
+    return calls.select(key, "position", "name", "arguments", "parts", F.map_from_entries(last).alias("literals"), F.size(positional).alias("n_args"), star.alias("star"))

@@ -75,11 +75,6 @@ def use_class(calls: Column, imports: Column, elsewhere: Column, names: Column,
     return F.when(~has_code, "no code").when(some(calls), "calls").when(some(imports), "imports only").when(some(elsewhere), "through another").when(some(names), "names only").when(mentioned, "mentions").otherwise("no mention")
 
 
-def certain_methods(methods: Column, uncertain: Column) -> Column:
-    """The uncertain ones that aren't certain as well."""
-    return F.array_sort(F.array_except(uncertain, methods))
-
-
 def legend_order(df: DataFrame, c: str, neutral: list[str], unknown: str = "Unknown") -> DataFrame:
     """value, n, place: the largest category first, neutral ones after the rest; null is unknown."""
     from pyspark.sql import Window
@@ -107,7 +102,7 @@ def verified_answers(answers: DataFrame, entity: str, evidence: str, answer: str
     Back-quotes around a quote don't count. The unknown answer needs no quote and is what is left if nothing else stands;
     "Other" is kept only alone. dropped has the other answers that weren't kept.
     """
-    quote, text = squeeze(F.btrim(evidence, F.lit("`"))), squeeze(F.col(shown))
+    quote, text = squeeze(F.btrim(squeeze(F.col(evidence)), F.lit("`"))), squeeze(F.col(shown))
     told = F.col(answer).isNotNull() & (F.col(answer) != unknown)
     ok = F.coalesce((F.length(quote) >= least) & F.contains(text, quote), F.lit(False))
     g = answers.groupBy(entity).agg(F.array_sort(F.collect_set(F.when(told & ok, F.col(answer)))).alias("k"), F.array_sort(F.collect_set(F.when(told & ~ok, F.col(answer)))).alias("dropped"))

@@ -109,22 +109,29 @@ def hits_after(rows: DataFrame, group: str, order: list[str], key: str, anchor:
 
 
 def classify_files(files: DataFrame, entity: str) -> DataFrame:
-    """entity, status, declared_in, locked_in, scope, longest, spec from rows (path, named, whole, direct, scope, entries, spec, dump).
+    """entity, status, declared_in, locked_in, via, scope, dumped, longest, pinned, spec, n_files, n_unread.
 
-    named: the file names the package; whole: it could be read to its end. A named file with direct true declares, any
-    other named one is a lock. Scope, longest listing and specifier come from declaring files only, the specifier from the
-    first that has one: dumps last, then the shallowest, then by path. Without a named file, one not read whole leaves "unread".
+    Rows are (path, named, whole, direct, scope, entries, pinned, spec, dump, via); named: the file names the package;
+    whole: it could be read to its end; pinned and via may be left out. A named file with direct true declares, any other named one is a lock, whose via
+    says who requires the package. Scope, longest listing and specifier come from declaring files only, the specifier from
+    the first that has one: dumps last, then the shallowest, then by path. dumped: all declaring files are dumps. Without a
+    named file, one not read whole leaves "unread".
     """
+    for c, kind in (("pinned", "int"), ("via", "array<string>")):
+        files = files if c in files.columns else files.withColumn(c, F.lit(None).cast(kind))
     named = F.coalesce(F.col("named"), F.lit(False))
     declared = named & F.coalesce(F.col("direct"), F.lit(False))
+    dump, whole = F.coalesce(F.col("dump"), F.lit(False)), F.coalesce(F.col("whole"), F.lit(False))
     depth = F.size(F.split("path", "/"))
+    place = F.struct(F.col("entries").alias("n"), F.col("pinned").alias("p"))
     g = files.groupBy(entity).agg(
         F.array_sort(F.collect_set(F.when(declared, F.col("path")))).alias("declared_in"),
         F.array_sort(F.collect_set(F.when(named & ~declared, F.col("path")))).alias("locked_in"),
-        F.bool_or(~F.coalesce(F.col("whole"), F.lit(False))).alias("unread"),
-        strongest(F.when(declared, F.col("scope")), ["required", "optional", "dev"]).alias("scope"),
-        F.max(F.when(declared, F.col("entries"))).alias("longest"),
-        F.min_by("spec", F.when(declared & F.col("spec").isNotNull(), F.struct("dump", depth, "path", "spec"))).alias("spec"),
-    )
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(named & ~declared, F.col("via")))))).alias("via"),
+        F.bool_or(~whole).alias("unread"), strongest(F.when(declared, F.col("scope")), ["required", "optional", "dev"]).alias("scope"),
+        F.max(F.when(declared & F.col("entries").isNotNull(), place)).alias("longest"),
+        F.min_by("spec", F.when(declared & F.col("spec").isNotNull(), F.struct(dump.alias("dump"), depth, "path", "spec"))).alias("spec"),
+        F.bool_and(F.when(declared, dump)).alias("dumped"), F.count("*").alias("n_files"), F.count_if(~whole).alias("n_unread"),
+    )
     status = F.when(F.size("declared_in") > 0, "declared").when(F.size("locked_in") > 0, "lock only").when(F.col("unread"), "unread").otherwise("not found")
-    return g.select(entity, status.alias("status"), "declared_in", "locked_in", "scope", "longest", "spec")
+    return g.select(entity, status.alias("status"), "declared_in", "locked_in", "via", "scope", F.coalesce("dumped", F.lit(False)).alias("dumped"), F.col("longest.n").alias("longest"), F.col("longest.p").alias("pinned"), "spec", "n_files", "n_unread")

@@ -169,10 +169,11 @@ def cost_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH f AS (SELECT l_orderkey, 'f' || l_linenumber || CASE WHEN l_linenumber % 2 = 0 THEN '/sub' ELSE '' END AS path, l_linenumber % 2 AS depth, l_tax < 0.06 AS named, l_discount < 0.08 AS whole,
-  l_returnflag = 'R' AS direct, l_linestatus, l_quantity AS entries, CASE WHEN l_discount > 0.02 THEN '==' || l_suppkey END AS spec, l_quantity > 40 AS dump FROM lineitem)
+  l_returnflag = 'R' AS direct, l_linestatus, l_quantity AS entries, CASE WHEN l_discount > 0.02 THEN '==' || l_suppkey END AS spec, l_quantity > 40 AS dump, 'v' || l_suppkey % 3 AS via FROM lineitem)
 SELECT l_orderkey, CASE WHEN bool_or(named AND direct) THEN 'declared' WHEN bool_or(named) THEN 'lock only' WHEN bool_or(NOT whole) THEN 'unread' ELSE 'not found' END AS status,
   list_sort(coalesce(list(DISTINCT path) FILTER (named AND direct), [])) AS declared_in, list_sort(coalesce(list(DISTINCT path) FILTER (named AND NOT direct), [])) AS locked_in,
-  CASE WHEN bool_or(named AND direct AND l_linestatus = 'O') THEN 'required' WHEN bool_or(named AND direct) THEN 'dev' END AS scope, max(entries) FILTER (named AND direct) AS longest,
+  CASE WHEN bool_or(named AND direct AND l_linestatus = 'O') THEN 'required' WHEN bool_or(named AND direct) THEN 'dev' END AS scope, max(entries) FILTER (named AND direct) AS longest, max(entries) FILTER (named AND direct) - 1 AS pinned,
+  list_sort(coalesce(list(DISTINCT via) FILTER (named AND NOT direct), [])) AS via, coalesce(bool_and(dump) FILTER (named AND direct), FALSE) AS dumped, count(*) AS n_files, count(*) FILTER (NOT whole) AS n_unread,
   arg_min(spec, (dump, -depth, path, spec)) FILTER (named AND direct AND spec IS NOT NULL) AS spec FROM f GROUP BY l_orderkey""")
 def classify_files(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("l_linenumber")
@@ -181,6 +182,7 @@ def classify_files(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_discount") < 0.08).alias("whole"), (F.col("l_returnflag") == "R").alias("direct"),
         F.when(F.col("l_linestatus") == "O", "required").otherwise("dev").alias("scope"), F.col("l_quantity").alias("entries"),
         F.when(F.col("l_discount") > 0.02, F.concat(F.lit("=="), F.col("l_suppkey").cast("string"))).alias("spec"), (F.col("l_quantity") > 40).alias("dump"),
+        (F.col("l_quantity") - 1).alias("pinned"), F.array(F.concat(F.lit("v"), (F.col("l_suppkey") % 3).cast("string"))).alias("via"),
     )
     return A.classify_files(files, "l_orderkey")
 

@@ -84,21 +84,6 @@ def scalar_date(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(rf"""
-WITH f AS (SELECT p_brand, p_size, {SPEC_SQL} AS spec, p_size % 5 = 0 AS lock FROM part WHERE p_size % 3 <> 0),
-g AS (SELECT p_brand, list_sort(coalesce(list(DISTINCT p_size) FILTER (NOT lock), [])) AS declared, list_sort(coalesce(list(DISTINCT p_size) FILTER (lock), [])) AS locked FROM f GROUP BY p_brand)
-SELECT p.p_brand, CASE WHEN len(declared) > 0 THEN 'declared' WHEN len(locked) > 0 THEN 'lock only' ELSE 'not found' END AS status, coalesce(len(declared), 0) AS n_declared, coalesce(len(locked), 0) AS n_locked
-FROM (SELECT DISTINCT p_brand FROM part) p LEFT JOIN g USING (p_brand)""")
-def declarations(spark: SparkSession, sf: str) -> DataFrame:
-    """Each (brand, size) of part is a requirement file of its brand; every third doesn't name the package, every fifth is a lock file."""
-    files = _requirements(spark, sf).select("p_brand", "p_size", "req").distinct()
-    name = F.when(F.col("p_size") % 5 == 0, F.lit("lock")).otherwise(F.lit("requirements"))
-    line = F.when(F.col("p_size") % 3 == 0, F.lit("other-package==1")).otherwise(F.col("req"))
-    files = files.select("p_brand", F.concat(name, F.lit("/"), F.col("p_size").cast("string"), F.lit(".txt")).alias("path"), F.concat(F.lit("# listing\n"), line, F.lit("\nplain>=1\n")).alias("text"))
-    found = deps.declarations(files, "p_brand", "quarry-mill", ["quarry-core"])
-    return found.select("p_brand", "status", F.size("declared_in").cast("long").alias("n_declared"), F.size("locked_in").cast("long").alias("n_locked"))
-
-
 @query("""
 WITH e AS (SELECT l_orderkey, (l_partkey % 20)::VARCHAR AS name, (l_suppkey % 20)::VARCHAR AS dep, l_linenumber = 1 AS own FROM lineitem),
 h AS (SELECT l_orderkey, bool_or(own) AS o, list_sort(coalesce(list(DISTINCT name) FILTER (NOT own), [])) AS via FROM e WHERE dep = '7' GROUP BY l_orderkey),
