@@ -52,16 +52,29 @@ def test_leaks_hold_whole_items(spark, con):
     assert want <= got and len(got - want) <= 1
 
 
-@pytest.mark.parametrize(("name", "label", "least"), [("op2_quality", "quality", 0.85), ("op10_toxicity", "toxic", 0.85)])
-def test_held_out(spark, name, label, least):
-    from quarrymill.llm.queries import QUERIES
-
-    sf = "/root/testdata/sf0.01"
-    scored = QUERIES[name](spark, sf)
-    labels = spark.read.parquet(f"{sf}/labels.parquet")
-    rows = scored.where("held_out").join(labels, "doc_id").select("predicted", "score", label).toPandas()
-    assert scored.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
-    assert (rows.predicted == rows[label]).mean() >= least
+def _auc(score, label):
+    import numpy as np
+
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(order))
+    rank[order] = np.arange(1, len(order) + 1)
+    ones = label.sum()
+    return (rank[label == 1].sum() - ones * (ones + 1) / 2) / (ones * (len(label) - ones))
+
+
+@pytest.mark.parametrize(
+    ("name", "label", "sf", "auc", "caught", "wrong"),
+    [("op2_quality", "quality", "sf0.1", 0.95, 0.8, 0.2), ("op10_toxicity", "toxic", "sf0.1", 0.95, 0.8, 0.02), ("op10_toxicity", "toxic", "sf0.01", 0.9, 0.5, 0.05)],
+)
+def test_held_out(spark, name, label, sf, auc, caught, wrong):
+    """On held-out rows: the area under the curve, the share of label 1 that is caught, the share of label 0 that isn't left alone."""
+    at = f"/root/testdata/{sf}"
+    scored = queries.QUERIES[name](spark, at).cache()
+    rows = scored.where("held_out").join(spark.read.parquet(f"{at}/labels.parquet"), "doc_id").select("predicted", "score", label).toPandas()
+    assert scored.count() == spark.read.parquet(f"{at}/documents.parquet").count()
+    y = rows[label].to_numpy()
+    assert _auc(rows.score.to_numpy(), y) >= auc
+    assert rows.predicted[y == 1].mean() >= caught and rows.predicted[y == 0].mean() <= wrong
 
 
 def test_pipeline(spark):

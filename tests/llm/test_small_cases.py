@@ -290,6 +290,23 @@ def test_factorization_learns_a_pair(label):
     assert [raw(f) > 0 for f in ([1, 2], [1], [2], [])] == [bool(label(1, 1)), bool(label(1, 0)), bool(label(0, 1)), bool(label(0, 0))]
 
 
+def test_rare_evidence_counts():
+    """30 of 20,000 rows hold an insult that only toxic rows hold."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    found = [rng.choice(3000, 30, replace=False) + 100 for _ in range(20_000)]
+    y = np.zeros(len(found))
+    for i in range(600):
+        found[i], y[i] = np.append(found[i], i % 20), 1
+    mixed = rng.permutation(len(found))
+    found, y = [found[i] for i in mixed], y[mixed]
+    m = toxicity.fit(np.concatenate(found), np.array([len(f) for f in found]), y)
+    plain = rng.choice(3000, 30, replace=False) + 100
+    raw, _ = m.raw(np.concatenate([np.append(plain, 3), plain]), np.array([31, 30]))
+    assert raw[0] > 1 and raw[1] < -3
+
+
 def test_factorization_scores_against_loops():
     import numpy as np
 
