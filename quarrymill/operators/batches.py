@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def pack_greedy(df: DataFrame, key: str, weight: str, most: int, limit: int, shards: int) -> DataFrame:
+def hash_shard(key: Column, shards: int) -> Column:
+    """A shard by the first eight hexadecimal digits of the key's MD5, which any engine can repeat."""
+    return (F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % shards).cast("int")
+
+
+def pack_greedy(df: DataFrame, key: str, weight: str, most: int, limit: int, shards: int | None = None, shard_rows: int = 100_000) -> DataFrame:
     """key, shard, batch: in key order within hash shards, a batch closes when most items or limit weight would be passed.
 
-    Sequential by nature, so each shard is one task's work; choose shards so that one holds what a task can hold.
-    No batch passes the limit unless one item alone does.
+    Sequential by nature, so each shard is one task's work; shards are as many as the counted rows need (shard_rows each)
+    unless given. No batch passes the limit unless one item alone does.
     """
     out = f"`{key}` {dict(df.dtypes)[key]}, shard int, batch int"
+    shards = shards or max(1, -(-df.count() // shard_rows))
 
     def pack(pdf):
         pdf = pdf.sort_values(key)
@@ -26,7 +32,7 @@ def pack_greedy(df: DataFrame, key: str, weight: str, most: int, limit: int, sha
             batches.append(batch)
         return pdf[[key, "shard"]].assign(batch=batches)
 
-    return df.select(key, weight, F.pmod(F.xxhash64(key), F.lit(shards)).cast("int").alias("shard")).groupBy("shard").applyInPandas(pack, out)
+    return df.select(key, weight, hash_shard(F.col(key), shards).alias("shard")).groupBy("shard").applyInPandas(pack, out)
 
 
 def map_batches(df: DataFrame, key: str, value: str, fn: Callable[[list], list], size: int) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .prefix import numbered, running
+
 
 def first_failed(rules: list[tuple[str, Column]]) -> Column:
     """The name of the first rule that a row breaks (a null condition counts as broken); null if none."""
@@ -110,15 +112,20 @@ def islands(df: DataFrame, group: str, at: str) -> DataFrame:
     return df.withColumn("gap", F.coalesce(F.col(at) - before > 1, F.lit(False)))
 
 
+def running_position(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """Adds position (from 0) over all pages of a group's log, however many rows a group has."""
+    return numbered(rows, [group], order, "position", first=0)
+
+
 def round_robin(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
-    """Adds turn: the first of each group have 1, the second 2; sort by (turn, group) to interleave."""
-    return df.withColumn("turn", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    """Adds turn: the first of each group have 1, the second 2; sort by (turn, group) to interleave. Groups may be hot."""
+    return numbered(df, [group], order, "turn")
 
 
 def pack_cumsum(df: DataFrame, shard: str, order: list[Column], weight: str, limit: int) -> DataFrame:
-    """Adds batch by running weight: each batch holds at most limit plus one item's weight."""
-    w = Window.partitionBy(shard).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("batch", F.floor((F.sum(weight).over(w) - 1) / limit))
+    """Adds batch by running weight: each batch holds at most limit plus one item's weight. Shards may be hot."""
+    summed = running(df, [shard], order, {"__weight": F.coalesce(F.col(weight), F.lit(0))})
+    return summed.withColumn("batch", F.floor((F.col("__weight") - 1) / limit)).drop("__weight")
 
 
 def precedence_union(frames: list[DataFrame], key: Column, order: list[Column]) -> DataFrame:

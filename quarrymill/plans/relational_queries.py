@@ -217,7 +217,7 @@ def copies(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT conv_id, turn, (row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1)::INT AS position FROM conversations")
 def list_position(spark: SparkSession, sf: str) -> DataFrame:
-    return logs.running_position(table(spark, sf, "conversations").select("conv_id", "turn", "role"), "role", ["conv_id", "turn"]).select("conv_id", "turn", "position")
+    return R.running_position(table(spark, sf, "conversations").select("conv_id", "turn", "role"), "role", ["conv_id", "turn"]).select("conv_id", "turn", "position")
 
 
 @query("""
@@ -246,6 +246,16 @@ def round_robin(spark: SparkSession, sf: str) -> DataFrame:
     return R.round_robin(table(spark, sf, "part").select("p_partkey", "p_type"), "p_type", [F.col("p_partkey")])
 
 
+@query("SELECT event_id, user_id, round(sum(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 4) AS total, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS place FROM events")
+def running_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Running sums of a few groups, each too large for a task."""
+    from ..operators.prefix import running
+
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    got = running(events, ["event_type"], ["ts", "event_id"], {"total": F.col("value"), "place": F.lit(1).cast("long")})
+    return got.select("event_id", "user_id", F.round("total", 4).alias("total"), "place")
+
+
 @query("SELECT doc_id, floor((sum(n_chars) OVER (PARTITION BY lang ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - 1) / 50000)::BIGINT AS batch FROM documents")
 def pack_cumsum(spark: SparkSession, sf: str) -> DataFrame:
     return R.pack_cumsum(table(spark, sf, "documents").select("doc_id", "lang", "n_chars"), "lang", [F.col("doc_id")], "n_chars", 50000).select("doc_id", F.col("batch").cast("long"))

@@ -133,10 +133,17 @@ def excerpts(spark: SparkSession, sf: str) -> DataFrame:
     return code.excerpts(lines, "conv_id", "turn", "text", [("direct", 1, 1, 0.7), ("mention", 0, 1, 1.0)], 2000)
 
 
-@query()
+@query("""
+WITH RECURSIVE n AS (SELECT greatest(1, ceil(count(*) / 500))::BIGINT AS shards FROM documents),
+d AS (SELECT doc_id, coalesce(n_chars, 0) AS w, (('0x' || md5(doc_id::VARCHAR)[1:8])::BIGINT % shards)::INT AS shard FROM documents, n),
+r AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id) AS i FROM d),
+p AS (SELECT shard, i, doc_id, 0 AS batch, 1 AS n, w AS total FROM r WHERE i = 1
+  UNION ALL SELECT r.shard, r.i, r.doc_id, CASE WHEN p.n >= 100 OR p.total + r.w > 50000 THEN p.batch + 1 ELSE p.batch END, CASE WHEN p.n >= 100 OR p.total + r.w > 50000 THEN 1 ELSE p.n + 1 END,
+    CASE WHEN p.n >= 100 OR p.total + r.w > 50000 THEN r.w ELSE p.total + r.w END FROM p JOIN r ON r.shard = p.shard AND r.i = p.i + 1)
+SELECT shard, batch, count(*) AS n, min(doc_id) AS first FROM p GROUP BY shard, batch""")
 def pack_greedy(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").where("doc_id is not null")
-    packed = batches.pack_greedy(docs, "doc_id", "n_chars", 100, 50_000, 64)
+    packed = batches.pack_greedy(docs, "doc_id", "n_chars", 100, 50_000, shard_rows=500)
     return packed.groupBy("shard", "batch").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
 
 

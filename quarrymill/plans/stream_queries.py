@@ -25,9 +25,9 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY ALL")
 def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
-    sink, checkpoint = S.new_place(spark, "latest")
-    S.upsert_latest(_events(spark, sf).select("user_id", "event_type", "ts", "event_id"), ["user_id", "event_type"], ["ts", "event_id"], sink, checkpoint)
-    return S.state(spark, sink).select("user_id", "event_type", "event_id")
+    _, checkpoint = S.new_place(spark, "latest")
+    S.upsert_latest(_events(spark, sf).select("user_id", "event_type", "ts", "event_id"), ["user_id", "event_type"], ["ts", "event_id"], checkpoint)
+    return S.state(spark, checkpoint).select("user_id", "event_type", "event_id")
 
 
 @query("""
@@ -57,6 +57,28 @@ def stream_window(spark: SparkSession, sf: str) -> DataFrame:
     return counts.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
+@query("""
+WITH m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events)
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events, m GROUP BY ALL HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= any_value(mark)""")
+def stream_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows that the watermark has closed, each written once."""
+    sink, checkpoint = S.new_place(spark, "closed")
+    closed = S.closed_windows(_events(spark, sf), "ts", "1 day", "1 hour", ["event_type"], "value", sink, checkpoint)
+    return closed.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("SELECT 2::BIGINT AS runs, count(*) AS n, 0::BIGINT AS late, round(sum(value), 2) AS total, count(DISTINCT (user_id, event_type)) AS kept FROM events")
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """The progress of two runs, the second of which finds nothing new, as a table read from their log."""
+    sink, checkpoint = S.new_place(spark, "progress")
+    keep = lambda stream: S.upsert_latest(stream, ["user_id", "event_type"], ["ts", "event_id"], checkpoint)
+    counted = {"n": F.count(F.lit(1)), "total": F.sum("value")}
+    events = _events(spark, sf).select("user_id", "event_type", "ts", "event_id", "value")
+    for _ in range(2):
+        log = S.run_measured(events, counted, keep, f"{sink}/log")
+    return log.agg(F.lit(2).cast("long").alias("runs"), F.sum(F.col("seen")["n"]).cast("long").alias("n"), F.sum("late_rows").alias("late"), F.round(F.sum(F.col("seen")["total"]), 2).alias("total"), F.max("state_rows").alias("kept"))
+
+
 @query("""
 WITH v AS (SELECT sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n FROM embeddings)
 SELECT count(*) AS n_rows, 0::BIGINT AS n_bad, round(min(n), 6) AS norm_min, round(max(n), 6) AS norm_max FROM v""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -64,21 +64,13 @@ def page_links(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, F.posexplode(found).alias("position", "x")).select(key, "position", "x.link", "x.label")
 
 
-def page_status(html: Column) -> Column:
-    """ok or the reason a page can't be read as a list."""
-    return F.when(html.isNull(), "missing").when(~html.contains("<a href="), "no links").otherwise("ok")
-
-
 def flatten_cells(notebook: Column) -> Column:
     """Code of a notebook as text, both layouts; null if it isn't one."""
     cell = "struct<cell_type:string,source:array<string>,input:array<string>>"
+    # a cell's text may be one string instead of a list of lines
+    notebook = F.regexp_replace(notebook, r'''("(?:source|input)"\s*:\s*)("(?:[^"\\]|\\.)*")''', "$1[$2]")
     new = F.from_json(notebook, f"cells array<{cell}>")["cells"]
     old = F.flatten(F.transform(F.from_json(notebook, f"worksheets array<struct<cells:array<{cell}>>>")["worksheets"], lambda w: w["cells"]))
     text = lambda c: F.array_join(F.coalesce(c["source"], c["input"]), "")
     code = F.filter(F.coalesce(new, old), lambda c: c["cell_type"] == "code")
     return F.when(F.coalesce(new, old).isNotNull(), F.array_join(F.transform(code, text), "\n# ---\n"))
-
-
-def running_position(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """Adds position (from 0) over all pages of a group's log."""
-    return rows.withColumn("position", F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1)

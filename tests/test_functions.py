@@ -209,6 +209,6 @@ def test_resume(spark, tmp_path):
     for i in range(2):
         spark.range(i * 10, i * 10 + 10).selectExpr("id", "id % 3 as k").write.mode("append").parquet(source)
         ingest.ingest(ingest.open_stream(spark, source), sink, str(tmp_path / "c1"))
-        ingest.upsert_latest(ingest.open_stream(spark, source), ["k"], ["id"], str(tmp_path / "state"), str(tmp_path / "c2"))
+        ingest.upsert_latest(ingest.open_stream(spark, source), ["k"], ["id"], str(tmp_path / "c2"))
     assert spark.read.parquet(sink).count() == 20
-    assert sorted(r["id"] for r in ingest.state(spark, str(tmp_path / "state")).collect()) == [17, 18, 19]
+    assert sorted(r["id"] for r in ingest.state(spark, str(tmp_path / "c2")).collect()) == [17, 18, 19]
