@@ -91,3 +91,40 @@ def test_configurations(spark):
     got = {r["arg"]: (r["written"], r["followed"], r["n_unresolved"]) for r in usage.argument_values(df, "e").collect()}
     assert got == {"a": (["1"], [], 1), "b": (["2"], ["2"], 0)}
     assert df.select(F.count("*")).first()[0] == 4
+
+
+EXCERPT = """import os
+import lib
+from plot import scatter
+
+class Runner:
+    def reduce_rows(self, rows):
+        # lib is quick
+        if rows:
+            model = lib.Tool(size=2)
+        return model.fit_transform(rows)
+
+def other():
+    pass
+
+out = Runner().reduce_rows(data)
+noise = 1
+scatter(out.x, out.y)
+print(noise)
+"""
+
+
+def test_excerpts(spark):
+    windows = {"call": (0, 0, 0.8), "result": (0, 0, 0.9), "mention": (0, 0, 1.0)}
+    files = [("p", "a.py", EXCERPT), ("p", "copy.py", EXCERPT), ("p", "b.py", "import lib\n" + "\n".join(f"lib.go({i})" for i in range(50))), ("p", "c.py", None), ("q", "d.py", "nothing\n"), ("r", "e.py", "x = lib\n")]
+    df = spark.createDataFrame(files, "e string, path string, t string")
+    show = lambda budget: {(r["e"], r["path"]): r for r in code.project_excerpts(df, "e", "path", "t", "lib", budget, windows, r"\.fit_transform\(").collect()}
+    got = show(100_000)
+    assert set(got) == {("p", "a.py"), ("p", "b.py"), ("r", "e.py")}
+    assert got["p", "a.py"]["excerpt"] == (
+        "import os\nimport lib\nfrom plot import scatter\n...\nclass Runner:\n    def reduce_rows(self, rows):\n...\n            model = lib.Tool(size=2)\n...\nout = Runner().reduce_rows(data)\n...\nscatter(out.x, out.y)"
+    )
+    assert got["r", "e.py"]["excerpt"] == "x = lib" and got["p", "b.py"]["excerpt"].count("lib.go") == 50
+    small = show(200)
+    assert {k for k in small if k[0] == "p"} == {("p", "a.py"), ("p", "b.py")} and all(r["used"] <= 200 for r in small.values())
+    assert "lib.go(0)" in small["p", "b.py"]["excerpt"] and "lib.Tool" in small["p", "a.py"]["excerpt"]
