@@ -1,20 +1,24 @@
 """Operator 1: benchmark decontamination by template canonicalisation. DataFrame functions only.
 
 Both sides are canonicalised: a token with a digit becomes a number placeholder, a unit after a number a unit
-placeholder, a capitalised token, or a run of them, a name placeholder (also at the begin of a sentence, where a name can't be told from
-another word); the rest is lower-cased without punctuation. Runs
-of WINDOW canonical tokens are hashed and joined. An item whose windows are covered to a share of least_cover or
-more in a document is a candidate, even if its numbers and names were replaced. Slots are then compared: the raw
-values at placeholders must map one to one, the same benchmark value always to the same value in the document. That is
-judged for each shift between item and document, over the slots in the windows found at that shift. Shifts count if they
-hold no slots, or if the share of consistent slot values reaches least_consistent; a candidate is a leak if the
-windows of the shifts that count still reach least_cover.
+placeholder, a capitalised token, or a run of up to NAMES of them, a name placeholder (also at the begin of a sentence,
+where a name can't be told from another word); longer runs are capitals or title case, not names, and are read like other
+words: lower-cased, without punctuation. Runs of WINDOW canonical tokens are hashed and joined; windows of placeholders
+alone never count. An item whose windows are covered to a share of least_cover or more in a document is a candidate, even
+if its numbers and names were replaced. Slots are then compared: the raw values at placeholders must map one to one, in
+both directions. That is judged for each shift between item and document, over the slots in the windows found at that
+shift. Shifts count if they hold no slots, or if the share of consistent slot values reaches least_consistent; a candidate
+is a leak if the windows of the shifts that count still reach least_cover.
+
+Windows of the plain words (lower-cased, nothing replaced) are a second form of both sides, in the same join: it meets
+copies whose case was changed, and needs no slots.
 
 Windows of the benchmark are broadcast only if their counted bytes fit; else both sides are shuffled.
 
 Defined cases: null or empty texts have no windows. An item of fewer tokens than WINDOW is one window of its size; one
-of fewer than LEAST tokens, which many texts hold by chance, is met only by a text that holds nothing else. Items with null ids don't count. Repeated rows and ids: a leak is
-reported once for each (document id, item id). Extra columns are not read. Empty tables give empty results.
+of fewer than LEAST tokens, which many texts hold by chance, is met only by a text that holds nothing else. Items with
+null ids don't count. Repeated rows and ids: a leak is reported once for each (document id, item id). Extra columns are
+not read. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -25,18 +29,28 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .components import sized_join
 
-WINDOW, LEAST = 8, 5
+WINDOW, LEAST, NAMES = 8, 5, 3
 # Fixed unit words, after a number.
 UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|ft|in|miles?|meters?|metres?|feet|inch(?:es)?|hours?|hrs?|minutes?|mins?|seconds?|secs?|days?|weeks?|months?|years?|dollars?|euros?|cents?|percent|liters?|litres?|l|ml|mph|kmh|apples?|degrees?"
-NUMBER, UNIT, NAME, NOTHING, JOINED = "\u0001", "\u0002", "\u0003", "\u0004", "\u0005"
+NUMBER, UNIT, NAME, NOTHING, JOINED, PLAIN = "\u0001", "\u0002", "\u0003", "\u0004", "\u0005", "\u0006"
 
 
-def spaced(text: Column) -> Column:
-    """Text with numbers set apart, runs of capitalised words joined and one blank between tokens; canonical and raw tokens are both read from it."""
+def apart(text: Column) -> Column:
+    """Text with numbers set apart and one blank between tokens."""
     x = F.regexp_replace(text, r"([^\s\p{L}]*\d[\d.,:/]*)", " $1 ")
-    x = F.btrim(F.regexp_replace(x, r"\s+", " "))
+    return F.btrim(F.regexp_replace(x, r"\s+", " "))
+
+
+def spaced(text: Column) -> Column:
+    """apart() with short runs of capitalised words joined, the words of longer ones marked; canonical and raw tokens are both read from it."""
+    tokens = F.split(apart(text), " ")
+    flags = F.array_join(F.transform(tokens, lambda t: F.when(t.rlike(r"^[\"'(\[]?\p{Lu}"), "1").otherwise("0")), "")
+    # a word of a run of more than NAMES capitalised ones, wherever in the run it stands
+    n = NAMES + 1
+    long = "|".join(f"(?<=1{{{i}}})1(?=1{{{n - 1 - i}}})" for i in range(n))
+    marked = F.zip_with(tokens, F.split(F.regexp_replace(flags, long, "2"), ""), lambda t, f: F.when(f == "2", F.concat(F.lit(PLAIN), t)).otherwise(t))
     # a run of capitalised words is one token: names of one and of several words look alike
-    return F.regexp_replace(x, r"(?<![^ ])([\"'(\[]?\p{Lu}[\p{L}'\-]*) (?=\p{Lu})", "$1" + JOINED)
+    return F.regexp_replace(F.array_join(marked, " "), r"(?<![^ ])([\"'(\[]?\p{Lu}[\p{L}'\-]*) (?=\p{Lu})", "$1" + JOINED)
 
 
 def canonical(spaced_text: Column) -> Column:
@@ -45,27 +59,38 @@ def canonical(spaced_text: Column) -> Column:
     x = F.regexp_replace(x, r"(?<![^ ])[\"'(\[]?\p{Lu}[^ ]*", NAME)
     x = F.regexp_replace(x, f"(?<={NUMBER} )" + r"(?:(?i:" + UNITS + r")|[%€$£])\p{Punct}*(?![^ ])", UNIT)
     x = F.regexp_replace(x, r"(?<![^ ])\p{Punct}+(?![^ ])", NOTHING)
-    return F.lower(F.regexp_replace(x, r"\p{Punct}+", ""))
+    return F.lower(F.regexp_replace(x, r"[\p{Punct}" + PLAIN + "]+", ""))
+
+
+def with_tokens(df: DataFrame, text: str) -> DataFrame:
+    """Adds toks, the canonical tokens, and plain, the words as they are but for case and punctuation."""
+    df = df.withColumn("toks", F.filter(F.split(canonical(spaced(F.col(text))), " "), lambda t: (t != "") & (t != NOTHING)))
+    return df.withColumn("plain", F.filter(F.split(F.lower(F.regexp_replace(apart(F.col(text)), r"\p{Punct}+", "")), " "), lambda t: t != ""))
 
 
-def with_tokens(df: DataFrame, text: str, out: str) -> DataFrame:
-    return df.withColumn(out, F.filter(F.split(canonical(spaced(F.col(text))), " "), lambda t: (t != "") & (t != NOTHING)))
+FORMS = {0: "toks", 1: "plain"}
 
 
-def windows(tokens: str, size: int) -> Column:
-    """Hashes of all runs of size tokens, in order; none if there are fewer."""
+def windows(form: int, size: Column, whole: bool = False) -> Column:
+    """struct(form, size, at, hash) of all runs of size tokens of a form, in order; none if there are fewer (whole: or more)."""
+    tokens, salt = FORMS[form], [F.lit(1)] if form else []
     n = F.size(tokens)
-    at = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.xxhash64(F.slice(tokens, i, size)))
+    at = F.when((n == size) if whole else (n >= size), F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.struct(F.lit(form).alias("form"), size.alias("size"), (i - 1).alias("at"), F.xxhash64(F.slice(tokens, i, size), *salt).alias("hash")))
 
 
 def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """item, size, n_windows, at, hash of each benchmark window."""
-    rows = with_tokens(benchmark.where(F.col(item).isNotNull()).select(F.col(item).alias("item"), F.col(text).alias("t")), "t", "toks")
-    rows = rows.withColumn("size", F.least(F.lit(WINDOW), F.size("toks"))).where("size > 0")
-    n = F.size("toks") - F.col("size") + 1
-    hashes = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice("toks", i, F.col("size"))))
-    return rows.select("item", "size", n.alias("n_windows"), F.posexplode(hashes).alias("at", "hash"))
+    """item, form, size, n_windows, at, hash of each benchmark window that holds a word."""
+    rows = with_tokens(benchmark.where(F.col(item).isNotNull()).select(F.col(item).alias("item"), F.col(text).alias("t")), "t")
+    out = None
+    for form, tokens in FORMS.items():
+        size = F.least(F.lit(WINDOW), F.size(tokens))
+        said = rows.where(F.size(tokens) > 0).select("item", tokens, size.alias("size"))
+        said = said.select("item", tokens, (F.size(tokens) - F.col("size") + 1).alias("n_windows"), F.explode(windows(form, F.col("size"))).alias("w"))
+        empty = F.forall(F.slice(tokens, F.col("w.at") + 1, F.col("w.size")), lambda t: t.isin(NUMBER, UNIT, NAME))
+        said = said.where(~empty).select("item", "w.form", "w.size", "n_windows", "w.at", "w.hash")
+        out = said if out is None else out.unionByName(said)
+    return out
 
 
 def slot_values(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -83,23 +108,18 @@ def benchmark_leaks(
 ) -> DataFrame:
     """key, item, cover, n_slots, consistent, kind of each leak; kind is exact or reparameterised."""
     items = materialize(item_windows(benchmark, item, item_text), "items")
-    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most WINDOW numbers
-    tokens = with_tokens(docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("t")), "t", "toks")
-    hits = None
-    hashes = items.select("hash").distinct()
-    hashes = materialize(hashes, "hashes")
-    for size in sizes or [WINDOW]:
-        whole = tokens if size >= LEAST else tokens.where(F.size("toks") == size)
-        found = whole.select("doc", "row", F.posexplode(windows("toks", size)).alias("doc_at", "hash"))
-        found = sized_join(found, hashes, "hash", "left_semi", 16, most).withColumn("size", F.lit(size))
-        hits = found if hits is None else hits.unionByName(found)
-    hits = materialize(hits, "hits")
+    sizes = [tuple(r) for r in items.select("form", "size").distinct().collect()]  # at most twice WINDOW
+    tokens = with_tokens(docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("t")), "t")
+    every = F.concat(*[windows(form, F.lit(size), size < LEAST) for form, size in sorted(sizes) or [(0, WINDOW)]])
+    hits = tokens.select("doc", "row", F.explode(every).alias("w")).select("doc", "row", "w.form", "w.size", F.col("w.at").alias("doc_at"), "w.hash")
+    hits = materialize(sized_join(hits, materialize(items.select("hash").distinct(), "hashes"), "hash", "left_semi", 16, most), "hits")
     # An item covers a document along diagonals: the same shift between its windows and the document's.
-    met = sized_join(hits, items, ["hash", "size"], "inner", 48, most).select("doc", "row", "item", "at", "n_windows", "size", (F.col("doc_at") - F.col("at")).alias("shift"))
-    cover = met.groupBy("doc", "row", "item", "n_windows").agg(F.count_distinct("at").alias("found"))
-    candidates = cover.where(F.col("found") >= least_cover * F.col("n_windows")).select("doc", "row", "item", (F.col("found") / F.col("n_windows")).alias("cover"))
-    candidates = materialize(candidates.groupBy("doc", "row", "item").agg(F.max("cover").alias("cover")), "candidates")
-    shifts = sized_join(met, materialize(candidates.select("row", "item").distinct(), "met"), ["row", "item"], "left_semi", 48, most)
+    met = sized_join(hits, items, ["hash", "form", "size"], "inner", 48, most).select("doc", "row", "item", "form", "at", "n_windows", "size", (F.col("doc_at") - F.col("at")).alias("shift"))
+    cover = met.groupBy("doc", "row", "item", "form", "n_windows").agg(F.count_distinct("at").alias("found"))
+    covered = cover.where(F.col("found") >= least_cover * F.col("n_windows")).groupBy("doc", "row", "item", "form").agg(F.max(F.col("found") / F.col("n_windows")).alias("cover"))
+    covered = materialize(covered, "candidates")
+    candidates, copies = covered.where("form = 0").drop("form"), covered.where("form = 1").drop("form")
+    shifts = sized_join(met.where("form = 0"), materialize(candidates.select("row", "item").distinct(), "met"), ["row", "item"], "left_semi", 48, most)
     shifts = shifts.groupBy("row", "item", "n_windows", "size", "shift").agg(F.collect_set("at").alias("ats"))
 
     chosen = materialize(candidates.select("row").distinct(), "rows")
@@ -113,8 +133,11 @@ def benchmark_leaks(
     values = F.transform("b", lambda b, i: F.struct(b.alias("b"), F.coalesce(F.when(i + F.col("shift") >= 0, F.try_element_at("d", F.greatest(i + F.col("shift") + 1, F.lit(1)))), F.lit("")).alias("v"), inside(i).alias("inside")))
     values = F.array_distinct(F.transform(F.filter(values, lambda x: x["inside"] & x["b"].isNotNull()), lambda x: F.struct(x["b"].alias("b"), x["v"].alias("v"))))
     pairs = pairs.withColumn("values", values).withColumn("names", F.array_distinct(F.transform("values", lambda x: x["b"])))
-    # values are distinct pairs: a benchmark value is consistent if it stands in one of them only
-    once = F.size(F.filter("names", lambda n: F.size(F.filter("values", lambda x: x["b"] == n)) == 1))
+    # values are distinct pairs: one is consistent if neither of its values stands in another
+    pairs = pairs.withColumn("theirs", F.transform("values", lambda x: x["v"]))
+    single = lambda c, x: F.size(F.filter(c, lambda y: y == x)) == 1
+    pairs = pairs.withColumn("ours", F.transform("values", lambda x: x["b"]))
+    once = F.size(F.filter("values", lambda x: single("ours", x["b"]) & single("theirs", x["v"])))
     pairs = pairs.select(
         "row", "item", "n_windows", "ats", F.size("names").alias("n_slots"), F.when(F.size("names") == 0, F.lit(1.0)).otherwise(once / F.size("names")).alias("share"),
         F.forall("values", lambda x: x["b"] == x["v"]).alias("same"),
@@ -124,7 +147,8 @@ def benchmark_leaks(
         F.max("n_slots").alias("n_slots"), F.max("share").alias("share"), reached("ats").alias("reached"),
         reached(F.when(F.col("same"), F.col("ats"))).alias("same"),
     ).where("reached")
-    kept = candidates.join(judged, ["row", "item"])
+    kept = candidates.join(judged, ["row", "item"]).select("doc", "item", "cover", "n_slots", "share", "same")
+    kept = kept.unionByName(copies.select("doc", "item", "cover", F.lit(0).alias("n_slots"), F.lit(1.0).alias("share"), F.lit(True).alias("same")))
     # ids of documents may repeat or be null: one row for each pair
     kept = kept.groupBy("doc", "item").agg(
         F.max("cover").alias("cover"), F.max(F.coalesce("n_slots", F.lit(0))).cast("long").alias("n_slots"), F.max("share").alias("consistent"),

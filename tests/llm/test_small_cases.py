@@ -395,8 +395,25 @@ def test_leaks_with_joined_tokens(spark):
     leaks = decontamination.benchmark_leaks(docs, bench).collect()
     assert {(r["doc_id"], r["item_id"], r["kind"], r["consistent"]) for r in leaks} == {(1, 1, "exact", 1.0), (2, 2, "exact", 1.0)}
     odd = spark.createDataFrame([(x,) for _, x in items] + [("5% - 'Q3' $ 4 $, % -- GPT-4!? ",), ("",), (None,)], "t string")
-    for r in decontamination.slot_values(decontamination.with_tokens(odd, "t", "c"), "t", "v").collect():
-        assert (r["c"] is None and r["v"] is None) or [t in "\x01\x02\x03" for t in r["c"]] == [v is not None for v in r["v"]]
+    for r in decontamination.slot_values(decontamination.with_tokens(odd, "t"), "t", "v").collect():
+        assert (r["toks"] is None and r["v"] is None) or [t in "\x01\x02\x03" for t in r["toks"]] == [v is not None for v in r["v"]]
+
+
+def test_leaks_in_capitals_and_one_to_one(spark):
+    """Title case and capitals are words; their copies in any case are found; placeholders alone and merged values are none."""
+    items = [
+        (1, "WHAT IS THE CAPITAL CITY OF FRANCE AND WHEN WAS IT FOUNDED"), (2, "anna has 3 apples and 4 pears in the big basket today"),
+        (3, "In the town of Springfield John Smith sold 48 clips to his friends in May and half as many later"), (4, "The Best Answer To Every Single Question About Long Journeys"),
+    ]
+    found = {
+        "Q: " + items[0][1]: {1}, "see " + items[0][1] + " again": {1}, items[0][1].lower(): {1}, "Hello": set(), "HELLO": set(), "Berlin Paris": set(), "BERLIN 3 PARIS": set(),
+        "anna has 5 apples and 5 pears in the big basket today": set(), "anna has 5 apples and 6 pears in the big basket today": {2}, items[2][1].upper(): {3},
+        "In the town of Riverdale Mary Jones sold 52 clips to his friends in June and half as many later": {3}, "he gave the best answer to every single question about long journeys, twice": {4},
+        "The Worst Reply To Any Other Request On Short Rides": set(),
+    }
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    leaks = decontamination.benchmark_leaks(docs_of(spark, list(enumerate(found))), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in leaks} == {(i, item) for i, (_, of) in enumerate(found.items()) for item in of}
 
 
 def test_leaks_with_names_at_sentence_starts(spark):
