@@ -197,7 +197,7 @@ def declarations(files: DataFrame, entity: str, package: str, own: list[str], re
 def listed_requirement(packages: DataFrame, key: str, requirements: str, package: str, repo: str | None = None) -> DataFrame:
     """The same of entities known by their metadata only, an array of requirement texts: key, status, scope, spec, kind, anchor."""
     scope = T.dependency_kind(F.col(requirements), package)
-    spec = T.most_specific(T.specifiers(F.array_join(requirements, "\n"), package, repo))
+    spec = T.most_specific(T.specifiers(F.array_join(requirements, "\n"), package, repo), ("",))
     rows = packages.select(key, F.when(scope != "absent", scope).alias("scope"), F.when(scope != "absent", spec).alias("spec"))
     kind = T.version_kind(F.col("spec"))
     return rows.select(key, F.when(F.col("scope").isNull(), "not found").otherwise("declared").alias("status"), "scope", "spec", F.when(F.col("spec").isNotNull(), kind["kind"]).alias("kind"), F.when(F.col("spec").isNotNull(), kind["anchor"]).alias("anchor"))

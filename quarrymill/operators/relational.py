@@ -144,3 +144,11 @@ def expect(df: DataFrame, unique: list[str] = (), not_null: list[str] = (), mini
     checks += [F.count_if(F.col(c) < v).alias(f"small_{c}") for c, v in (minimum or {}).items()]
     checks += [(F.count(c) - F.count_distinct(c)).alias(f"repeated_{c}") for c in unique]
     return df.agg(F.count("*").alias("n_rows"), *checks)
+
+
+def same_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """One row: only_left, only_right and same, whether two tables hold the same set of keys; null is a key like others."""
+    sides = left.select(F.struct(F.col(key)).alias("k"), F.lit(1).alias("side")).unionByName(right.select(F.struct(F.col(key)).alias("k"), F.lit(2).alias("side")))
+    each = sides.groupBy("k").agg(F.bit_or("side").alias("sides"))
+    n = each.agg(F.count_if(F.col("sides") == 1).alias("only_left"), F.count_if(F.col("sides") == 2).alias("only_right"))
+    return n.withColumn("same", (F.col("only_left") == 0) & (F.col("only_right") == 0))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def union_list(c: Column) -> Column:
     """Sorted distinct union of an array column over a group."""
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_set(c))))  # a set: repeated lists are held once
 
 
 def strongest(c: Column, order: list[str]) -> Column:
@@ -54,6 +54,50 @@ def arg_summary(calls: DataFrame, entity: str, kwargs: str) -> DataFrame:
     return pairs.groupBy(entity, "arg").agg(F.array_sort(F.collect_set(F.when(known, F.col("value")))).alias("written"), F.count_if(~known).alias("n_unresolved"))
 
 
+def arg_report(summary: DataFrame, k: int) -> DataFrame:
+    """arg, passing, written, unread, commonest: over all entities of arg_summary, with the k values that most entities write.
+
+    unread: entities none of whose values could be read. commonest: "value xN", the commonest first, ties by value.
+    """
+    n = summary.groupBy("arg").agg(F.count("*").alias("passing"), F.count_if(F.size("written") > 0).alias("written"), F.count_if((F.size("written") == 0) & (F.col("n_unresolved") > 0)).alias("unread"))
+    values = summary.select("arg", F.explode("written").alias("value")).groupBy("arg", "value").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("arg").orderBy(F.desc("n"), "value"))  # distinct values of an argument
+    top = values.withColumn("r", rank).where(F.col("r") <= k).groupBy("arg").agg(F.array_sort(F.collect_list(F.struct("r", "value", "n"))).alias("top"))
+    told = F.transform("top", lambda t: F.concat(t["value"], F.lit(" x"), t["n"].cast("string")))
+    return n.join(top, "arg", "left").select("arg", "passing", "written", "unread", F.coalesce(told, F.array().cast("array<string>")).alias("commonest"))
+
+
+def equals_typed(kwargs: Column, name: str, value: object) -> Column:
+    """Whether an argument has a value of this type: True isn't 1, 2 isn't 2.0, and neither is "2"; null if it isn't given."""
+    return kwargs[name] == F.lit(repr(value))
+
+
+def _like(pattern: str):
+    return lambda name: name.rlike(pattern)
+
+
+def _given(name: str, value: object):
+    return lambda kwargs: F.coalesce(equals_typed(kwargs, name, value), F.lit(False))
+
+
+def feature_rules(methods: Column, called: Column, kwargs: Column, learns: Column, rules: list[tuple[str, dict]]) -> list[tuple[str, Column]]:
+    """(name, condition) of each rule: any of methods (names), called (a pattern of dotted names), learns (True), argument (name, value).
+
+    kwargs is an array of maps, one for each call. Parts of a rule are alternatives.
+    """
+    found = []
+    for name, rule in rules:
+        parts = [F.array_contains(methods, m) for m in rule.get("methods", ())]
+        parts += [F.exists(called, _like(rule["called"]))] if "called" in rule else []
+        parts += [learns] if rule.get("learns") else []
+        parts += [F.exists(kwargs, _given(*rule["argument"]))] if "argument" in rule else []
+        condition = F.lit(False)
+        for part in parts:
+            condition = condition | F.coalesce(part, F.lit(False))
+        found.append((name, condition))
+    return found
+
+
 def value_given(calls: DataFrame, entity: str, value: Column, star: Column) -> DataFrame:
     """entity, answer, value: VALUE (one readable value, whatever other calls hide or leave out), SEVERAL, DEFAULT (left out) or UNREADABLE.
 
@@ -81,16 +125,19 @@ def features_used(rules: list[tuple[str, Column]]) -> Column:
 
 
 def rarest(rows: DataFrame, entity: str, labels: str, order: list[str], pairs: dict[tuple[str, str], str] | None = None) -> DataFrame:
-    """entity, label: of an entity's labels the one with the fewest entities; ties by order. An exact pair has its own label."""
+    """entity, label: of an entity's labels the one with the fewest entities; ties by order. An exact pair has its own label.
+
+    An entity with no labels, or a null list, has none (null).
+    """
     each = rows.select(entity, F.explode(F.array_distinct(labels)).alias("label"))
     counts = each.groupBy("label").agg(F.count("*").alias("n"))
     place = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("label"))
     best = each.join(counts, "label").groupBy(entity).agg(F.min_by("label", F.struct("n", place, "label")).alias("label"))
     if not pairs:
-        return best
+        return rows.select(entity).join(best, entity, "left")
     set_ = F.array_sort(F.array_distinct(labels))
     own = F.coalesce(*[F.when(set_ == F.array(*[F.lit(x) for x in sorted(p)]), F.lit(v)) for p, v in pairs.items()])
-    return rows.select(entity, own.alias("own")).join(best, entity).select(entity, F.coalesce("own", "label").alias("label"))
+    return rows.select(entity, own.alias("own")).join(best, entity, "left").select(entity, F.coalesce("own", "label").alias("label"))
 
 
 def fold_rare(df: DataFrame, c: str, least: int, out: str = "shown", other: str = "Other") -> DataFrame:

@@ -19,11 +19,16 @@ def scan_pruned(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "lang", "n_chars").where("n_chars > 500")
 
 
-@query()
+@query("SELECT event_id, user_id, event_type, value FROM events")
 def log_scan(spark: SparkSession, sf: str) -> DataFrame:
-    schema = "event_id long, user_id long, event_type string, value double"
-    lines = table(spark, sf, "events").select(F.to_json(F.struct("event_id", "user_id", "event_type", "value")).alias("value"))
-    return logs.parse_log_lines(lines, "value", schema)
+    """Events appended to a log in two goes and read back."""
+    from ..streaming.ingest import new_place
+
+    at, _ = new_place(spark, "log")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    for half in (F.col("value") < 50, (F.col("value") >= 50) | F.col("value").isNull()):
+        logs.append_log(events.where(half), at)
+    return logs.read_log(spark, at, "event_id long, user_id long, event_type string, value double")
 
 
 @query("SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, 6 AS n_columns FROM orders")
@@ -122,6 +127,38 @@ def recode(spark: SparkSession, sf: str) -> DataFrame:
     return coded.groupBy("c_mktsegment", "code").agg(F.count("*").alias("n"))
 
 
+@query("SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'A' THEN 'accepted' WHEN 'N' THEN 'none' WHEN 'R' THEN 'returned' END AS flag FROM lineitem")
+def recode_total(spark: SparkSession, sf: str) -> DataFrame:
+    """A lookup that stops the job at a value it has no code for."""
+    flag = R.recode(F.col("l_returnflag"), {"A": "accepted", "N": "none", "R": "returned"})
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", flag.alias("flag"))
+
+
+@query("""
+WITH b AS (SELECT coalesce(c, o) AS k, c IS NULL AS r, o IS NULL AS l FROM (SELECT DISTINCT c_custkey AS c FROM customer) FULL JOIN (SELECT DISTINCT o_custkey AS o FROM orders) ON c = o)
+SELECT count(*) FILTER (l) AS only_left, count(*) FILTER (r) AS only_right, count(*) FILTER (l OR r) = 0 AS same FROM b""")
+def same_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return R.same_keys(table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), "k")
+
+
+@query("""
+SELECT doc_id, CASE WHEN text IS NULL THEN 'missing' WHEN octet_length(encode(text)) + CASE WHEN lang = 'de' THEN 2 ELSE 0 END > 5000 THEN 'too big' WHEN lang = 'de' THEN 'binary' ELSE 'ok' END AS status FROM documents""")
+def route_binary(spark: SparkSession, sf: str) -> DataFrame:
+    """Blobs: the German texts with a null byte in front."""
+    raw = F.concat(F.when(F.col("lang") == "de", F.unhex(F.lit("4100"))).otherwise(F.unhex(F.lit(""))), F.col("text").cast("binary"))
+    return table(spark, sf, "documents").select("doc_id", T.store_status(raw, 5000).alias("status"))
+
+
+@query("""
+SELECT p_partkey, v.path, v.class FROM part, (VALUES ('src/a.py', 'code'), ('Requirements.txt', 'dependency'), ('reqs/base.in', 'dependency'), ('x/requirements-frozen.txt', 'lock'), ('poetry.lock', 'lock'), ('.venv3/lib/a.py', 'vendored'),
+  ('lib/python3.9/x.py', 'vendored'), ('conda/environment.yaml', 'dependency'), ('env-dev.yml', 'dependency'), ('docs/readme.txt', 'other'), ('n.ipynb', 'notebook'), ('envs/a.py', 'code'), ('constraints.txt', 'lock')) v(path, class) WHERE length(v.path) <= p_size""")
+def path_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Each part lists the paths that are no longer than its size."""
+    paths = ["src/a.py", "Requirements.txt", "reqs/base.in", "x/requirements-frozen.txt", "poetry.lock", ".venv3/lib/a.py", "lib/python3.9/x.py", "conda/environment.yaml", "env-dev.yml", "docs/readme.txt", "n.ipynb", "envs/a.py", "constraints.txt"]
+    listed = table(spark, sf, "part").select("p_partkey", "p_size", F.explode(F.array(*[F.lit(p) for p in paths])).alias("path")).where(F.length("path") <= F.col("p_size"))
+    return listed.select("p_partkey", "path", T.path_class(F.col("path")).alias("class"))
+
+
 @query(r"SELECT doc_id, coalesce(nullif(regexp_replace(text, '^\s+|\s+$', '', 'g'), ''), lang, source) AS title FROM documents")
 def fallback(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.coalesce(T.nonblank(T.ustrip(F.col("text"))), "lang", "source").alias("title"))

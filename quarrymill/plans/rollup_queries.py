@@ -104,11 +104,25 @@ def arg_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(CALLS_SQL + """, a AS (SELECT l_orderkey, 'flag' AS arg, flag AS v FROM c UNION ALL SELECT l_orderkey, 'status', status FROM c),
-s AS (SELECT l_orderkey, arg, count(*) FILTER (v <> '<expr>') AS w, count(*) FILTER (v = '<expr>') AS x FROM a GROUP BY ALL)
-SELECT arg, count(*) AS passing, count(*) FILTER (w > 0) AS written, count(*) FILTER (w = 0 AND x > 0) AS unread FROM s GROUP BY arg""")
+s AS (SELECT l_orderkey, arg, count(*) FILTER (v <> '<expr>') AS w, count(*) FILTER (v = '<expr>') AS x FROM a GROUP BY ALL),
+t AS (SELECT arg, v, count(DISTINCT l_orderkey) AS n FROM a WHERE v <> '<expr>' GROUP BY arg, v), r AS (SELECT *, row_number() OVER (PARTITION BY arg ORDER BY n DESC, v) AS r FROM t),
+k AS (SELECT arg, list(v || ' x' || n ORDER BY r) AS commonest FROM r WHERE r <= 2 GROUP BY arg)
+SELECT s.arg, count(*) AS passing, count(*) FILTER (w > 0) AS written, count(*) FILTER (w = 0 AND x > 0) AS unread, coalesce(any_value(commonest), []) AS commonest FROM s LEFT JOIN k USING (arg) GROUP BY s.arg""")
 def arg_report(spark: SparkSession, sf: str) -> DataFrame:
-    s = A.arg_summary(_calls(spark, sf), "l_orderkey", "kwargs")
-    return s.groupBy("arg").agg(F.count("*").alias("passing"), F.count_if(F.size("written") > 0).alias("written"), F.count_if((F.size("written") == 0) & (F.col("n_unresolved") > 0)).alias("unread"))
+    return A.arg_report(A.arg_summary(_calls(spark, sf), "l_orderkey", "kwargs"), 2)
+
+
+@query("""
+WITH o AS (SELECT l_orderkey, list(l_linestatus) AS methods, list(l_shipmode) AS called, bool_or(l_quantity = 1) AS one, bool_or(l_linenumber = 4) AS four FROM (SELECT *, 'lib.' || l_returnflag || '.' || l_linestatus AS l_shipmode FROM lineitem) GROUP BY l_orderkey)
+SELECT l_orderkey, list_filter([CASE WHEN list_contains(methods, 'O') THEN 'open' END, CASE WHEN len(list_filter(called, lambda c: c LIKE 'lib.R.%')) > 0 THEN 'returns' END, CASE WHEN four THEN 'four' END, NULL], lambda x: x IS NOT NULL) AS features FROM o""")
+def feature_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Flags by methods, names and arguments with their type: 4 is an argument's value, "4" and 4.0 aren't."""
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.collect_set("l_linestatus").alias("methods"), F.collect_set(F.concat_ws(".", F.lit("lib"), "l_returnflag", "l_linestatus")).alias("called"),
+        F.collect_list(F.create_map(F.lit("n"), F.col("l_linenumber").cast("string"))).alias("kwargs"),
+    )
+    rules = [("open", {"methods": ["O", "X"]}), ("returns", {"called": r"^lib\.R\."}), ("four", {"argument": ("n", 4)}), ("text", {"argument": ("n", "4"), "learns": True})]
+    return lines.select("l_orderkey", A.features_used(A.feature_rules(F.col("methods"), F.col("called"), F.col("kwargs"), F.lit(False), rules)).alias("features"))
 
 
 @query(CALLS_SQL + """, g AS (SELECT l_orderkey, count(DISTINCT CASE WHEN l_discount > 0.02 AND flag <> '<expr>' THEN flag END) AS n, min(CASE WHEN l_discount > 0.02 AND flag <> '<expr>' THEN flag END) AS v,

@@ -212,3 +212,72 @@ def test_resume(spark, tmp_path):
         ingest.upsert_latest(ingest.open_stream(spark, source), ["k"], ["id"], str(tmp_path / "c2"))
     assert spark.read.parquet(sink).count() == 20
     assert sorted(r["id"] for r in ingest.state(spark, str(tmp_path / "c2")).collect()) == [17, 18, 19]
+
+
+def test_recode_is_total(spark):
+    df = spark.createDataFrame([("a",), (None,)], "c string")
+    assert [r[0] for r in df.select(relational.recode(F.col("c"), {"a": "A"})).collect()] == ["A", None]
+    with pytest.raises(Exception, match="no code for"):
+        df.select(relational.recode(F.col("c"), {"b": "B"})).collect()
+
+
+def test_same_keys(spark):
+    of = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k string")
+    for left, right, want in (((), (), (0, 0, True)), (("a", None, "a"), (None, "a"), (0, 0, True)), (("a", "b"), ("a", None), (1, 1, False))):
+        assert tuple(relational.same_keys(of(*left), of(*right), "k").first()) == want
+
+
+def test_typed_arguments(spark):
+    for token, value, want in (("2", 2, True), ("2.0", 2, False), ("'2'", 2, False), ("'2'", "2", True), ("True", True, True), ("1", True, False)):
+        df = spark.createDataFrame([({"n": token},)], "k map<string,string>")
+        assert df.select(rollup.equals_typed(F.col("k"), "n", value)).first()[0] is want
+
+
+def test_table_specifiers(spark):
+    for version, located, want in (("1 . 2", False, "==1.2"), ("*", False, ""), (None, False, ""), ("^1, <2", False, "^1,<2"), ("1", True, "from source")):
+        df = spark.createDataFrame([(version, located)], "v string, l boolean")
+        assert df.select(T.table_specifier(F.col("v"), F.col("l"))).first()[0] == want
+
+
+def test_running_sums(spark):
+    """A group that holds most rows, a null group, and groups of one row, over many partitions."""
+    from quarrymill.operators.prefix import running
+
+    rows = [("hot" if i % 5 else None if i % 2 else f"g{i}", i, i % 7) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, o int, v int").repartition(9)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["o"]: (r["total"], r["place"]) for r in running(df, ["g"], ["o"], {"total": F.col("v"), "place": F.lit(1)}).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    sums, places = {}, {}
+    for g, o, v in rows:
+        sums[g], places[g] = sums.get(g, 0) + v, places.get(g, 0) + 1
+        assert got[o] == (sums[g], places[g])
+
+
+def test_manifests_and_locks(spark):
+    """Shapes of files that lines can't tell apart."""
+    files = [
+        ("a", "blocks/requirements.txt", "Pack_Age[extra]>=1,<2\n"), ("b", "requirements-frozen.txt", "pack-age==1\n"), ("c", "reqs.txt", "# Autogenerated by x\npack.age==2\n    # via -r in.txt\n"),
+        ("d", "setup.py", "setup(\n" + "x\n" * 60 + "tests_require=['pack-age'])\n"), ("e", "r.txt", "git+https://github.com/me/pack.git\n"), ("f", "pyproject.toml", "broken = [\n pack-age\n"),
+        ("g", "poetry.lock", "[[package]]\nname='pack-age'\n[package.dependencies]\nx='1'\n[[package]]\nname='Top_It'\n[package.dependencies]\nPack_Age='>=1'\n"),
+        ("h", "pdm.lock", "[[package]]\nname='pack-age'\n[[package]]\nname='own'\ndependencies=['pack-age>=1']\n[package.source]\nvirtual='.'\n"), ("i", "Pipfile.lock", '{"default": {"pack-age": {}}, "develop": {}}'),
+        ("j", "Pipfile", "[dev-packages]\npack-age={git='https://x'}\n"), ("k", "pyproject.toml", "[tool.uv.sources]\npack-age={path='x'}\n"), ("l", "a.txt", "pack-age-extra\nnot-pack-age\n# pack-age\n"), ("m", "deep/b.txt", None),
+        ("n", "a.txt", "pack-age\n"), ("n", "deep/b.lock", "pack-age==9\n"),
+    ]
+    df = spark.createDataFrame(files, "e string, path string, text string")
+    got = {r["e"]: (r["status"], r["scope"], r["spec"], r["longest"], r["via"]) for r in deps.declarations(df, "e", "pack-age", ["own-core"], "me/pack").collect()}
+    assert got == {
+        "a": ("declared", "required", ">=1,<2", 1, []), "b": ("lock only", None, None, None, []), "c": ("declared", "required", "==2", 1, []), "d": ("declared", "dev", "", None, []),
+        "e": ("declared", "required", "from source", 1, []), "f": ("declared", "required", "", 2, []), "g": ("lock only", None, None, None, ["top-it"]), "h": ("declared", None, None, None, []),
+        "i": ("lock only", None, None, None, []), "j": ("declared", "dev", "from source", None, []), "k": ("not found", None, None, None, []), "l": ("not found", None, None, None, []),
+        "m": ("unread", None, None, None, []), "n": ("declared", "required", "", 1, []),
+    }
+
+
+def test_metadata_requirements(spark):
+    df = spark.createDataFrame([(1, ["pack-age>=1 ; extra == 'x'"]), (2, ["pack-age @ https://x"]), (3, ["other"]), (4, None)], "k int, r array<string>")
+    got = {r["k"]: (r["status"], r["scope"], r["spec"], r["kind"]) for r in deps.listed_requirement(df, "k", "r", "pack-age").collect()}
+    assert got == {1: ("declared", "optional", ">=1", "Lower bound"), 2: ("declared", "required", "from source", "From source"), 3: ("not found", None, None, None), 4: ("not found", None, None, None)}

@@ -60,7 +60,7 @@ def test_permutation_changes_nothing(spark):
 
     rows = spark.createDataFrame([(1, ["a", "b"]), (2, ["b"]), (3, ["c", "b"]), (4, [])], "e int, l array<string>")
     want = sorted(map(tuple, rarest(rows, "e", "l", ["a", "b", "c"]).collect()))
-    assert want == [(1, "a"), (2, "b"), (3, "c")]
+    assert want == [(1, "a"), (2, "b"), (3, "c"), (4, None)]
     assert sorted(map(tuple, rarest(rows.repartition(7).orderBy(F.desc("e")), "e", "l", ["a", "b", "c"]).collect())) == want
 
 
