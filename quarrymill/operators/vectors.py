@@ -101,6 +101,38 @@ def layout_pca(df: DataFrame, key: str, vector: str) -> DataFrame:
     return xy.select(key, vector_to_array("xy")[0].alias("x"), vector_to_array("xy")[1].alias("y"))
 
 
+def layout_spectral(graph: DataFrame, start: DataFrame, key: str, rounds: int = 5, steps: int = 3) -> DataFrame:
+    """key, x, y: coordinates from a weighted graph (a, b, weight, both directions), by power iteration from start's (key, x, y).
+
+    The walk is (I + D^-1/2 W D^-1/2) / 2. After every `steps` of it the two columns are made orthogonal to the trivial
+    vector (the roots of the degrees) and to each other, so they turn towards the next two, the smoothest ones over the
+    graph; x and y are these divided by the roots of the degrees. A step is an aggregate over edges; five sums of a round
+    reach the driver, and each round is a table of its own. Nodes without edges keep the origin.
+    """
+    degree = graph.groupBy(F.col("a").alias(key)).agg(F.sum("weight").alias("d"))
+    edges = graph.join(degree.select(F.col(key).alias("a"), F.col("d").alias("da")), "a").join(degree.select(F.col(key).alias("b"), F.col("d").alias("db")), "b")
+    edges = write_verified(edges.select("a", "b", (F.col("weight") / F.sqrt(F.col("da") * F.col("db"))).alias("w")), "edges")
+    now = degree.join(start.select(key, "x", "y"), key, "left").select(key, F.sqrt("d").alias("t"), (F.coalesce("x", F.lit(0.0)) * F.sqrt("d")).alias("x"), (F.coalesce("y", F.lit(0.0)) * F.sqrt("d")).alias("y"))
+    now = write_verified(now, "spectral")
+    dot = lambda p, q: F.sum(F.col(p) * F.col(q))
+    for turn in range(rounds + 1):
+        # orthogonal to the trivial vector, then to each other, of length 1
+        g = now.agg(dot("t", "t").alias("tt"), dot("t", "x").alias("tx"), dot("t", "y").alias("ty")).first()
+        flat = now.select(key, "t", *[(F.col(c) - F.col("t") * ((g["t" + c] or 0) / (g["tt"] or 1))).alias(c) for c in ("x", "y")])
+        h = flat.agg(dot("x", "x").alias("xx"), dot("x", "y").alias("xy"), dot("y", "y").alias("yy")).first()
+        xx = h["xx"] or 1.0
+        yy = max((h["yy"] or 0) - (h["xy"] or 0) ** 2 / xx, 1e-300)
+        flat = flat.select(key, "t", (F.col("x") / math.sqrt(xx)).alias("x"), ((F.col("y") - F.col("x") * ((h["xy"] or 0) / xx)) / math.sqrt(yy)).alias("y"))
+        if turn == rounds:
+            break
+        for _ in range(steps):
+            moved = edges.join(flat.select(F.col(key).alias("b"), "x", "y"), "b").groupBy(F.col("a").alias(key)).agg(F.sum(F.col("w") * F.col("x")).alias("mx"), F.sum(F.col("w") * F.col("y")).alias("my"))
+            flat = flat.join(moved, key).select(key, "t", ((F.col("x") + F.col("mx")) / 2).alias("x"), ((F.col("y") + F.col("my")) / 2).alias("y"))
+        now = write_verified(flat, "spectral")
+    found = flat.select(key, (F.col("x") / F.col("t")).alias("x"), (F.col("y") / F.col("t")).alias("y"))
+    return start.select(key).join(found, key, "left").select(key, F.coalesce("x", F.lit(0.0)).alias("x"), F.coalesce("y", F.lit(0.0)).alias("y"))
+
+
 def orient(coords: DataFrame, key: str, share: float = 0.15) -> DataFrame:
     """coords turned a quarter if taller than wide (1 to 99 % spread), then mirrored so that a corner box is emptiest.
 

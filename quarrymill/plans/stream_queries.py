@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import vectors as V
 from ..session import table
+from ..sources.logs import write_verified
 from ..streaming import ingest as S
 from .base import query
 
@@ -122,8 +123,21 @@ def orient(spark: SparkSession, sf: str) -> DataFrame:
     return V.orient(_coords(spark, sf), "vec_id").select("vec_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
+def _layout(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    graph = write_verified(V.fuzzy_graph(V.knn(vectors, "vec_id", "embedding", 15), "vec_id"), "graph")
+    return V.layout_spectral(graph, V.layout_pca(vectors, "vec_id", "embedding"), "vec_id")
+
+
+@query()
+def layout_spectral(spark: SparkSession, sf: str) -> DataFrame:
+    """Coordinates from the neighbour graph, begun at the principal components."""
+    return _layout(spark, sf)
+
+
 def _regions(spark: SparkSession, sf: str) -> DataFrame:
-    return V.regions(_coords(spark, sf), "vec_id", [48, 24, 12, 6], 10)
+    laid = V.orient(write_verified(_layout(spark, sf), "layout"), "vec_id")
+    return V.regions(laid, "vec_id", [48, 24, 12, 6], 10)
 
 
 @query()

@@ -281,3 +281,29 @@ def test_metadata_requirements(spark):
     df = spark.createDataFrame([(1, ["pack-age>=1 ; extra == 'x'"]), (2, ["pack-age @ https://x"]), (3, ["other"]), (4, None)], "k int, r array<string>")
     got = {r["k"]: (r["status"], r["scope"], r["spec"], r["kind"]) for r in deps.listed_requirement(df, "k", "r", "pack-age").collect()}
     assert got == {1: ("declared", "optional", ">=1", "Lower bound"), 2: ("declared", "required", "from source", "From source"), 3: ("not found", None, None, None), 4: ("not found", None, None, None)}
+
+
+def test_spectral_layout(spark):
+    """Against numpy's eigenvectors on a ring of three loosely linked groups with distinct sizes."""
+    import numpy as np
+
+    from quarrymill.operators import vectors
+
+    sizes, edges, at = (6, 9, 12), [], 0
+    for n in sizes:
+        edges += [(at + i, at + j, 1.0) for i in range(n) for j in range(i)]
+        at += n
+    edges += [(0, 6, 0.2), (7, 15, 0.1)]
+    w = np.zeros((at, at))
+    for a, b, x in edges:
+        w[a, b] = w[b, a] = x
+    graph = spark.createDataFrame([(a, b, float(w[a, b])) for a in range(at) for b in range(at) if w[a, b]], "a long, b long, weight double")
+    rng = np.random.default_rng(1)
+    start = spark.createDataFrame([(i, *map(float, rng.normal(size=2))) for i in range(at + 1)], "k long, x double, y double")
+    got = vectors.layout_spectral(graph, start, "k", rounds=8, steps=4).toPandas().set_index("k").sort_index()
+    assert tuple(got.loc[at]) == (0.0, 0.0)  # no edges
+    d = w.sum(axis=1)
+    _, v = np.linalg.eigh(w / np.sqrt(np.outer(d, d)))
+    mine = got.loc[: at - 1].to_numpy() * np.sqrt(d)[:, None]
+    q, _ = np.linalg.qr(mine)
+    assert np.linalg.svd(q.T @ v[:, -3:-1])[1].min() > 0.99
