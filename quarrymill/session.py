@@ -23,6 +23,16 @@ def build_session(name: str = "quarrymill", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give Python workers the package, where it isn't installed on them and isn't on their path."""
+    import os
+    import shutil
+    import tempfile
+
+    at = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="quarrymill-"), "quarrymill"), "zip", at, "quarrymill"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the given tables; Spark's reader opens it, so any store works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
