@@ -1,26 +1,32 @@
 """Operator 5: personal data replaced by keyed surrogates. DataFrame functions only.
 
-Entities: mail addresses, IPv4 addresses, card numbers, phone numbers, social security numbers, international bank
+Entities: mail addresses, IPv4 and IPv6 addresses, card numbers, phone numbers, social security numbers, international bank
 accounts, and names after a title. Each mention is reduced to a canonical value (digits of a number, a mail address in
 lower case, each word of a name), and each distinct value gets a surrogate by SHA-256 of a secret key, its kind and
-the value, so the same value has the same surrogate in every document (coreference). The surrogate keeps kind,
-length, letter case, script and punctuation: it is written over the mention character by character. A name's words
-come from lists by script and by the gender its title shows.
+the value, so the same value has the same surrogate in every document (coreference). The surrogate keeps kind, script
+and punctuation, and for all but names and mail addresses the length: it is written over the mention character by
+character. Cards pass Luhn's test; bank accounts keep their country and have right check digits. A name's words come from
+lists by script and by the gender its title shows (either after Dr. and the like); Cyrillic surnames take the form of that gender; words in
+capitals stay in capitals. Where a surname was met after a title, its bare mentions in the same text are replaced too.
 
 Collision checks: the table of distinct values is built with Spark; while two values of a kind share a surrogate, or a
 surrogate equals a value that occurs, all but the least value take the next salt. So distinct values stay distinct.
-Name words come from lists of bounded length; when all salts of the lists are taken, a numbered suffix of letters is added.
+Name words come from lists of bounded length; when all salts of the lists are taken, a numbered suffix of letters is added;
+numbers whose format has no free values left get longer, every eighth round.
 
 Defined cases: a null text stays null; an empty one stays empty. Ties and repeated rows are handled alike; null ids and
-extra columns pass through. An empty table gives an empty result. Text outside entities is unchanged.
+extra columns pass through, but for columns named like the two results, whose names are a parameter: these are replaced.
+An empty table gives an empty result. Text outside entities is unchanged.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_name, materialize, release
 
 # Fixed patterns, in order of preference where they meet.
 MAIL = r"[A-Za-z0-9][A-Za-z0-9._%+\-]*@[A-Za-z0-9][A-Za-z0-9\-]*(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
@@ -28,10 +34,11 @@ BANK = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
 IP4 = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.]*\d)"
 CARD = r"(?<![\w])(?:\d{4}[ \-]?){3}\d{4}(?![\w])"
 SSN = r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])"
-PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4}(?!\w)"
-TITLES = {"f": "Mrs|Ms|Miss|Frau|Mme|Madame|Mlle|Sra|Señora|Doña|Госпожа", "m": "Mr|Sir|Herr|Monsieur|Sr|Señor|Don|Господин"}
-NAME = r"\b(?:" + TITLES["f"] + "|" + TITLES["m"] + r")\.? \p{Lu}[\p{L}'\-]+(?: \p{Lu}[\p{L}'\-]+)?"
-ANY = "|".join(f"(?:{p})" for p in (MAIL, BANK, CARD, SSN, IP4, PHONE, NAME))
+IP6 = r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]*\d)[0-9A-Fa-f]{2,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\w:])"
+PHONE = r"(?<![\w+])(?:(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4}|\+\d{1,3} \d{2,4} \d{6,8}|0\d(?:[ .]\d{2}){4}|(?:\+7|8)[ \-]?\(?\d{3}\)?[ \-]\d{3}[ \-]\d{2}[ \-]\d{2})(?!\w)"
+TITLES = {"f": "Mrs|Ms|Miss|Frau|Mme|Madame|Mlle|Sra|Señora|Doña|Госпожа", "m": "Mr|Sir|Herr|Monsieur|Sr|Señor|Don|Господин", "n": "Dr|Prof|Доктор|Профессор"}
+NAME = r"\b(?:" + "|".join(TITLES.values()) + r")\.? \p{Lu}[\p{L}'\-]+(?: \p{Lu}[\p{L}'\-]+){0,2}"
+ANY = "|".join(f"(?:{p})" for p in (MAIL, BANK, CARD, SSN, IP4, IP6, PHONE, NAME))
 # Fixed surrogate names by script and gender.
 FEMALE = ["Alma", "Berta", "Clara", "Dora", "Edith", "Flora", "Greta", "Hilda", "Irma", "Judith", "Klara", "Lotte", "Martha", "Nora", "Olga", "Paula"]
 MALE = ["Albert", "Bruno", "Conrad", "David", "Erwin", "Felix", "Georg", "Hugo", "Ivan", "Julius", "Karl", "Ludwig", "Martin", "Norbert", "Otto", "Paul"]
@@ -39,27 +46,27 @@ SURNAMES = ["Abel", "Berg", "Carver", "Dorn", "Ebert", "Falk", "Garber", "Holm",
 CYR_FEMALE = ["Анна", "Вера", "Галина", "Дарья", "Елена", "Зоя", "Ирина", "Лидия"]
 CYR_MALE = ["Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Лев"]
 CYR_SURNAMES = ["Белов", "Волков", "Громов", "Дубов", "Жуков", "Зимин", "Котов", "Лисин"]
-DIGITAL = ("card", "ip", "phone", "ssn", "bank")
+DIGITAL = ("card", "ip", "ip6", "phone", "ssn", "bank")
 
 
 def may_hold(text: Column) -> Column:
     """A quick test that every text with an entity passes: each pattern needs a digit, an @ or a title."""
-    return F.coalesce(text.rlike("[0-9@]") | text.rlike(r"\b(?:" + TITLES["f"] + "|" + TITLES["m"] + r")\b"), F.lit(False))
+    return F.coalesce(text.rlike("[0-9@]") | text.rlike(r"\b(?:" + "|".join(TITLES.values()) + r")\b"), F.lit(False))
 
 
 def kind_of(mention: Column) -> Column:
     whole = lambda p: mention.rlike(f"^(?:{p})$")
     return (
         F.when(mention.contains("@"), "mail").when(whole(BANK), "bank").when(whole(CARD), "card").when(whole(SSN), "ssn")
-        .when(whole(IP4), "ip").when(whole(NAME), "name").otherwise("phone")
+        .when(whole(IP4), "ip").when(whole(IP6), "ip6").when(whole(NAME), "name").otherwise("phone")
     )
 
 
 def parts_of(mention: Column, kind: Column) -> Column:
     """The canonical (kind, value) pairs of a mention: one, or one for each word of a name."""
     female = mention.rlike(rf"^(?:{TITLES['f']})\b")
-    words = F.slice(F.split(mention, " "), 2, 2)
-    given = F.when(female, F.lit("female")).otherwise(F.lit("male"))
+    words = F.slice(F.split(mention, " "), 2, 3)
+    given = F.when(female, F.lit("female")).when(mention.rlike(rf"^(?:{TITLES['n']})\b"), F.lit("given")).otherwise(F.lit("male"))
     names = F.transform(words, lambda w, i: F.struct(F.when(i < F.size(words) - 1, given).otherwise(F.lit("surname")).alias("kind"), F.lower(w).alias("value")))
     value = F.when(kind.isin(*DIGITAL), F.upper(F.regexp_replace(mention, r"[^0-9A-Za-z]", ""))).otherwise(F.lower(mention))
     value = F.when(kind == "ip", mention).otherwise(value)
@@ -82,6 +89,22 @@ def _digits(seed: Column, value: Column) -> Column:
     )
 
 
+def _card(digits: Column) -> Column:
+    """digits with a last one that passes Luhn's test."""
+    n = F.length(digits)
+    doubled = lambda c, i: F.when((n - i) % 2 == 0, c.cast("int") * 2 - F.when(c.cast("int") > 4, 9).otherwise(0)).otherwise(c.cast("int"))
+    total = F.aggregate(F.transform(F.split(F.substring(digits, F.lit(1), n - 1), ""), doubled), F.lit(0), lambda a, x: a + x)
+    return F.concat(F.substring(digits, F.lit(1), n - 1), ((10 - total % 10) % 10).cast("string"))
+
+
+def _account(value: Column, drawn: Column) -> Column:
+    """drawn with the country of value and the check digits of both (ISO 13616)."""
+    country, rest = F.substring(value, 1, 2), F.substring(drawn, 5, 40)
+    step = lambda a, c: (F.when(c.rlike("[0-9]"), a * 10 + c.cast("int")).otherwise(a * 100 + F.ascii(c) - 55) % 97).cast("int")
+    left = F.aggregate(F.split(F.concat(rest, country, F.lit("00")), ""), F.lit(0), step)
+    return F.concat(country, F.lpad((98 - left).cast("string"), 2, "0"), rest)
+
+
 def surrogate_of(secret: str, kind: Column, value: Column, salt: Column) -> Column:
     seed = F.sha2(F.concat_ws("\u0000", F.lit(secret), kind, value, salt.cast("string")), 256)
     number = F.conv(F.substring(seed, 1, 8), 16, 10).cast("long")
@@ -90,6 +113,7 @@ def surrogate_of(secret: str, kind: Column, value: Column, salt: Column) -> Colu
     pick = lambda names: F.concat(F.element_at(F.array(*[F.lit(n) for n in names]), ((number + salt) % len(names)).cast("int") + 1), F.when(salt > 0, F.translate(F.hex(salt + (number % 65536) * 16), "0123456789ABCDEF", "abcdefghijklmnop")).otherwise(F.lit("")))
     octet = lambda k: (F.conv(F.substring(seed, 4 * k + 1, 4), 16, 10).cast("int") % 254 + 1).cast("string")
     local = _digits(seed, F.substring_index(value, "@", 1))
+    drawn = _digits(seed, F.concat(value, F.repeat(F.lit("0"), F.floor(salt / 8).cast("int"))))
     host = F.concat(F.substring(F.translate(seed, "0123456789", "ghijklmnop"), 1, 10), F.lit(".example"))
     return (
         F.when(kind == "mail", F.concat(local, F.lit("@"), host))
@@ -97,14 +121,16 @@ def surrogate_of(secret: str, kind: Column, value: Column, salt: Column) -> Colu
         .when(kind == "female", F.when(cyrillic, pick(CYR_FEMALE)).otherwise(pick(FEMALE)))
         .when(kind == "male", F.when(cyrillic, pick(CYR_MALE)).otherwise(pick(MALE)))
         .when(kind == "surname", F.when(cyrillic, pick(CYR_SURNAMES)).otherwise(pick(SURNAMES)))
-        .otherwise(_digits(seed, value))
+        .when(kind == "given", F.when(cyrillic, pick(CYR_FEMALE + CYR_MALE)).otherwise(pick(FEMALE + MALE)))
+        .when(kind == "ip6", F.concat(F.lit("fd"), F.substring(seed, F.lit(3), F.length(F.regexp_replace(value, "[^0-9A-Fa-f]", "")) - 2)))
+        .when(kind == "card", _card(drawn)).when(kind == "bank", _account(value, drawn)).otherwise(drawn)
     )
 
 
-def assign_surrogates(values: DataFrame, secret: str, rounds: int = 64) -> DataFrame:
+def assign_surrogates(values: DataFrame, secret: str) -> DataFrame:
     """kind, value, surrogate of distinct values; distinct within each kind and unequal to every value."""
     done = materialize(values.select("kind", "value", F.lit(0).cast("long").alias("salt"), surrogate_of(secret, F.col("kind"), F.col("value"), F.lit(0).cast("long")).alias("surrogate")), "surrogates")
-    for turn in range(1, rounds + 1):
+    for turn in itertools.count(1):
         least = done.groupBy("kind", "surrogate").agg(F.min("value").alias("owner"), F.count("*").alias("c"))
         taken = done.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("taken"))
         clash = least.join(taken, ["kind", "surrogate"], "left").where("c > 1 or taken")
@@ -116,7 +142,13 @@ def assign_surrogates(values: DataFrame, secret: str, rounds: int = 64) -> DataF
         salt = F.when(again, F.lit(turn).cast("long")).otherwise(F.col("salt"))
         rows = rows.withColumn("salt", salt).withColumn("surrogate", F.when(again, surrogate_of(secret, F.col("kind"), F.col("value"), F.col("salt"))).otherwise(F.col("surrogate")))
         done = materialize(rows.select("kind", "value", "salt", "surrogate"), "surrogates")
-    raise RuntimeError(f"surrogates still collide after {rounds} rounds")
+
+
+def named(surrogate: Column, word: Column, mention: Column, surname: Column) -> Column:
+    """A name's word in the form of the one it replaces: capitals, and the feminine of a Cyrillic surname after such a title."""
+    feminine = surname & mention.rlike(rf"^(?:{TITLES['f']})\b") & surrogate.rlike(r"\p{IsCyrillic}$")
+    formed = F.when(feminine, F.concat(surrogate, F.lit("а"))).otherwise(surrogate)
+    return F.when((F.length(word) > 1) & (word == F.upper(word)), F.upper(formed)).otherwise(formed)
 
 
 def rendered(mention: Column, kind: Column, found: Column) -> Column:
@@ -127,39 +159,51 @@ def rendered(mention: Column, kind: Column, found: Column) -> Column:
         F.split(mention, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
         lambda a, c: F.when(c.rlike("[0-9A-Za-z]"), F.struct(F.concat(a["out"], F.substring(first, a["at"], 1)).alias("out"), (a["at"] + 1).alias("at")))
         .otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["at"].alias("at"))),
-        lambda a: a["out"],
+        lambda a: F.concat(a["out"], F.coalesce(F.substring(first, a["at"], F.length(first)), F.lit(""))),
     )
+    words = F.split(mention, " ")
+    said = F.transform(found, lambda f, i: named(f, F.get(words, i + 1), mention, i == F.size(found) - 1))
     return (
         F.when(kind == "mail", F.when(mention == F.upper(mention), F.upper(first)).otherwise(first))
         .when(kind == "ip", first)
-        .when(kind == "name", F.concat_ws(" ", F.element_at(F.split(mention, " "), 1), F.array_join(found, " ")))
+        .when(kind == "name", F.concat_ws(" ", F.get(words, F.lit(0)), F.array_join(said, " ")))
         .otherwise(format_)
     )
 
 
-def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with surrogates in text, and n_entities (long) and kinds (sorted array of the kinds met)."""
-    pieces = with_pieces(docs.where(may_hold(F.col(text))), text).where(F.size("__mentions") > 0).select(F.xxhash64(text).alias("__row"), "__mentions", "__between")
+def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "text", counts: tuple[str, str] = ("n_entities", "kinds")) -> DataFrame:
+    """docs with surrogates in text, and, named by counts, the number of entities (long) and the sorted array of their kinds."""
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in {n.lower() for n in counts}])
+    row, new_text = free_name(docs, "row"), free_name(docs, "new_text")
+    body = docs.select(F.col(f"`{text}`").alias("t"))
+    pieces = with_pieces(body.where(may_hold(F.col("t"))), "t").where(F.size("__mentions") > 0).select(F.xxhash64("t").alias("__row"), "__mentions", "__between")
     pieces = materialize(pieces.dropDuplicates(["__row"]), "pieces")
     mentions = pieces.select("__row", F.posexplode("__mentions").alias("__at", "mention")).withColumn("kind", kind_of(F.col("mention")))
     parts = mentions.select("__row", "__at", "mention", "kind", F.posexplode(parts_of(F.col("mention"), F.col("kind"))).alias("part", "p"))
-    parts = parts.select("__row", "__at", "mention", F.col("kind").alias("whole"), "part", "p.kind", "p.value")
-    parts = materialize(parts, "parts")
+    parts = materialize(parts.select("__row", "__at", "mention", F.col("kind").alias("whole"), "part", "p.kind", "p.value"), "parts")
     table = assign_surrogates(parts.select("kind", "value").distinct(), secret)
     found = parts.join(table, ["kind", "value"]).groupBy("__row", "__at", "mention", "whole").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("part", "surrogate"))), lambda x: x["surrogate"]).alias("found")
     )
-    written = found.select("__row", "__at", "whole", rendered(F.col("mention"), F.col("whole"), F.col("found")).alias("new"))
-    by_row = written.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("__at", "new"))).alias("__new"), F.array_sort(F.collect_set("whole")).alias("kinds"))
-    texts = by_row.join(pieces.select("__row", "__between"), "__row").select(
-        "__row", "kinds", F.size("__new").cast("long").alias("n_entities"),
-        F.array_join(F.flatten(F.zip_with("__between", F.transform("__new", lambda x: x["new"]), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "").alias("__text"),
+    written = found.select("__row", "__at", "whole", rendered(F.col("mention"), F.col("whole"), F.col("found")).alias("new"), F.when(F.col("whole") == "name", F.struct(F.substring_index("mention", " ", -1).alias("k"), F.substring_index(rendered(F.col("mention"), F.col("whole"), F.col("found")), " ", -1).alias("v"))).alias("surname"))
+    by_row = written.groupBy("__row").agg(
+        F.array_sort(F.collect_list(F.struct("__at", "new"))).alias("__new"), F.array_sort(F.collect_set("whole")).alias("kinds"), F.array_sort(F.collect_set("surname")).alias("surnames")
+    )
+    # a surname that stood after a title is the same person's where it stands alone
+    first = F.filter("surnames", lambda x, i: (i == 0) | (F.get("surnames", i - 1)["k"] != x["k"]))
+    known = F.map_from_entries(first)
+    bare = lambda t: F.array_join(F.transform(F.regexp_extract_all(t, F.lit(r"\p{L}[\p{L}'\-]*|[^\p{L}]+"), F.lit(0)), lambda w: F.coalesce(F.try_element_at("known", w), w)), "")
+    joined = by_row.withColumn("known", known).join(pieces.select("__row", "__between"), "__row")
+    between = F.when(F.size("surnames") > 0, F.transform("__between", bare)).otherwise(F.col("__between"))
+    texts = joined.withColumn("__between", between).select(
+        F.col("__row").alias(row), F.col("kinds").alias(counts[1]), F.size("__new").cast("long").alias(counts[0]),
+        F.array_join(F.flatten(F.zip_with("__between", F.transform("__new", lambda x: x["new"]), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "").alias(new_text),
     )
     texts = materialize(texts, "texts")
+    release(pieces, parts)
     # documents without entities never move; of the others only the new texts and the other columns do
     has = may_hold(F.col(text)) & F.coalesce(F.col(text).rlike(ANY), F.lit(False))
-    none = F.array().cast("array<string>")
-    plain = docs.where(~has).withColumn("n_entities", F.lit(0).cast("long")).withColumn("kinds", none)
-    hit = docs.where(has).withColumn("__row", F.xxhash64(text)).drop(text).join(texts, "__row").withColumnRenamed("__text", text)
-    columns = [*docs.columns, "n_entities", "kinds"]
+    plain = docs.where(~has).withColumn(counts[0], F.lit(0).cast("long")).withColumn(counts[1], F.array().cast("array<string>"))
+    hit = docs.where(has).withColumn(row, F.xxhash64(text)).drop(text).join(texts, row).withColumnRenamed(new_text, text)
+    columns = [*docs.columns, *counts]
     return plain.select(columns).unionByName(hit.select(columns))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from quarrymill.llm import conversation_trie, filter_audit, fingerprints  # noqa: E402
+from quarrymill.llm import conversation_trie, filter_audit, fingerprints, surrogates  # noqa: E402
 
 TURNS = "conv_id long, turn long, role string, text string, depth int, shard string"
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -183,3 +183,46 @@ def test_audit_of_nothing(spark):
     none, labels = spark.createDataFrame([], "doc_id long, text string, source string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert filter_audit.audit(none, labels).count() == 0
     assert filter_audit.audit(spark.createDataFrame([(1, "a", "s")], none.schema), labels).count() == 600
+
+
+def luhn(number):
+    digits = [int(c) for c in number if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
+
+
+def test_surrogates_keep_form(spark):
+    """Case, gender, script, check digits; a later bare surname; formats of telephones; columns named like the results or the operator's own."""
+    texts = [
+        "Mrs SMITH met Mr John Smith. Smith left Smithville.", "Госпожа Анна Белова и Белова", "DE89 3704 0044 0532 0130 00 paid, GB82WEST12345698765432 too", "card 4111-1111-1111-1111.",
+        "Señora María García López came; López", "Dr. John Doe and Doe", "01 23 45 67 89 or +49 170 1234567 or 2001:db8::1 or 8 (912) 345-67-89", "at 12:30:45 on 2024-01-02, a::b, 3 of 10",
+    ]
+    df = spark.createDataFrame([(i, t, "mine", 1, 2, 3) for i, t in enumerate(texts)], "doc_id int, text string, kinds string, n_entities int, __row int, __text int")
+    rows = {r["doc_id"]: r for r in surrogates.replace_entities(df, "k").collect()}
+    got = {i: r["text"] for i, r in rows.items()}
+    a = got[0].split()
+    assert a[1] == a[1].upper() and a[1].lower() == a[5].rstrip(".").lower() == a[6].lower() and a[8] == "Smithville." and "Smith " not in got[0]
+    b = got[1].split()
+    assert b[2] == b[4] and b[2].endswith("а") and b[1] in surrogates.CYR_FEMALE and rows[1]["__row"] == 2
+    for account in __import__("re").findall(r"[A-Z]{2}\d{2}[A-Z0-9 ]+(?= paid| too)", got[2]):
+        plain = account.replace(" ", "")
+        assert plain[:2] in ("DE", "GB") and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert luhn(got[3]) and got[3][9] == "-" and got[3] != texts[3]
+    assert got[4].split()[-1] == got[4].split()[3] and not {"María", "García", "López"} & set(got[4].replace(";", "").split())
+    assert "Doe" not in got[5] and got[5].split()[2] == got[5].split()[4]
+    assert rows[6]["n_entities"] == 4 and got[6].count("or") == 3 and not [n for n in ("23 45", "170", "db8", "912") if n in got[6]]
+    assert got[7] == texts[7] and rows[7]["kinds"] == []
+
+
+def test_surrogates_stay_distinct(spark):
+    """On the driver's documents: as many surrogates as values of a kind, none of them a value; short numbers that use up their format."""
+    import collections as c
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = surrogates.with_pieces(docs, "text").select(F.explode("__mentions").alias("m"))
+    values = pieces.select(F.explode(surrogates.parts_of(F.col("m"), surrogates.kind_of(F.col("m")))).alias("p")).select("p.*").distinct()
+    full = spark.range(100).select(F.lit("phone").alias("kind"), F.lpad(F.col("id").cast("string"), 2, "0").alias("value"))
+    for table in (values, full):
+        rows = surrogates.assign_surrogates(table, "k").collect()
+        assert len(rows) == table.count() and len({(r["kind"], r["surrogate"]) for r in rows}) == len(rows)
+        known = {(r["kind"], r["value"]) for r in rows}
+        assert not known & {(r["kind"], r["surrogate"]) for r in rows} and c.Counter(r["kind"] for r in rows)
