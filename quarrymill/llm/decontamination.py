@@ -43,14 +43,16 @@ def apart(text: Column) -> Column:
 
 def spaced(text: Column) -> Column:
     """apart() with short runs of capitalised words joined, the words of longer ones marked; canonical and raw tokens are both read from it."""
-    tokens = F.split(apart(text), " ")
+    x = apart(text)
+    tokens = F.split(x, " ")
     flags = F.array_join(F.transform(tokens, lambda t: F.when(t.rlike(r"^[\"'(\[]?\p{Lu}"), "1").otherwise("0")), "")
     # a word of a run of more than NAMES capitalised ones, wherever in the run it stands
     n = NAMES + 1
     long = "|".join(f"(?<=1{{{i}}})1(?=1{{{n - 1 - i}}})" for i in range(n))
     marked = F.zip_with(tokens, F.split(F.regexp_replace(flags, long, "2"), ""), lambda t, f: F.when(f == "2", F.concat(F.lit(PLAIN), t)).otherwise(t))
+    x = F.when(x.rlike(r"(?:(?<![^ ])[\"'(\[]?\p{Lu}[^ ]* ){" + str(NAMES) + r"}[\"'(\[]?\p{Lu}"), F.array_join(marked, " ")).otherwise(x)
     # a run of capitalised words is one token: names of one and of several words look alike
-    return F.regexp_replace(F.array_join(marked, " "), r"(?<![^ ])([\"'(\[]?\p{Lu}[\p{L}'\-]*) (?=\p{Lu})", "$1" + JOINED)
+    return F.regexp_replace(x, r"(?<![^ ])([\"'(\[]?\p{Lu}[\p{L}'\-]*) (?=\p{Lu})", "$1" + JOINED)
 
 
 def canonical(spaced_text: Column) -> Column:
@@ -72,11 +74,11 @@ FORMS = {0: "toks", 1: "plain"}
 
 
 def windows(form: int, size: Column, whole: bool = False) -> Column:
-    """struct(form, size, at, hash) of all runs of size tokens of a form, in order; none if there are fewer (whole: or more)."""
+    """Hashes of all runs of size tokens of a form, in order; none if there are fewer (whole: or more)."""
     tokens, salt = FORMS[form], [F.lit(1)] if form else []
     n = F.size(tokens)
     at = F.when((n == size) if whole else (n >= size), F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.struct(F.lit(form).alias("form"), size.alias("size"), (i - 1).alias("at"), F.xxhash64(F.slice(tokens, i, size), *salt).alias("hash")))
+    return F.transform(at, lambda i: F.xxhash64(F.slice(tokens, i, size), *salt))
 
 
 def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
@@ -86,9 +88,9 @@ def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     for form, tokens in FORMS.items():
         size = F.least(F.lit(WINDOW), F.size(tokens))
         said = rows.where(F.size(tokens) > 0).select("item", tokens, size.alias("size"))
-        said = said.select("item", tokens, (F.size(tokens) - F.col("size") + 1).alias("n_windows"), F.explode(windows(form, F.col("size"))).alias("w"))
-        empty = F.forall(F.slice(tokens, F.col("w.at") + 1, F.col("w.size")), lambda t: t.isin(NUMBER, UNIT, NAME))
-        said = said.where(~empty).select("item", "w.form", "w.size", "n_windows", "w.at", "w.hash")
+        said = said.select("item", tokens, "size", (F.size(tokens) - F.col("size") + 1).alias("n_windows"), F.posexplode(windows(form, F.col("size"))).alias("at", "hash"))
+        empty = F.forall(F.slice(tokens, F.col("at") + 1, F.col("size")), lambda t: t.isin(NUMBER, UNIT, NAME))
+        said = said.where(~empty).select("item", F.lit(form).alias("form"), "size", "n_windows", "at", "hash")
         out = said if out is None else out.unionByName(said)
     return out
 
@@ -110,9 +112,16 @@ def benchmark_leaks(
     items = materialize(item_windows(benchmark, item, item_text), "items")
     sizes = [tuple(r) for r in items.select("form", "size").distinct().collect()]  # at most twice WINDOW
     tokens = with_tokens(docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("t")), "t")
-    every = F.concat(*[windows(form, F.lit(size), size < LEAST) for form, size in sorted(sizes) or [(0, WINDOW)]])
-    hits = tokens.select("doc", "row", F.explode(every).alias("w")).select("doc", "row", "w.form", "w.size", F.col("w.at").alias("doc_at"), "w.hash")
-    hits = materialize(sized_join(hits, materialize(items.select("hash").distinct(), "hashes"), "hash", "left_semi", 16, most), "hits")
+    kinds = sorted(sizes) or [(0, WINDOW)]
+    arrays = [windows(form, F.lit(size), size < LEAST) for form, size in kinds]
+    # all windows of a text in one list; its kinds are told apart by where they end, once few are left
+    listed = tokens.select("doc", "row", F.array(*arrays).alias("w")).select("doc", "row", F.transform("w", lambda x: F.size(x)).alias("sizes"), F.posexplode(F.flatten("w")).alias("pos", "hash"))
+    hits = sized_join(listed, materialize(items.select("hash").distinct(), "hashes"), "hash", "left_semi", 16, most)
+    ends = F.transform("sizes", lambda _, i: F.aggregate(F.slice("sizes", F.lit(1), i + 1), F.lit(0), lambda a, x: a + x))
+    hits = hits.withColumn("kind", F.size(F.filter(ends, lambda e: e <= F.col("pos"))))
+    of = lambda i: F.get(F.array(*[F.lit(k[i]) for k in kinds]), F.col("kind"))
+    before = F.aggregate(F.slice("sizes", F.lit(1), F.col("kind")), F.lit(0), lambda a, x: a + x)
+    hits = materialize(hits.select("doc", "row", of(0).alias("form"), of(1).alias("size"), (F.col("pos") - before).alias("doc_at"), "hash"), "hits")
     # An item covers a document along diagonals: the same shift between its windows and the document's.
     met = sized_join(hits, items, ["hash", "form", "size"], "inner", 48, most).select("doc", "row", "item", "form", "at", "n_windows", "size", (F.col("doc_at") - F.col("at")).alias("shift"))
     cover = met.groupBy("doc", "row", "item", "form", "n_windows").agg(F.count_distinct("at").alias("found"))
