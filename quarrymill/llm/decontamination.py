@@ -112,16 +112,12 @@ def benchmark_leaks(
     items = materialize(item_windows(benchmark, item, item_text), "items")
     sizes = [tuple(r) for r in items.select("form", "size").distinct().collect()]  # at most twice WINDOW
     tokens = with_tokens(docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("t")), "t")
-    kinds = sorted(sizes) or [(0, WINDOW)]
-    arrays = [windows(form, F.lit(size), size < LEAST) for form, size in kinds]
-    # all windows of a text in one list; its kinds are told apart by where they end, once few are left
-    listed = tokens.select("doc", "row", F.array(*arrays).alias("w")).select("doc", "row", F.transform("w", lambda x: F.size(x)).alias("sizes"), F.posexplode(F.flatten("w")).alias("pos", "hash"))
-    hits = sized_join(listed, materialize(items.select("hash").distinct(), "hashes"), "hash", "left_semi", 16, most)
-    ends = F.transform("sizes", lambda _, i: F.aggregate(F.slice("sizes", F.lit(1), i + 1), F.lit(0), lambda a, x: a + x))
-    hits = hits.withColumn("kind", F.size(F.filter(ends, lambda e: e <= F.col("pos"))))
-    of = lambda i: F.get(F.array(*[F.lit(k[i]) for k in kinds]), F.col("kind"))
-    before = F.aggregate(F.slice("sizes", F.lit(1), F.col("kind")), F.lit(0), lambda a, x: a + x)
-    hits = materialize(hits.select("doc", "row", of(0).alias("form"), of(1).alias("size"), (F.col("pos") - before).alias("doc_at"), "hash"), "hits")
+    hashes, hits = materialize(items.select("hash").distinct(), "hashes"), None
+    for form, size in sorted(sizes) or [(0, WINDOW)]:
+        found = tokens.select("doc", "row", F.posexplode(windows(form, F.lit(size), size < LEAST)).alias("doc_at", "hash"))
+        found = sized_join(found, hashes, "hash", "left_semi", 16, most).select("doc", "row", F.lit(form).alias("form"), F.lit(size).alias("size"), "doc_at", "hash")
+        hits = found if hits is None else hits.unionByName(found)
+    hits = materialize(hits, "hits")
     # An item covers a document along diagonals: the same shift between its windows and the document's.
     met = sized_join(hits, items, ["hash", "form", "size"], "inner", 48, most).select("doc", "row", "item", "form", "at", "n_windows", "size", (F.col("doc_at") - F.col("at")).alias("shift"))
     cover = met.groupBy("doc", "row", "item", "form", "n_windows").agg(F.count_distinct("at").alias("found"))
