@@ -55,12 +55,12 @@ def project_usage(
     at = seen.where("naming").select("entity", "path", "blob")
     calls = code.resolved_calls(facts, module, signatures=signatures, known=known, own=own).withColumn("name", T.canonical_class(F.col("name")))
     calls = write_verified(calls, "calls")
-    placed = at.join(calls, "blob")
+    placed = at.join(calls.hint("merge"), "blob")
     names = code.resolved_names(facts, module, known, own)
 
     one = lambda rows_, kind, value: rows_.select("entity", F.lit(kind).alias("kind"), value.alias("value"))
     parts = rows.select("entity", F.explode(F.split(F.regexp_replace("path", r"\.py(/|$)", "$1"), "/")).alias("top")).distinct()
-    told = at.select("entity", "blob").distinct().join(names, "blob")
+    told = at.select("entity", "blob").distinct().join(names.hint("merge"), "blob")
     other = told.where("kind = 'elsewhere'").withColumn("top", F.substring_index("name", ".", 1)).join(parts, ["entity", "top"], "left_anti")
     method, uncertain = F.col("method").isNotNull(), F.col("uncertain")
     values = [
@@ -82,7 +82,7 @@ def project_usage(
         flag(own_import).alias("imports"), flag((F.col("kind") == "star") & (F.substring_index("target", ".", 1) == module)).alias("star_import"),
         flag(own_import & F.col("guarded")).alias("guarded"), flag(own_import & F.col("lazy")).alias("lazy"), flag(F.col("kind") == "unparsed").alias("unparsed"),
     )
-    counts = seen.join(texts, "blob", "left").groupBy("entity").agg(
+    counts = seen.join(texts.hint("merge"), "blob", "left").groupBy("entity").agg(
         F.count("*").alias("n_files"), F.count_if("unread").alias("n_files_unread"), F.count_if("naming").alias("n_files_naming"), F.count_if("unparsed").alias("n_files_unparsed"),
         *[flag(F.col(c)).alias(c) for c in ("imports", "star_import", "guarded", "lazy")],
     )

@@ -56,7 +56,7 @@ def code_flow(spark: SparkSession, sf: str) -> DataFrame:
     files = _programs(spark, sf)
     facts = write_verified(code.code_facts(files, "text", "tools"), "facts")
     calls = code.resolved_calls(facts, "tools", signatures=_signatures(spark))
-    found = files.select("p_partkey", F.sha2("text", 256).alias("blob")).join(calls, "blob")
+    found = files.select("p_partkey", F.sha2("text", 256).alias("blob")).join(calls.hint("merge"), "blob")
     name = F.regexp_replace("name", r"\.core\.", ".")
     return found.select("p_partkey", name.alias("name"), "method", _pairs("kwargs").alias("kwargs"), F.array_join("followed", ",").alias("followed"), "star")
 
@@ -85,6 +85,6 @@ def argument_values(spark: SparkSession, sf: str) -> DataFrame:
     files = _programs(spark, sf)
     facts = write_verified(code.code_facts(files, "text", "tools"), "facts")
     calls = code.resolved_calls(facts, "tools", signatures=_signatures(spark))
-    placed = files.select("p_brand", F.sha2("text", 256).alias("blob")).join(calls, "blob")
+    placed = files.select("p_brand", F.sha2("text", 256).alias("blob")).join(calls.hint("merge"), "blob")
     got = usage.argument_values(placed, "p_brand")
     return got.select("p_brand", "arg", F.array_join("written", ",").alias("written"), F.array_join("followed", ",").alias("followed"), F.col("n_unresolved").cast("long").alias("n_unresolved"))
