@@ -14,3 +14,40 @@ def test_code_facts_passes_no_texts_through_the_driver(spark):
     got = plan(entry_point.queries()["code_facts"](spark, SF))
     assert "BroadcastExchange" not in got
     assert "MapInPandas" not in got  # the facts are read from a table, once written
+
+
+def test_knn_is_exact_and_its_tiles_are_tasks(spark):
+    """Copies tie and go by key, a vector that isn't finite takes no part; a tile gives a row one list and stays a task of its own."""
+    import numpy as np
+
+    from quarrymill.operators import vectors
+
+    rng = np.random.default_rng(3)
+    v = rng.standard_normal((900, 8)).astype("float32")
+    v[450:] = v[:450]
+    v[7, 2] = np.nan
+    df = spark.createDataFrame([(i * 3, x.tolist()) for i, x in enumerate(v)], "id long, v array<float>")
+    found = vectors.knn(df, "id", "v", 5, block_rows=300)
+    assert "REPARTITION_BY_NUM" in plan(found)
+    got = {}
+    for r in found.orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["neighbour"])
+    u = v.astype("float64")
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    for i in range(900):
+        d = 1 - np.einsum("ij,ij->i", np.repeat(u[i : i + 1], 900, axis=0), u)
+        d[i] = np.inf
+        order = [j for j in np.lexsort((np.arange(900), d)) if np.isfinite(d[j])][:5]
+        assert got.get(i * 3, []) == [j * 3 for j in order]
+
+
+def test_fuzzy_graph_weighs_rows_together(spark):
+    """No call of Python for each row; lists of any length; the neighbours are computed once."""
+    from quarrymill.operators import vectors
+
+    near = spark.createDataFrame([(1, 2, 0.1), (1, 3, 0.3), (1, 4, 0.9), (2, 1, 0.1), (3, 1, 0.2), (3, 2, 0.2)], "id long, neighbour long, distance double")
+    found = vectors.fuzzy_graph(near, "id")
+    assert "FlatMapGroupsInPandas" not in plan(found) and plan(found).count("MapInArrow") == 1
+    got = {(r["a"], r["b"]): r["weight"] for r in found.collect()}
+    assert set(got) == {(1, 2), (2, 1), (1, 3), (3, 1), (1, 4), (4, 1), (2, 3), (3, 2)} and all(0 < w <= 1 for w in got.values())
+    assert got[1, 2] == got[2, 1] == 1.0 and got[3, 1] == 1.0
