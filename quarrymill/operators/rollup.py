@@ -59,12 +59,18 @@ def arg_report(summary: DataFrame, k: int) -> DataFrame:
 
     unread: entities none of whose values could be read. commonest: "value xN", the commonest first, ties by value.
     """
-    n = summary.groupBy("arg").agg(F.count("*").alias("passing"), F.count_if(F.size("written") > 0).alias("written"), F.count_if((F.size("written") == 0) & (F.col("n_unresolved") > 0)).alias("unread"))
-    values = summary.select("arg", F.explode("written").alias("value")).groupBy("arg", "value").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("arg").orderBy(F.desc("n"), "value"))  # distinct values of an argument
-    top = values.withColumn("r", rank).where(F.col("r") <= k).groupBy("arg").agg(F.array_sort(F.collect_list(F.struct("r", "value", "n"))).alias("top"))
+    none = F.size("written") == 0
+    # one pass, as the summary may be large: a row without a value for each entity, then a row for each of its values
+    rows = summary.select("arg", none.alias("none"), (none & (F.col("n_unresolved") > 0)).alias("unread"), F.explode(F.concat(F.array(F.lit(None).cast("string")), "written")).alias("value"))
+    n = rows.groupBy("arg", "value").agg(F.count("*").alias("n"), F.count_if(~F.col("none")).alias("written"), F.count_if("unread").alias("unread"))
+    rank = F.row_number().over(Window.partitionBy("arg").orderBy(F.col("value").isNotNull(), F.desc("n"), "value"))  # distinct values of an argument
+    whole = F.col("value").isNull()
+    top = n.withColumn("r", rank).where(F.col("r") <= k + 1).groupBy("arg").agg(
+        *[F.max(F.when(whole, F.col(c))).alias(out) for c, out in (("n", "passing"), ("written", "written"), ("unread", "unread"))],
+        F.array_sort(F.collect_list(F.when(~whole, F.struct("r", "value", "n")))).alias("top"),
+    )
     told = F.transform("top", lambda t: F.concat(t["value"], F.lit(" x"), t["n"].cast("string")))
-    return n.join(top, "arg", "left").select("arg", "passing", "written", "unread", F.coalesce(told, F.array().cast("array<string>")).alias("commonest"))
+    return top.select("arg", "passing", "written", "unread", told.alias("commonest"))
 
 
 def equals_typed(kwargs: Column, name: str, value: object) -> Column:

@@ -51,3 +51,13 @@ def test_fuzzy_graph_weighs_rows_together(spark):
     got = {(r["a"], r["b"]): r["weight"] for r in found.collect()}
     assert set(got) == {(1, 2), (2, 1), (1, 3), (3, 1), (1, 4), (4, 1), (2, 3), (3, 2)} and all(0 < w <= 1 for w in got.values())
     assert got[1, 2] == got[2, 1] == 1.0 and got[3, 1] == 1.0
+
+
+def test_arg_report_reads_its_summary_once(spark):
+    from quarrymill.operators import rollup
+
+    got = plan(entry_point.queries()["arg_report"](spark, SF))
+    assert got.count("FileScan") == 1
+    summary = spark.createDataFrame([(1, "a", ["x", "y"], 0), (2, "a", ["y"], 2), (3, "a", [], 1), (4, "b", [], 0)], "e long, arg string, written array<string>, n_unresolved long")
+    rows = {r["arg"]: tuple(r)[1:] for r in rollup.arg_report(summary, 1).collect()}
+    assert rows == {"a": (3, 2, 1, ["y x2"]), "b": (1, 0, 0, [])}
