@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import code, deps
-from ..session import table
+from ..session import spread, table
 from .base import query
 
 # Ten dependency files by size, at the root or below: a list, a nested list, a frozen lock, an address, a compiled list, a
@@ -63,7 +63,7 @@ SELECT p_partkey, v.position::INT AS position, v.name, replace(v.arguments, '#',
   (0, 'fit', 'a=g(h(k(#))), b="),(", c=[1, (2, 3)], *rest, **kw', 1, TRUE, 'b="),("'), (1, 'run', '#, ''")'', d = { "x": fit(#) }, e=1.5, e=2', 2, FALSE, 'e=2'), (2, 'fit', '#', 1, FALSE, '')) v(position, name, arguments, n_args, star, literals)""")
 def bracket_calls(spark: SparkSession, sf: str) -> DataFrame:
     """Calls in text that doesn't parse."""
-    parts = table(spark, sf, "part").select("p_partkey", F.replace(F.lit(CALLS), F.lit("#"), F.col("p_size").cast("string")).alias("text"))
+    parts = spread(table(spark, sf, "part").select("p_partkey", "p_size")).select("p_partkey", F.replace(F.lit(CALLS), F.lit("#"), F.col("p_size").cast("string")).alias("text"))
     calls = code.balanced_calls(parts, "p_partkey", "text", "fit|run")
     literals = F.array_join(F.transform(F.map_entries("literals"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     return calls.select("p_partkey", "position", "name", "arguments", "n_args", "star", literals.alias("literals"))

@@ -61,3 +61,7 @@ def test_arg_report_reads_its_summary_once(spark):
     summary = spark.createDataFrame([(1, "a", ["x", "y"], 0), (2, "a", ["y"], 2), (3, "a", [], 1), (4, "b", [], 0)], "e long, arg string, written array<string>, n_unresolved long")
     rows = {r["arg"]: tuple(r)[1:] for r in rollup.arg_report(summary, 1).collect()}
     assert rows == {"a": (3, 2, 1, ["y x2"]), "b": (1, 0, 0, [])}
+
+
+def test_bracket_calls_deals_out_a_small_file(spark):
+    assert "REPARTITION_BY_NUM" in plan(entry_point.queries()["bracket_calls"](spark, SF))
