@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import code, report, rollup
-from ..session import table
+from ..session import spread, table
 from .base import query
 from .usage_queries import _programs
 
@@ -53,7 +53,7 @@ SELECT p_partkey, CASE shape WHEN 0 THEN 'import tools' || chr(10) || '...' || c
 def project_excerpts(spark: SparkSession, sf: str) -> DataFrame:
     """Each part is a project of one file: its calls with what encloses them, what becomes of their results, its imports."""
     windows = {"call": (0, 0, 0.7), "result": (0, 0, 0.9), "mention": (0, 0, 1.0)}
-    got = code.project_excerpts(_programs(spark, sf), "p_partkey", "path", "text", "tools", 2000, windows, r"\bModel\(")
+    got = code.project_excerpts(spread(_programs(spark, sf)), "p_partkey", "path", "text", "tools", 2000, windows, r"\bModel\(")
     return got.select("p_partkey", "excerpt")
 
 

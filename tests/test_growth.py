@@ -65,3 +65,8 @@ def test_arg_report_reads_its_summary_once(spark):
 
 def test_bracket_calls_deals_out_a_small_file(spark):
     assert "REPARTITION_BY_NUM" in plan(entry_point.queries()["bracket_calls"](spark, SF))
+
+
+def test_project_excerpts_calls_python_for_batches(spark):
+    got = plan(entry_point.queries()["project_excerpts"](spark, SF))
+    assert "FlatMapGroupsInPandas" not in got and "MapInArrow" in got
