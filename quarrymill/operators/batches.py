@@ -65,4 +65,5 @@ def hashed_embedding(c, dims: int = 16):
     """A deterministic stand-in for an embedding model: hashed word counts, in built-in expressions."""
     words = F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda w: w != "")
     places = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(dims)).cast("int"))
-    return F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.size(F.filter(places, lambda p: p == d)).cast("double"))
+    count = lambda held: F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.size(F.filter(held, lambda p: p == d)).cast("double"))
+    return F.transform(F.array(places), count)[0]  # bound to a variable, or each dimension would split and hash the text again

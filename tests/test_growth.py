@@ -70,3 +70,13 @@ def test_bracket_calls_deals_out_a_small_file(spark):
 def test_project_excerpts_calls_python_for_batches(spark):
     got = plan(entry_point.queries()["project_excerpts"](spark, SF))
     assert "FlatMapGroupsInPandas" not in got and "MapInArrow" in got
+
+
+def test_embedding_reads_a_text_once(spark):
+    """The words' places are the element of an array that a lambda takes, not an expression inside the lambda of each dimension."""
+    from quarrymill.operators import batches
+
+    df = spark.createDataFrame([("a b, A c",), ("",), (None,)], "t string").select("t", batches.hashed_embedding("t", 4).alias("v"))
+    assert "transform(array(transform(filter(split(" in plan(df)
+    got = {r["t"]: r["v"] for r in df.collect()}
+    assert sum(got["a b, A c"]) == 4 and max(got["a b, A c"]) >= 2 and got[""] == [0.0] * 4
