@@ -13,6 +13,8 @@ is a leak if the windows of the shifts that count still reach least_cover.
 Windows of the plain words (lower-cased, nothing replaced) are a second form of both sides, in the same join: it meets
 copies whose case was changed, and needs no slots.
 
+A document's window can only be met if all its tokens are tokens of benchmark windows. A sketch of those tokens, SLOTS bytes
+whatever the benchmark's size, tells which may be (never a miss); only windows of such tokens are hashed and joined.
 Windows of the benchmark are broadcast only if their counted bytes fit; else both sides are shuffled.
 
 Defined cases: null or empty texts have no windows. An item of fewer tokens than WINDOW is one window of its size; one
@@ -30,9 +32,10 @@ from .common import materialize
 from .components import sized_join
 
 WINDOW, LEAST, NAMES = 8, 5, 3
+SLOTS = 1 << 17
 # Fixed unit words, after a number.
 UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|ft|in|miles?|meters?|metres?|feet|inch(?:es)?|hours?|hrs?|minutes?|mins?|seconds?|secs?|days?|weeks?|months?|years?|dollars?|euros?|cents?|percent|liters?|litres?|l|ml|mph|kmh|apples?|degrees?"
-NUMBER, UNIT, NAME, NOTHING, JOINED, PLAIN = "\u0001", "\u0002", "\u0003", "\u0004", "\u0005", "\u0006"
+NUMBER, UNIT, NAME, JOINED, PLAIN = "\u0001", "\u0002", "\u0003", "\u0005", "\u0006"
 
 
 def apart(text: Column) -> Column:
@@ -50,37 +53,60 @@ def spaced(text: Column) -> Column:
     n = NAMES + 1
     long = "|".join(f"(?<=1{{{i}}})1(?=1{{{n - 1 - i}}})" for i in range(n))
     marked = F.zip_with(tokens, F.split(F.regexp_replace(flags, long, "2"), ""), lambda t, f: F.when(f == "2", F.concat(F.lit(PLAIN), t)).otherwise(t))
-    x = F.when(x.rlike(r"(?:(?<![^ ])[\"'(\[]?\p{Lu}[^ ]* ){" + str(NAMES) + r"}[\"'(\[]?\p{Lu}"), F.array_join(marked, " ")).otherwise(x)
+    x = F.when(x.rlike(r"(?:\p{Lu}[^ ]* [\"'(\[]?){" + str(NAMES) + r"}\p{Lu}"), F.array_join(marked, " ")).otherwise(x)
     # a run of capitalised words is one token: names of one and of several words look alike
     return F.regexp_replace(x, r"(?<![^ ])([\"'(\[]?\p{Lu}[\p{L}'\-]*) (?=\p{Lu})", "$1" + JOINED)
 
 
 def canonical(spaced_text: Column) -> Column:
-    """spaced() text with placeholders, lower-cased, without punctuation; each token stays one token, NOTHING if it is empty."""
+    """spaced() text with placeholders, lower-cased, without punctuation; each token stays one token between blanks, empty if it was punctuation alone."""
     x = F.regexp_replace(spaced_text, r"(?<![^ ])[^ ]*\d[^ ]*", NUMBER)
     x = F.regexp_replace(x, r"(?<![^ ])[\"'(\[]?\p{Lu}[^ ]*", NAME)
     x = F.regexp_replace(x, f"(?<={NUMBER} )" + r"(?:(?i:" + UNITS + r")|[%€$£])\p{Punct}*(?![^ ])", UNIT)
-    x = F.regexp_replace(x, r"(?<![^ ])\p{Punct}+(?![^ ])", NOTHING)
     return F.lower(F.regexp_replace(x, r"[\p{Punct}" + PLAIN + "]+", ""))
 
 
 def with_tokens(df: DataFrame, text: str) -> DataFrame:
     """Adds toks, the canonical tokens, and plain, the words as they are but for case and punctuation."""
-    df = df.withColumn("toks", F.filter(F.split(canonical(spaced(F.col(text))), " "), lambda t: (t != "") & (t != NOTHING)))
+    df = df.withColumn("toks", F.filter(F.split(canonical(spaced(F.col(text))), " "), lambda t: t != ""))
     return df.withColumn("plain", F.filter(F.split(F.lower(F.regexp_replace(apart(F.col(text)), r"\p{Punct}+", "")), " "), lambda t: t != ""))
 
 
 FORMS = {0: "toks", 1: "plain"}
 
 
-def windows(form: int, size: Column, whole: bool = False) -> Column:
-    """Hashes of all runs of size tokens of a form, in order; none if there are fewer (whole: or more)."""
+def windows(form: int, size: Column) -> Column:
+    """Hashes of all runs of size tokens of a form, in order; none if there are fewer."""
     tokens, salt = FORMS[form], [F.lit(1)] if form else []
     n = F.size(tokens)
-    at = F.when((n == size) if whole else (n >= size), F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
+    at = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
     return F.transform(at, lambda i: F.xxhash64(F.slice(tokens, i, size), *salt))
 
 
+def slot_of(token: Column) -> Column:
+    return F.xxhash64(token).bitwiseAND(SLOTS - 1).cast("int")
+
+
+def token_sketch(benchmark: DataFrame, item: str, text: str, form: int) -> bytes:
+    """A digit for each slot, 1 where a token of a benchmark text falls; at most SLOTS numbers reach the driver."""
+    rows = with_tokens(benchmark.where(F.col(item).isNotNull()).select(F.col(text).alias("t")), "t")
+    held = bytearray(b"0" * SLOTS)
+    for r in rows.select(F.explode(FORMS[form]).alias("token")).select(slot_of(F.col("token")).alias("slot")).distinct().collect():
+        held[r["slot"]] = ord("1")
+    return bytes(held)
+
+
+def known_windows(form: int, size: int, sketch: bytes, whole: bool = False) -> Column:
+    """Structs (doc_at, hash) of the windows() whose tokens the sketch may hold."""
+    tokens, salt = FORMS[form], [F.lit(1)] if form else []
+    n = F.size(tokens)
+    held = F.array_join(F.transform(tokens, lambda t: F.substring(F.lit(sketch), slot_of(t) + 1, F.lit(1)).cast("string")), "").cast("binary")
+    at = F.when((n == size) if whole else (n >= size), F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
+    # bound as a variable, or it would be made again for each window
+    at = F.flatten(F.transform(F.array(held), lambda k: F.filter(at, lambda i: F.substring(k, i, F.lit(size)) == F.lit(b"1" * size))))
+    return F.transform(at, lambda i: F.struct((i - 1).alias("doc_at"), F.xxhash64(F.slice(tokens, i, size), *salt).alias("hash")))
+
+
 def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     """item, form, size, n_windows, at, hash of each benchmark window that holds a word."""
     rows = with_tokens(benchmark.where(F.col(item).isNotNull()).select(F.col(item).alias("item"), F.col(text).alias("t")), "t")
@@ -99,7 +125,7 @@ def slot_values(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds the raw tokens in the places of the canonical ones, null where a token is no slot."""
     df = df.withColumn("__s", spaced(F.col(text)))
     both = F.zip_with(F.split(canonical(F.col("__s")), " "), F.split("__s", " "), lambda c, r: F.struct(c.alias("c"), r.alias("r")))
-    df = df.withColumn("__p", F.filter(both, lambda p: (p["c"] != "") & (p["c"] != NOTHING)))
+    df = df.withColumn("__p", F.filter(both, lambda p: p["c"] != ""))
     bare = lambda r: F.when(F.regexp_replace(r, r"\p{Punct}+", "") == "", r).otherwise(F.lower(F.regexp_replace(r, r"^\p{Punct}+|\p{Punct}+$", "")))
     return df.withColumn(out, F.transform("__p", lambda p: F.when(p["c"].isin(NUMBER, UNIT, NAME), bare(p["r"])))).drop("__s", "__p")
 
@@ -112,9 +138,10 @@ def benchmark_leaks(
     items = materialize(item_windows(benchmark, item, item_text), "items")
     sizes = [tuple(r) for r in items.select("form", "size").distinct().collect()]  # at most twice WINDOW
     tokens = with_tokens(docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("t")), "t")
+    sketches = {form: token_sketch(benchmark, item, item_text, form) for form in {f for f, _ in sizes} or {0}}
     hashes, hits = materialize(items.select("hash").distinct(), "hashes"), None
     for form, size in sorted(sizes) or [(0, WINDOW)]:
-        found = tokens.select("doc", "row", F.posexplode(windows(form, F.lit(size), size < LEAST)).alias("doc_at", "hash"))
+        found = tokens.select("doc", "row", F.explode(known_windows(form, size, sketches[form], size < LEAST)).alias("w")).select("doc", "row", "w.doc_at", "w.hash")
         found = sized_join(found, hashes, "hash", "left_semi", 16, most).select("doc", "row", F.lit(form).alias("form"), F.lit(size).alias("size"), "doc_at", "hash")
         hits = found if hits is None else hits.unionByName(found)
     hits = materialize(hits, "hits")

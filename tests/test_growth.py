@@ -80,3 +80,22 @@ def test_embedding_reads_a_text_once(spark):
     assert "transform(array(transform(filter(split(" in plan(df)
     got = {r["t"]: r["v"] for r in df.collect()}
     assert sum(got["a b, A c"]) == 4 and max(got["a b, A c"]) >= 2 and got[""] == [0.0] * 4
+
+
+def test_decontamination_hashes_only_windows_of_benchmark_tokens(spark):
+    """Windows with a token that no benchmark text has are neither hashed nor joined; all others are kept, with their places."""
+    from pyspark.sql import functions as F
+
+    from quarrymill.llm import decontamination as D
+
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    docs = spark.createDataFrame([("zebra - one two three four five six seven eight nine yak one two",), ("one two",), ("",), (None,)], "t string")
+    for form in D.FORMS:
+        sketch = D.token_sketch(bench, "item_id", "text", form)
+        assert len(sketch) == D.SLOTS and 0 < sketch.count(b"1") <= 10
+        tokens = D.with_tokens(docs, "t").select("t", D.FORMS[form])
+        rows = tokens.select("t", D.known_windows(form, 8, sketch).alias("w"), D.windows(form, F.lit(8)).alias("all")).collect()
+        got = {r["t"]: r for r in rows}
+        long = got["zebra - one two three four five six seven eight nine yak one two"]
+        assert [(w["doc_at"], w["hash"]) for w in long["w"]] == [(i, long["all"][i]) for i in (1, 2)] and len(long["all"]) == 6
+        assert not got["one two"]["w"] and not got[""]["w"] and not got[None]["w"]
