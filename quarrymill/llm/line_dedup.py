@@ -9,8 +9,10 @@ The signature orders its hashes in a circle; band b is made of the ROWS hashes t
 two lines agree in a band with about the chance J ** ROWS, and BANDS bands catch J = 0.8 in about 99 of 100 cases, J = 0.9 in
 all but a few of 100,000 (recall against all pairs is tested).
 A line is compared with the least line that it shares a band with first; exact Jaccard decides and distributed
-union-find joins the links. In bands that then still hold several components, each line's most
-promising pairs are decided and joined, and then all pairs that are still between different components, so every pair that shares a band is decided or already joined. Before texts are compared, bitmaps of the
+union-find joins the links. Lines that share a band have its least line in common, and are a group. In groups that then still hold
+several components, each line's most promising pairs are decided and joined, and then all pairs that may be similar and are still between
+different components. In a small group every line meets every other; in a large one lines meet by their differences from a reference (see
+pairs_of_large_groups), which loses no pair. So every pair that shares a band is decided, ruled out by an exact bound or already joined. Before texts are compared, bitmaps of the
 lines' shingles rule out pairs that can't reach the threshold; that bound is exact and loses none. The first line of each component
 (least id, then position) stays.
 
@@ -25,8 +27,6 @@ such a name is replaced.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +34,8 @@ from .common import free_name, materialize, release
 from .components import connected_components, sized_join
 
 SHINGLE, BANDS, ROWS, FEW, WORDS = 9, 6, 3, 8, 16
+#: Lines of a group that all meet each other; lines that a larger group's reference is made of, about.
+SMALL, SAMPLE = 64, 31
 THRESHOLD = 0.8
 ROW, LINE_NO, LID = "__row", "__no", "__lid"
 #: No elements, and typed as never null, for which Spark sorts plain longs.
@@ -102,12 +104,18 @@ def may_be_similar(x: str, y: str, threshold: float) -> Column:
     return fits & ((1 + threshold) * (F.least(f"{x}hidden", f"{y}hidden") + both) >= threshold * (sizes[0] + sizes[1]) - 1e-6)
 
 
+def likeness(x: str, y: str) -> Column:
+    """A guess of two lines' Jaccard from the columns of their sketches (prefixes x and y)."""
+    both = common_bits(x, y)
+    return both / (F.col(f"{x}size") + F.col(f"{y}size") - both)
+
+
 def plausible_pairs(pairs: DataFrame, drawn: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) that may be similar by their sketches, with their sizes."""
+    """The pairs (a, b) that may be similar by their sketches, with their sizes and near, a guess of their Jaccard."""
     for p, c in (("x", "a"), ("y", "b")):
         end = drawn.select(F.col(LID).alias(c), *[F.col(n).alias(p + n) for n in drawn.columns if n != LID])
         pairs = sized_join(pairs, end, c, "inner", 24 + 8 * WORDS)
-    return pairs.where(may_be_similar("x", "y", threshold)).select("a", "b", "xsize", "ysize")
+    return pairs.where(may_be_similar("x", "y", threshold)).select("a", "b", "xsize", "ysize", likeness("x", "y").alias("near"))
 
 
 def similar_pairs(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
@@ -119,32 +127,79 @@ def similar_pairs(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataF
     return met.where(F.col("common") >= threshold * (F.col("xsize") + F.col("ysize") - F.col("common"))).select("a", "b")
 
 
-def crossing_pairs(members: DataFrame, drawn: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of lines that share a band but no component, and whose sketches (drawn) allow the threshold, with their
-    sizes and near, a guess of their Jaccard.
+def open_groups(met: DataFrame, comp: DataFrame) -> DataFrame:
+    """LID, lo, comp, m of the lines that share a band whose least line is lo, m of them, where they are in several components."""
+    members = sized_join(met, comp.withColumnRenamed("node", LID), LID, "left", 32)
+    members = materialize(members.select(LID, "lo", F.coalesce("root", LID).alias("comp")), "members")
+    groups = members.groupBy("lo").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("lo", "m")
+    return materialize(sized_join(members, materialize(groups, "groups"), "lo", "inner", 24), "held")
+
 
-    members has LID, band, comp. Only lines outside a band's largest component start pairs, and lines meet by classes of
-    size, so a band that is one component costs nothing and a hot band is dealt over several keys. The join itself
-    compares the sketches, so pairs that share a passage and little else never leave it.
+def pairs_of_small_groups(held: DataFrame, drawn: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of lines of a group of SMALL lines or fewer that have different components and whose sketches allow the
+    threshold, with their sizes and near. A line meets fewer than SMALL others of a group."""
+    few = materialize(sized_join(held.where(F.col("m") <= SMALL), drawn, LID, "inner", 24 + 8 * WORDS), "few")
+    ends = lambda p: few.select("lo", *[F.col(c).alias(p + c) for c in (LID, "comp", *drawn.drop(LID).columns)])
+    met = ends("x").join(ends("y").hint("merge"), "lo").where((F.col(f"x{LID}") > F.col(f"y{LID}")) & (F.col("xcomp") != F.col("ycomp")) & may_be_similar("x", "y", threshold))
+    return met.select(F.col(f"x{LID}").alias("a"), F.col(f"y{LID}").alias("b"), "xsize", "ysize", likeness("x", "y").alias("near")).distinct()
+
+
+def differences(held: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """lo, LID, comp, size, diff, e of the lines of groups of more than SMALL lines.
+
+    diff are the shingles that a line and its group's reference do not share: those only the line has, then those only the
+    reference has. The reference holds the shingles of more than half of about SAMPLE lines of the group; it may be any set, as it only
+    decides how short the differences are. It has at most twice as many shingles as those lines have on average.
+    """
+    many = held.where(F.col("m") > SMALL)
+    some = materialize(many.where(F.pmod(F.xxhash64(LID, "lo"), F.col("m")) < SAMPLE).select(LID, "lo"), "sample")
+    lines = texts.select(LID, "norm")
+    each = some.join(lines.hint("merge"), LID).select("lo", F.explode(F.array_distinct(all_hashes(F.col("norm")))).alias("h"))
+    held_by = each.groupBy("lo", "h").agg(F.count("*").alias("c")).join(some.groupBy("lo").agg(F.count("*").alias("n")).hint("merge"), "lo")
+    refs = materialize(held_by.where("2 * c > n").groupBy("lo").agg(F.collect_list("h").alias("ref")), "references")
+    few = refs.agg(F.coalesce(F.sum(F.size("ref") * 8 + 32), F.lit(0))).first()[0] <= 8 << 20
+    own = many.join(lines.hint("merge"), LID).join(F.broadcast(refs) if few else refs.hint("merge"), "lo", "left")
+    own = own.select("lo", LID, "comp", F.array_distinct(all_hashes(F.col("norm"))).alias("h"), F.coalesce("ref", F.expr(NO_HASHES)).alias("ref"))
+    diff = F.concat(F.sort_array(F.array_except("h", "ref")), F.sort_array(F.array_except("ref", "h")))
+    own = own.select("lo", LID, "comp", F.size("h").alias("size"), diff.alias("diff"))
+    return materialize(own.withColumn("e", F.size("diff") - (1 - threshold) / (1 + threshold) * F.col("size")), "differences")
+
+
+def pairs_of_large_groups(held: DataFrame, texts: DataFrame, drawn: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(sure, other): pairs (a, b) of a group of more than SMALL lines with different components, with their sizes and near.
+
+    Two sets are similar exactly if twice the number of elements that their differences share is at least the sum of their e. So the
+    line of a group with the least e is similar to all whose e is at most the negative of its own: the sure pairs. A
+    line beyond that must share elements of its difference with a similar one, at least half of the sum, and
+    of the shared ones the first in the differences' order has the others behind it. So lines meet by the
+    elements that come early enough, which few lines share if they differ from the reference each in its own way. No pair that can reach the threshold is lost.
     """
-    parts = members.groupBy("band", "comp").agg(F.count("*").alias("n"))
-    main = parts.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    main = materialize(main.select("band", "main"), "mains")
-    held = sized_join(sized_join(members, main, "band", "inner", 24), drawn, LID, "inner", 24 + 8 * WORDS)
-    # rounded up where a logarithm falls just short of a whole number; then sizes that fit differ by one class at most
-    held = held.withColumn("class", F.floor(F.log("size") / max(-math.log(threshold), 0.01) + 1e-9).cast("int"))
-    held = materialize(held, "held")
-    ends = lambda p: [F.col(c).alias(p + c) for c in (LID, "comp", *drawn.drop(LID).columns)]
-    near = F.explode(F.sequence(F.col("class") - 1, F.col("class") + 1)).alias("class")
-    minor = held.where("comp <> main").select("band", near, *ends("x"))
-    other = held.select("band", "class", *ends("y"), (F.col("comp") == F.col("main")).alias("is_main"))
-    met = minor.join(other.hint("merge"), ["band", "class"]).where((F.col("xcomp") != F.col("ycomp")) & (F.col("is_main") | (F.col(f"x{LID}") > F.col(f"y{LID}"))) & may_be_similar("x", "y", threshold))
-    one = F.col(f"x{LID}") > F.col(f"y{LID}")
-    pair = lambda n: (F.when(one, F.col("x" + n)).otherwise(F.col("y" + n)), F.when(one, F.col("y" + n)).otherwise(F.col("x" + n)))
-    (a, b), (s, t) = pair(LID), pair("size")
-    both = common_bits("x", "y")
-    met = met.select(a.alias("a"), b.alias("b"), s.alias("xsize"), t.alias("ysize"), both.alias("both")).distinct()
-    return met.select("a", "b", "xsize", "ysize", (F.col("both") / (F.col("xsize") + F.col("ysize") - F.col("both"))).alias("near"))
+    slack, ratio = 1e-5, (1 - threshold) / (1 + threshold) * (1 + 1 / max(threshold, 0.01))
+    diffs = differences(held, texts, threshold)
+    cores = materialize(diffs.groupBy("lo").agg(F.min(F.struct("e", LID, "size", F.size("diff").alias("d"), "comp")).alias("core")), "cores")
+    own = sized_join(diffs, cores, "lo", "inner", 64).withColumn("d", F.size("diff"))
+    sure = own.where((F.col("e") + F.col("core.e") <= slack) & (F.col("comp") != F.col("core.comp")))
+    one = F.col(LID) > F.col(f"core.{LID}")
+    order = lambda c: (F.when(one, F.col(c)).otherwise(F.col(f"core.{c}")), F.when(one, F.col(f"core.{c}")).otherwise(F.col(c)))
+    (a, b), (s, t) = order(LID), order("size")
+    apart, sizes = F.col("d") + F.col("core.d"), F.col("size") + F.col("core.size")
+    sure = sure.select(a.alias("a"), b.alias("b"), s.cast("long").alias("xsize"), t.cast("long").alias("ysize"), ((sizes - apart) / (sizes + apart)).alias("near")).distinct()
+
+    def early(rows: DataFrame, least: Column, p: str) -> DataFrame:
+        """The elements of a line's difference that may be the first shared one; left: how many come from there on. least: the least e of a partner."""
+        shared = F.greatest(F.lit(1.0), (F.col("e") + least) / 2 - slack, F.col("d") - ratio * F.col("size") - slack)
+        at = F.posexplode(F.slice("diff", F.lit(1), F.greatest(F.lit(0), F.col("d") - F.ceil(shared).cast("int") + 1))).alias("i", "h")
+        cut = rows.select("lo", F.col(LID), "comp", "size", "e", "d", at).withColumn("left", F.col("d") - F.col("i")).drop("i", "d")
+        return cut.select("lo", "h", *[F.col(c).alias(p + c) for c in (LID, "comp", "size", "e", "left")])
+
+    starts = early(own.where(F.col("e") + F.col("core.e") > -slack), F.col("core.e"), "x")
+    meets = early(own, F.abs("core.e"), "y")
+    fits = F.least("xsize", "ysize") >= threshold * F.greatest("xsize", "ysize")
+    fits &= F.least("xleft", "yleft") >= (F.col("xe") + F.col("ye")) / 2 - slack
+    met = starts.join(meets.hint("merge"), ["lo", "h"]).where((F.col("xcomp") != F.col("ycomp")) & fits)
+    ends = (F.col(f"x{LID}"), F.col(f"y{LID}"))
+    met = materialize(met.select(F.greatest(*ends).alias("a"), F.least(*ends).alias("b")).distinct(), "near")
+    return materialize(sure, "sure"), plausible_pairs(met, drawn, threshold)
 
 
 def best_pairs(pairs: DataFrame) -> DataFrame:
@@ -152,7 +207,7 @@ def best_pairs(pairs: DataFrame) -> DataFrame:
     Maxima combine before the shuffle."""
     pair = F.struct("near", "a", "b", "xsize", "ysize").alias("pair")
     ends = pairs.select(F.posexplode(F.array("a", "b")).alias("side", "end"), pair)
-    return ends.groupBy("side", "end").agg(F.max("pair").alias("pair")).select("pair.*").distinct()
+    return ends.groupBy("side", "end").agg(F.max("pair").alias("pair")).select("pair.*").distinct().select(*pairs.columns)
 
 
 def open_pairs(pairs: DataFrame, decided: DataFrame, comp: DataFrame) -> DataFrame:
@@ -170,11 +225,10 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     some = some.withColumn("h", F.when(F.col("n") < 2 * FEW, F.array_distinct(all_hashes(F.col("norm")))).otherwise(F.expr(NO_HASHES))).withColumn("s", F.when(F.col("n") >= FEW, F.col("s")).otherwise(F.expr(NO_HASHES)))
     some = with_bands(with_bands(some, "s", 0, "x"), "h", 1, "y")
     occurrences = materialize(some.select(ROW, "who", LINE_NO, LID, "norm", F.concat("x", "y").alias("bands")), "lines")
-    # rows of one line have the same keys; exact repeats meet before the bands do
-    distinct = materialize(occurrences.groupBy(LID).agg(F.count("*").alias("n"), F.first("bands").alias("bands")), "distinct")
-    bands = distinct.select(LID, F.explode("bands").alias("band"))
-    shared = materialize(bands.groupBy("band").agg(F.min(LID).alias("lo"), F.count("*").alias("m")).where("m > 1").select("band", "lo"), "shared")
-    met = materialize(sized_join(bands, shared, "band", "inner", 32), "met")
+    # rows of one line have the same keys, so a band that different lines share has a least and a greatest one; both combine before the shuffle
+    bands = occurrences.select(LID, F.explode("bands").alias("band"))
+    shared = materialize(bands.groupBy("band").agg(F.min(LID).alias("lo"), F.max(LID).alias("hi")).where("lo <> hi").select("band", "lo"), "shared")
+    met = materialize(sized_join(bands, shared, "band", "inner", 32).select(LID, "lo").distinct(), "met")
     # a line and the least of all that it shares a band with
     partners = materialize(met.groupBy(LID).agg(F.min("lo").alias("lo")), "partners")
     found = sized_join(occurrences.select(LID, "norm"), partners.select(LID), LID, "left_semi", 16).dropDuplicates([LID])
@@ -185,11 +239,12 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     comp = materialize(connected_components(links, "a", "b"), "comp")
 
     # what that left open
-    members = sized_join(met.select(LID, "band"), comp.withColumnRenamed("node", LID), LID, "left", 32).withColumn("comp", F.coalesce("root", LID)).drop("root")
-    crossing = materialize(crossing_pairs(materialize(members, "members"), drawn, threshold), "crossing")
+    held = open_groups(met, comp)
+    sure, other = pairs_of_large_groups(held, texts, drawn, threshold)
+    crossing = materialize(pairs_of_small_groups(held, drawn, threshold).unionByName(other), "crossing")
     release(shared, met, partners, drawn)
     # lines that are near copies of many others join through their best pairs, so that few pairs stay open; then all open ones are decided
-    best = materialize(best_pairs(crossing), "best")
+    best = materialize(best_pairs(crossing).unionByName(sure).dropDuplicates(["a", "b"]), "best")
     for pairs in (best, None):
         more = materialize(similar_pairs(texts, open_pairs(crossing, best, comp) if pairs is None else pairs, threshold), "links")
         if more.limit(1).count():
@@ -198,10 +253,11 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     release(crossing, best, texts)
 
     # the lines that occur again, as themselves or in another form
-    again = sized_join(distinct.select(LID, "n"), comp.withColumnRenamed("node", LID), LID, "left", 32).where("n > 1 or root is not null")
+    counted = occurrences.groupBy(LID).agg(F.count("*").alias("n"))
+    again = sized_join(counted, comp.withColumnRenamed("node", LID), LID, "left", 32).where("n > 1 or root is not null")
     again = materialize(again.select(LID, F.coalesce("root", LID).alias("comp")), "again")
     repeated = materialize(sized_join(occurrences.select(ROW, "who", LINE_NO, LID), again, LID, "inner", 32).select(ROW, LINE_NO, "comp", "who"), "repeated")
-    release(occurrences, distinct)
+    release(occurrences)
     # minima combine before the shuffle; written, so that a hot component can be split in the join
     first = materialize(repeated.groupBy("comp").agg(F.min(F.struct("who", ROW, LINE_NO)).alias("first")).select("comp", F.col(f"first.{ROW}").alias("r"), F.col(f"first.{LINE_NO}").alias("l")), "first")
     gone = sized_join(repeated.drop("who"), first, "comp", "inner", 48).where((F.col(ROW) != F.col("r")) | (F.col(LINE_NO) != F.col("l")))

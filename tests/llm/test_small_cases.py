@@ -385,6 +385,40 @@ def test_line_pairs_in_a_hot_band(spark):
     assert got == {a for a, _ in close}
 
 
+def test_lines_alike_but_not_enough(spark, monkeypatch):
+    """Copies of one line, each changed in places of its own: most pairs are ruled out, though all share bands, and none that is a link gets lost."""
+    rng = __import__("random").Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    base = [word() for _ in range(80)]
+    lines = []
+    for _ in range(240):
+        own = list(base)
+        for place in rng.sample(range(80), rng.randint(3, 4)):
+            own[place] = word()
+        lines += [" ".join(own)] + [" ".join([*own, word()])] * (rng.random() < 0.2)
+    lines = sorted(set(lines))
+    sets = [{x[i : i + 9] for i in range(len(x) - 8)} for x in lines]
+    root = list(range(len(lines)))
+    for a in range(len(lines)):
+        for b in range(a):
+            if root[a] != root[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                root = [root[a] if r == root[b] else r for r in root]
+    alike = sum(0.5 * len(x | y) <= len(x & y) < 0.8 * len(x | y) for i, x in enumerate(sets) for y in sets[:i])
+    assert alike > 15_000 and 20 < len(set(root)) < 260
+    opened, write = [], line_dedup.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "crossing":
+            opened.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    kept = [r["doc_id"] for r in line_dedup.dedup_lines(docs_of(spark, list(enumerate(lines)))).where("n_dropped = 0").collect()]
+    assert sorted(root[a] for a in kept) == sorted(set(root))
+    assert len(opened) == 1 and opened[0] <= 60 * len(lines)
+
+
 def test_leaks_with_joined_tokens(spark):
     items = [
         (1, "In class Anna buys 12 pens while Anna sells 12 books to Tom"),
